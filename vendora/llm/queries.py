@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import quality, warc
+from . import packing, quality, tokencount, warc
 
 QUERIES = {
     "op1_warc": warc.query,
+    "op3_token_counts": tokencount.query,
+    "op5_packing": packing.query,
     "op9_quality_rules": quality.query,
 }
 ORACLES = {
