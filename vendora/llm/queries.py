@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import packing, quality, tokencount, warc
+from . import neardup, packing, quality, tokencount, warc
 
 QUERIES = {
     "op1_warc": warc.query,
     "op3_token_counts": tokencount.query,
     "op5_packing": packing.query,
+    "op6_minhash_near_dedup": neardup.query,
     "op9_quality_rules": quality.query,
 }
 ORACLES = {
