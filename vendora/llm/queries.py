@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import neardup, packing, quality, tokencount, warc
+from . import langid, neardup, packing, quality, tokencount, warc
 
 QUERIES = {
     "op1_warc": warc.query,
     "op3_token_counts": tokencount.query,
     "op5_packing": packing.query,
     "op6_minhash_near_dedup": neardup.query,
+    "op7_language_id": langid.query,
     "op9_quality_rules": quality.query,
 }
 ORACLES = {
