@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import langid, neardup, packing, quality, tokencount, warc
+from . import langid, lm, neardup, packing, quality, tokencount, warc
 
 QUERIES = {
     "op1_warc": warc.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_packing": packing.query,
     "op6_minhash_near_dedup": neardup.query,
     "op7_language_id": langid.query,
+    "op8_lm_scoring": lm.query,
     "op9_quality_rules": quality.query,
 }
 ORACLES = {
