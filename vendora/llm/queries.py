@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import langid, lm, neardup, packing, quality, tokencount, warc
+from . import langid, lm, neardup, packing, quality, suffix, tokencount, warc
 
 QUERIES = {
     "op1_warc": warc.query,
     "op3_token_counts": tokencount.query,
+    "op4_suffix_array_dedup": suffix.query,
     "op5_packing": packing.query,
     "op6_minhash_near_dedup": neardup.query,
     "op7_language_id": langid.query,
