@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import langid, lm, neardup, packing, quality, suffix, tokencount, warc
+from . import decontam, langid, lm, neardup, packing, quality, suffix, tokencount, warc
 
 QUERIES = {
     "op1_warc": warc.query,
+    "op2_benchmark_decontamination": decontam.query,
     "op3_token_counts": tokencount.query,
     "op4_suffix_array_dedup": suffix.query,
     "op5_packing": packing.query,
