@@ -69,7 +69,7 @@ def _bits(tokens: np.ndarray) -> np.ndarray:
 def _set_rows(shingle: int, trees: int, depth: int):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys = batch["k"].to_numpy()
+            keys, marks = batch["k"].to_numpy(), batch["h"].to_numpy()
             for at, run in runs(as_bytes(batch["t"])):
                 sets = Words(run).shingles(shingle)
                 size = np.array([len(s) for s in sets])
@@ -87,7 +87,7 @@ def _set_rows(shingle: int, trees: int, depth: int):
                         nodes[i] = np.unique(p)
                         d1[i] = mix(sets[i]).sum(dtype=U).view(np.int64)
                         d2[i] = mix(sets[i] ^ U(0x5555555555555555)).sum(dtype=U).view(np.int64)
-                yield pd.DataFrame({"doc_id": keys[at : at + len(run)], "n": size, "d1": d1, "d2": d2, "b1": b1, "b2": b2, "nodes": nodes})
+                yield pd.DataFrame({"doc_id": keys[at : at + len(run)], "text_hash": marks[at : at + len(run)], "n": size, "d1": d1, "d2": d2, "b1": b1, "b2": b2, "nodes": nodes})
 
     return rows
 
@@ -112,10 +112,10 @@ def _near(a: str, b: str, percent: int) -> Column:
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, percent: int = 80, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
-    """One row per row of ``df``: doc_id, n_shingles, component_id (smallest id of its group), kept."""
-    docs = df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
+    """One row per row of ``df``: doc_id, n_shingles, component_id (smallest id of its group), xxhash64 of the text, kept."""
+    docs = df.select(F.col(key).cast("long").alias("k"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("t"))
     live = docs.filter("k IS NOT NULL")
-    rows = _saved(live.mapInPandas(_set_rows(shingle, trees, depth), "doc_id long, n long, d1 long, d2 long, b1 long, b2 long, nodes array<long>"), "sets")
+    rows = _saved(live.mapInPandas(_set_rows(shingle, trees, depth), "doc_id long, text_hash long, n long, d1 long, d2 long, b1 long, b2 long, nodes array<long>"), "sets")
     same = ["n", "d1", "d2"]
     classes = _saved(rows.filter("n > 0").groupBy(*same).agg(F.min("doc_id").alias("id"), F.first("b1").alias("b1"), F.first("b2").alias("b2"), F.first("nodes").alias("nodes")), "classes")
     sketch = classes.select("id", "n", "b1", "b2")
@@ -146,11 +146,19 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
         group = components(links)
 
     label = classes.select("id", *same).join(group, "id", "left").select(*same, F.coalesce("component", "id").alias("c"))
-    done = rows.select("doc_id", *same).join(label, same, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))
-    lost = docs.filter("k IS NULL").select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
+    done = rows.select("doc_id", "text_hash", *same).join(label, same, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"), "text_hash")
+    lost = docs.filter("k IS NULL").select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.col("h").alias("text_hash"))
     return done.unionByName(lost).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """``df`` with one row of each group and every row without an id, in the columns it had."""
+    kept = near_duplicates(df, key, text, shingle, percent).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__k"), F.col("text_hash").alias("__h")).distinct()
+    rows = df.withColumn("__k", F.col(key).cast("long")).withColumn("__h", F.xxhash64(F.col(text)))
+    one = rows.join(kept, ["__k", "__h"], "left_semi").dropDuplicates(["__k", "__h"])
+    return one.unionByName(rows.filter("__k IS NULL")).select(*df.columns)
+
+
 def _confirm(near: DataFrame, live: DataFrame, rows: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Pairs of classes whose full sets have the similarity. A set is read from the text of its class's smallest id."""
     ids = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
@@ -166,4 +174,4 @@ def _confirm(near: DataFrame, live: DataFrame, rows: DataFrame, classes: DataFra
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op6: near-duplicate groups of ``documents`` on four-word shingles at 0.8."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_hash")

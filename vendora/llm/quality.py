@@ -45,7 +45,7 @@ RULES = (
     Rule("words_short", "word_chars", "under", 200, "n_words"),
     Rule("words_long", "word_chars", "over", 1500, "n_words"),
     Rule("symbols", "n_symbols", "over", 30, "n_words"),
-    Rule("lines_repeat", "n_dup_lines", "over", 30, "n_lines"),
+    Rule("lines_repeat", "n_dup_lines", "over", 40, "n_lines"),
     Rule("lines_bullet", "n_bullet_lines", "over", 90, "n_lines"),
     Rule("lines_ellipsis", "n_ellipsis_lines", "over", 30, "n_lines"),
     Rule("stop_words", "n_stop_words", "under", 2),

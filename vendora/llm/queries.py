@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, lm, neardup, packing, quality, suffix, tokencount, warc
+import corpus_pipeline
+
+from . import decontam, langid, licenses, lm, neardup, packing, quality, suffix, tokencount, warc
 
 QUERIES = {
     "op1_warc": warc.query,
@@ -14,8 +16,12 @@ QUERIES = {
     "op7_language_id": langid.query,
     "op8_lm_scoring": lm.query,
     "op9_quality_rules": quality.query,
+    "op10_license_scan": licenses.query,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op1_warc": warc.SQL,
     "op9_quality_rules": quality.SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

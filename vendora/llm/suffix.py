@@ -150,32 +150,27 @@ def _strings(length: int):
     return rows
 
 
-def _covered(n: int, spans) -> np.ndarray:
+def _covered(n: int, starts, ends) -> np.ndarray:
     edge = np.zeros(n + 1, np.int64)
-    for x in spans:
-        edge[x["a"]] += 1
-        edge[x["b"]] -= 1
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, ends, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
-def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        n_bytes, n_removed, n_spans, digest, left = [], [], [], [], []
-        for text, spans in zip(_texts(batch), batch["spans"], strict=True):
-            gone = 0
-            runs = 0
-            kept = text
-            if spans is not None and len(spans):
-                hit = _covered(len(text), spans)
-                gone = int(hit.sum())
-                runs = int(hit[0]) + int((hit[1:] & ~hit[:-1]).sum())
-                kept = np.frombuffer(text, np.uint8)[~hit].tobytes()
-            n_bytes.append(len(text))
-            n_removed.append(gone)
-            n_spans.append(runs)
-            digest.append(hashlib.sha256(kept).hexdigest())
-            left.append(kept.decode(errors="ignore"))
-        yield pd.DataFrame({"k": batch["k"], "h": batch["h"], "n_bytes": n_bytes, "n_removed": n_removed, "n_spans": n_spans, "kept_sha256": digest, "kept_text": left})
+CUT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+
+
+def _cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
+    rows = []
+    for t, a, b in zip(texts, starts, ends, strict=True):
+        kept = text = t.encode() if isinstance(t, str) else b""
+        gone = runs = 0
+        if a is not None and len(a):
+            hit = _covered(len(text), a, b)
+            gone, runs = int(hit.sum()), int(hit[0]) + int((hit[1:] & ~hit[:-1]).sum())
+            kept = np.frombuffer(text, np.uint8)[~hit].tobytes()
+        rows.append((len(text), gone, runs, hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore")))
+    return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
 
 def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -208,13 +203,14 @@ def _with(docs: DataFrame, more: DataFrame, column: str, how: str) -> DataFrame:
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """(k, h, n_bytes, n_removed, n_spans, kept_sha256, kept_text) for each row of ``df``, k its id; kept_text drops parts of characters that a cut leaves."""
-    docs = _keyed(df, key, text)
+    """``df`` with a struct ``__cut``: n_bytes, n_removed, n_spans, kept_sha256 of the remaining bytes and kept_text, which drops parts of characters that a cut leaves."""
     spans = repeated_spans(df, key, text, length)
-    return _with(docs, spans, "spans", "left").mapInPandas(_cut, "k long, h long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+    spans = spans.select(F.col("k").alias("__k"), F.col("h").alias("__h"), F.transform("spans", lambda x: x["a"]).alias("__a"), F.transform("spans", lambda x: x["b"]).alias("__b"))
+    both = df.join(spans, (F.xxhash64(df[text]) == F.col("__h")) & df[key].cast("long").eqNullSafe(F.col("__k")), "left")
+    return both.withColumn("__cut", F.pandas_udf(_cut, CUT)(F.col(text), F.col("__a"), F.col("__b"))).select(*df.columns, "__cut")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op4: what is left of every text of ``documents`` without its repeated 200-byte strings."""
-    out = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select(F.col("k").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    out = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return out.select("doc_id", *(F.col(f"__cut.{c}").alias(c) for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")))
