@@ -1,0 +1,4 @@
+"""The registered queries of the engine; importing this package fills the registry."""
+
+from . import market  # noqa: F401
+from .registry import ORACLES, QUERIES  # noqa: F401
