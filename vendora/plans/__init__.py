@@ -1,4 +1,4 @@
 """The registered queries of the engine; importing this package fills the registry."""
 
-from . import identity, market  # noqa: F401
+from . import identity, market, retention  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
