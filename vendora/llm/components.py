@@ -6,6 +6,8 @@ lineage nor driver memory grows. A vertex with very many edges meets them throug
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,19 @@ from .warc import shared_dir
 def _saved(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out.scratch = path
+    return out
+
+
+def free(spark, *tables: DataFrame) -> None:
+    """Delete written tables that no later step reads, and let Spark drop the shuffle files of plans that nothing holds any more."""
+    jvm = spark._jvm
+    for t in tables:
+        path = jvm.org.apache.hadoop.fs.Path(t.scratch)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -25,17 +25,20 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import _saved
+from .components import _saved, free
 from .text import U, mix
 
 LENGTH = 200
 SEGMENT = 1 << 20
+#: Passes of the sort that tells strings apart.
+PARTS = 4
 _BASES = [(b := 0xD6E8FEB86659FD93), pow(b, -1, 1 << 64)], [(b := 0xA0761D6478BD642F), pow(b, -1, 1 << 64)]
 _VALUES = np.random.default_rng(20260303).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -175,21 +178,32 @@ def _cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
 
 def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """(k, h, spans): for each text with a repeated string, by id and hash of the text, byte ranges [a, b) that cover its repeats."""
-    docs = _keyed(df, key, text)
+    spark, docs = df.sparkSession, _keyed(df, key, text)
     tuples = _saved(docs.mapInPandas(_tuples(length), "k long, h long, lo long, n int, r long, u long"), "tuples")
     cores = tuples.groupBy("r").agg(F.count("*").alias("c"), F.min("u").alias("u1"), F.max("u").alias("u2")).filter("c > 1").select("r", (F.col("u1") != F.col("u2")).alias("mixed"))
     shared = _saved(tuples.join(cores, "r"), "shared")
+    free(spark, tuples)
     extents = _saved(shared.filter("mixed").groupBy("r", "u").agg(F.count("*").alias("m"), F.min(F.struct("k", "h", "lo", "n")).alias("one")), "extents")
     wanted = extents.groupBy(F.col("one.k").alias("k"), F.col("one.h").alias("h")).agg(F.collect_list(F.struct(F.col("one.lo").alias("lo"), F.col("one.n").alias("n"), "r", "u", "m")).alias("w"))
     named = _saved(_with(docs, wanted, "w", "inner").mapInPandas(_strings(length), "r long, u long, m long, d int, s long"), "strings")
-    again = named.groupBy("r", "s").agg(F.sum("m").alias("c")).filter("c > 1").select("r", "s")
-    single = named.filter("m = 1").join(again, ["r", "s"]).groupBy("r", "u").agg(F.collect_list("d").alias("ds"))
+    free(spark)
+    # the sort of all strings is done in parts by name of the core, so that one part's files are on disk at a time
+    singles = []
+    for part in range(PARTS):
+        some = named.filter(F.pmod("r", F.lit(PARTS)) == part)
+        again = some.groupBy("r", "s").agg(F.sum("m").alias("c")).filter("c > 1").select("r", "s")
+        singles.append(_saved(some.filter("m = 1").join(again, ["r", "s"]).groupBy("r", "u").agg(F.collect_list("d").alias("ds")), "singles"))
+        free(spark)
+    free(spark, named)
+    single = reduce(DataFrame.unionByName, singles)
     whole = F.struct(F.col("lo").alias("a"), (F.col("lo") + F.col("n") - 1 + length).alias("b"))
     full = shared.filter("NOT mixed").select("k", "h", whole.alias("span"))
     mixed = shared.filter("mixed").join(extents.select("r", "u", "m"), ["r", "u"]).join(single, ["r", "u"], "left")
     full = full.unionByName(mixed.filter("m > 1").select("k", "h", whole.alias("span")))
     some = mixed.filter("m = 1").select("k", "h", "lo", F.explode("ds").alias("d")).select("k", "h", F.struct((F.col("lo") + F.col("d")).alias("a"), (F.col("lo") + F.col("d") + length).alias("b")).alias("span"))
-    return full.unionByName(some).groupBy("k", "h").agg(F.collect_set("span").alias("spans"))
+    spans = _saved(full.unionByName(some).groupBy("k", "h").agg(F.collect_set("span").alias("spans")), "spans")
+    free(spark, shared, extents, *singles)
+    return spans
 
 
 def _keyed(df: DataFrame, key: str, text: str) -> DataFrame:
