@@ -18,6 +18,11 @@ def mean(c: Column, kind: str = "decimal(18,4)") -> Column:
     return F.sum(c.cast(kind)).cast("double") / F.count(c)
 
 
+def corr(x: Column, y: Column) -> Column:
+    """Pearson's r; null, not an error, where a side is constant. Both sides must be null together."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def prepare(df: DataFrame, numeric: list[str], categories: list[str]) -> DataFrame:
     """Lower-case names; missing columns come in as null numbers and 'Missing' categories; infinite numbers become null."""
     from ..functions.scalars import category_clean, finite
@@ -110,7 +115,7 @@ def histogram(df: DataFrame, value: str, by: str, bins: int) -> DataFrame:
     ends = known.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
     x = known.crossJoin(F.broadcast(ends))
     width = (F.col("hi") - F.col("lo")) / bins
-    b = F.when(F.col("hi") == F.col("lo"), 1).otherwise(F.least(F.floor((F.col(value) - F.col("lo")) / width) + 1, F.lit(bins))).cast("int")
+    b = F.when(F.col("hi") == F.col("lo"), 1).otherwise(F.least(F.floor(F.try_divide(F.col(value) - F.col("lo"), width)) + 1, F.lit(bins))).cast("int")
     counts = x.groupBy(by, b.alias("bin")).agg(F.count("*").alias("n"), F.first(width).alias("w"))
     total = known.groupBy(by).agg(F.count("*").alias("of"))
     return counts.join(total, by).select(by, "bin", "n", F.try_divide(F.col("n").cast("double"), F.col("of") * F.col("w")).alias("density"))
@@ -134,7 +139,7 @@ def gini(df: DataFrame, value: str) -> DataFrame:
     ranked = F.col("v") * (F.col("c") * before + F.col("c") * (F.col("c") + 1) / 2).cast("decimal(20,0)")
     s = r.agg(F.sum(ranked).cast("double").alias("s"), F.sum(F.col("v") * F.col("c")).cast("double").alias("t"), F.sum("c").alias("n"))
     n = F.col("n").cast("double")
-    return s.select(F.when((F.coalesce(n, F.lit(0.0)) == 0) | (F.col("t") == 0), 0.0).otherwise(2 * F.col("s") / (n * F.col("t")) - (n + 1) / n).alias("gini"))
+    return s.select(F.when((F.coalesce(n, F.lit(0.0)) == 0) | (F.col("t") == 0), 0.0).otherwise(F.try_divide(2 * F.col("s"), n * F.col("t")) - F.try_divide(n + 1, n)).alias("gini"))
 
 
 def lorenz(df: DataFrame, value: str, points: int = 350) -> DataFrame:
@@ -155,7 +160,7 @@ def pearson_pairs(df: DataFrame, columns: list[str], least: int | None = None) -
     aggs = [F.count("*").alias("__all")]
     for i, (a, b) in enumerate(pairs):
         x, y = F.when(both[a, b], F.col(a)), F.when(both[a, b], F.col(b))
-        aggs += [F.corr(x, y).alias(f"r{i}"), F.count_if(both[a, b]).alias(f"n{i}"), ((F.max(x) > F.min(x)) & (F.max(y) > F.min(y))).alias(f"v{i}")]
+        aggs += [corr(x, y).alias(f"r{i}"), F.count_if(both[a, b]).alias(f"n{i}"), ((F.max(x) > F.min(x)) & (F.max(y) > F.min(y))).alias(f"v{i}")]
     one = df.agg(*aggs)
     need = F.lit(least) if least is not None else F.least(F.col("__all"), F.greatest(F.lit(3), F.least(F.lit(30), F.floor(F.col("__all") / 10))))
     rows = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.when(F.col(f"v{i}") & (F.col(f"n{i}") >= need), F.col(f"r{i}")).alias("r"), F.col(f"n{i}").alias("n")) for i, (a, b) in enumerate(pairs)))
@@ -171,13 +176,14 @@ def average_rank(df: DataFrame, column: str, out: str) -> DataFrame:
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     both = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).select(a, b)
     ranked = both.join(average_rank(both, a, "__ra"), a).join(average_rank(both, b, "__rb"), b)
-    return ranked.agg(F.corr("__ra", "__rb").alias("rho"), F.count("*").alias("n"))
+    return ranked.agg(corr(F.col("__ra"), F.col("__rb")).alias("rho"), F.count("*").alias("n"))
 
 
 def group_fit(df: DataFrame, by: str, x: str, y: str, least: int = 10) -> DataFrame:
     """Least-squares line of each group with enough rows and two different x."""
     g = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(by).agg(
-        F.count("*").alias("n"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.min(x).alias("x0"), F.max(x).alias("x1"))
+        F.count("*").alias("n"), F.try_divide(F.covar_pop(x, y), F.var_pop(x)).alias("slope"), F.avg(x).alias("mx"), F.avg(y).alias("my"), F.min(x).alias("x0"), F.max(x).alias("x1"))
+    g = g.withColumn("intercept", F.col("my") - F.col("slope") * F.col("mx")).drop("mx", "my")
     return g.filter((F.col("n") >= least) & (F.col("x1") > F.col("x0"))).withColumn("y0", F.col("intercept") + F.col("slope") * F.col("x0")).withColumn("y1", F.col("intercept") + F.col("slope") * F.col("x1"))
 
 

@@ -78,5 +78,5 @@ def populated(c: Column, kind: str = "string") -> Column:
 def run_accounting(records: DataFrame, source: str, failed: Column) -> DataFrame:
     """Records processed, succeeded, failed and the status of each source's run."""
     out = records.groupBy(source).agg(F.count("*").alias("records_processed"), F.count_if(~failed).alias("records_succeeded"), F.count_if(failed).alias("records_failed"))
-    status = F.when(F.col("records_failed") == 0, "completed").when(F.col("records_succeeded") == 0, "failed").otherwise("partial")
+    status = F.when(F.col("records_failed") == 0, "completed").otherwise("completed_with_errors")
     return out.withColumn("run_status", status)

@@ -77,7 +77,7 @@ def low_completeness(spark, d):
     return table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left").filter("quality < 1 OR quality IS NULL")
 
 
-@query("SELECT source, count(*) AS records_processed, count(*) FILTER (n_chars >= 400) AS records_succeeded, count(*) FILTER (n_chars < 400) AS records_failed, CASE WHEN count(*) FILTER (n_chars < 400) = 0 THEN 'completed' WHEN count(*) FILTER (n_chars >= 400) = 0 THEN 'failed' ELSE 'partial' END AS run_status FROM documents GROUP BY source")
+@query("SELECT source, count(*) AS records_processed, count(*) FILTER (n_chars >= 400) AS records_succeeded, count(*) FILTER (n_chars < 400) AS records_failed, CASE WHEN count(*) FILTER (n_chars < 400) = 0 THEN 'completed' ELSE 'completed_with_errors' END AS run_status FROM documents GROUP BY source")
 def run_accounting(spark, d):
     return op.run_accounting(table(spark, d, "documents"), "source", F.col("n_chars") < 400)
 
