@@ -6,9 +6,9 @@ document goes down the branch of its token there. Two sets of similarity 0.8 sha
 one tree with probability 0.576, so that 14 trees miss such a pair with probability 6e-6. A path depends on
 the document alone, so all nodes come from one pass over the texts without a shuffle.
 
-Nodes are then compared: first each member with the node's smallest document, then those that this
-leaves outside its group with the smallest of them, and at last all pairs of members that are still in
-different groups. Sketches of one bit per minwise token drop pairs at five deviations below the
+Nodes are then compared: first each member with the node's most central document, then those that this
+leaves outside its group with the most central of them, and at last all pairs of members that are still in
+different groups. Sketches of two bits per minwise token drop pairs at 4.5 deviations below the
 threshold; every link is confirmed on the full sets.
 
 Sets that are equal (128-bit digest and size) are one class from the start, so thousands of copies are one
@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from .components import _saved, components
 from .text import U, Words, as_bytes, mix, runs
 
-WIDTH, DEPTH, TREES = 128, 4, 14
+WIDTH, DEPTH, TREES = 1024, 4, 14
+#: Two bits of each token make the sketch, 32 tokens to a number.
+BITS = [f"b{i}" for i in range(WIDTH // 32)]
 _rng = np.random.default_rng(20260202)
 _SCALE = _rng.integers(0, 1 << 32, WIDTH, dtype=np.uint32) | np.uint32(1)
 _SHIFT = _rng.integers(0, 1 << 32, WIDTH, dtype=np.uint32)
@@ -61,9 +63,9 @@ def paths(tokens: np.ndarray, trees: int = TREES, depth: int = DEPTH, seed: int
 
 
 def _bits(tokens: np.ndarray) -> np.ndarray:
-    """One bit of each token, as two 64-bit numbers a row."""
-    bit = (mix(tokens.astype(U)) & U(1)).astype(np.uint8)
-    return np.packbits(bit, axis=1).view(">u8").astype(np.int64)
+    """Two bits of each token, as len(BITS) 64-bit numbers a row."""
+    two = (mix(tokens.astype(U)) & U(3)).reshape(len(tokens), -1, 32)
+    return np.bitwise_or.reduce(two << (U(2) * np.arange(32, dtype=U)), axis=2).view(np.int64)
 
 
 def _set_rows(shingle: int, trees: int, depth: int):
@@ -74,12 +76,12 @@ def _set_rows(shingle: int, trees: int, depth: int):
                 sets = Words(run).shingles(shingle)
                 size = np.array([len(s) for s in sets])
                 full = np.flatnonzero(size)
-                d1, d2, b1, b2 = (np.zeros(len(run), np.int64) for _ in range(4))
+                d1, d2 = np.zeros(len(run), np.int64), np.zeros(len(run), np.int64)
+                bits = np.zeros((len(run), len(BITS)), np.int64)
                 nodes = [np.zeros(0, np.int64)] * len(run)
                 if len(full):
                     tokens = minwise([sets[i] for i in full])
-                    both = _bits(tokens)
-                    b1[full], b2[full] = both[:, 0], both[:, 1]
+                    bits[full] = _bits(tokens)
                     row, path = paths(tokens, trees, depth)
                     order = np.lexsort((path, row))
                     parts = np.split(path[order].view(np.int64), np.cumsum(np.bincount(row, minlength=len(full)))[:-1])
@@ -87,7 +89,7 @@ def _set_rows(shingle: int, trees: int, depth: int):
                         nodes[i] = np.unique(p)
                         d1[i] = mix(sets[i]).sum(dtype=U).view(np.int64)
                         d2[i] = mix(sets[i] ^ U(0x5555555555555555)).sum(dtype=U).view(np.int64)
-                yield pd.DataFrame({"doc_id": keys[at : at + len(run)], "text_hash": marks[at : at + len(run)], "n": size, "d1": d1, "d2": d2, "b1": b1, "b2": b2, "nodes": nodes})
+                yield pd.DataFrame({"doc_id": keys[at : at + len(run)], "text_hash": marks[at : at + len(run)], "n": size, "d1": d1, "d2": d2} | {b: bits[:, i] for i, b in enumerate(BITS)} | {"nodes": nodes})
 
     return rows
 
@@ -103,10 +105,13 @@ def _full_sets(shingle: int):
 
 
 def _near(a: str, b: str, percent: int) -> Column:
-    """Sizes allow the similarity, and sketches are within five deviations of what it gives on average."""
-    far = F.bit_count(F.col(f"{a}.b1").bitwiseXOR(F.col(f"{b}.b1"))) + F.bit_count(F.col(f"{a}.b2").bitwiseXOR(F.col(f"{b}.b2")))
-    p = (1 + percent / 100) / 2
-    most = int(WIDTH * (1 - p) + 5 * (WIDTH * p * (1 - p)) ** 0.5) + 1
+    """Sizes allow the similarity, and sketches are within 4.5 deviations of what it gives on average."""
+    far = F.lit(0)
+    for c in BITS:
+        x = F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))
+        far = far + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    p = percent / 100 + (1 - percent / 100) / 4
+    most = int(WIDTH * (1 - p) + 4.5 * (WIDTH * p * (1 - p)) ** 0.5) + 1
     sizes = (F.col(f"{a}.n") * 100 >= F.col(f"{b}.n") * percent) & (F.col(f"{b}.n") * 100 >= F.col(f"{a}.n") * percent)
     return sizes & (far <= most)
 
@@ -115,13 +120,18 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     """One row per row of ``df``: doc_id, n_shingles, component_id (smallest id of its group), xxhash64 of the text, kept."""
     docs = df.select(F.col(key).cast("long").alias("k"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("t"))
     live = docs.filter("k IS NOT NULL")
-    rows = _saved(live.mapInPandas(_set_rows(shingle, trees, depth), "doc_id long, text_hash long, n long, d1 long, d2 long, b1 long, b2 long, nodes array<long>"), "sets")
+    kinds = "doc_id long, text_hash long, n long, d1 long, d2 long, " + ", ".join(f"{b} long" for b in BITS) + ", nodes array<long>"
+    rows = _saved(live.mapInPandas(_set_rows(shingle, trees, depth), kinds), "sets")
     same = ["n", "d1", "d2"]
-    classes = _saved(rows.filter("n > 0").groupBy(*same).agg(F.min("doc_id").alias("id"), F.first("b1").alias("b1"), F.first("b2").alias("b2"), F.first("nodes").alias("nodes")), "classes")
-    sketch = classes.select("id", "n", "b1", "b2")
+    classes = _saved(rows.filter("n > 0").groupBy(*same).agg(F.min("doc_id").alias("id"), *(F.first(b).alias(b) for b in BITS), F.first("nodes").alias("nodes")), "classes")
+    sketch = classes.select("id", "n", *BITS)
     member = classes.select(F.explode("nodes").alias("node"), "id")
-    size = member.groupBy("node").agg(F.count("*").alias("c"), F.min("id").alias("first")).filter("c > 1")
-    member = _saved(member.join(size.select("node", "first"), "node"), "members")
+    size = member.groupBy("node").agg(F.count("*").alias("c")).filter("c > 1")
+    member = member.join(size, "node")
+    # who meets most others stands in the middle of a group: copies are nearer to their original than to each other
+    degree = member.groupBy("id").agg(F.sum("c").alias("degree"))
+    member = _saved(member.select("node", "id").join(degree, "id").withColumn("rank", F.struct("degree", (-F.col("id")).alias("last"))), "members")
+    member = _saved(member.join(member.groupBy("node").agg(F.max("rank").alias("m")).select("node", (-F.col("m.last")).alias("first")), "node"), "members")
 
     links = None
     group = None
@@ -133,11 +143,16 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
             named = named.join(group.select(F.col("id").alias("first"), F.col("component").alias("fg")), "first", "left").withColumn("fg", F.coalesce("fg", "first"))
             out = named.filter("g <> fg")
             if step == "outside":
-                second = out.groupBy("node").agg(F.min(F.struct("id", "g")).alias("s"))
-                pairs = named.join(second, "node").filter("g <> s.g AND id <> first").select(F.col("s.id").alias("a"), F.col("id").alias("b"))
+                second = out.groupBy("node").agg(F.max(F.struct("rank", "g")).alias("s"))
+                pairs = named.join(second, "node").filter("g <> s.g AND id <> first").select((-F.col("s.rank.last")).alias("a"), F.col("id").alias("b"))
             else:
-                x, y = out.join(sketch, "id").alias("x"), named.join(sketch, "id").alias("y")
-                pairs = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.g") != F.col("y.g")) & _near("x", "y", percent)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+                # a pair is taken up in the least node that it shares, not in each
+                full = classes.select("id", "n", *BITS, "nodes")
+                open_nodes = out.select("node").distinct()
+                x, y = out.join(full, "id").alias("x"), named.join(open_nodes, "node", "left_semi").join(full, "id").alias("y")
+                once = F.array_min(F.array_intersect("x.nodes", "y.nodes")) == F.col("x.node")
+                both = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.g") != F.col("y.g")) & _near("x", "y", percent) & once)
+                pairs = both.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         near = pairs.join(sketch.alias("p"), F.col("a") == F.col("p.id")).join(sketch.alias("q"), F.col("b") == F.col("q.id")).filter(_near("p", "q", percent))
         near = _saved(near.select("a", "b", F.col("p.n").alias("na"), F.col("q.n").alias("nb")), "pairs")
