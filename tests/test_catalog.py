@@ -98,3 +98,18 @@ def test_fingerprint_is_order_free(spark):
     df = spark.createDataFrame([("a", 1, 5), ("b", 2, 6)], "path string, length long, modificationTime long")
     other = df.orderBy(F.desc("path")).repartition(3)
     assert records.fingerprint(df, F.col("path")).first() == records.fingerprint(other, F.col("path")).first()
+
+
+def test_views(spark, tables):
+    from vendora.plans import views
+
+    assert len(views.register(spark, tables, "canon.com")) == 5
+    wide = spark.table("v_canonical_products")
+    assert wide.count() == 2 and {"main_camera_video", "memory_technology", "has_usb_c"} <= set(wide.columns)
+    full = spark.sql("SELECT prices, resolution FROM v_market_listings_full").collect()
+    assert len(full) == 5 and all(list(r["prices"]) == ["PKR"] and float(r["prices"]["PKR"]) == 48000.0 and r["resolution"] == "240x240" for r in full)
+    best = spark.sql("SELECT * FROM v_price_comparison WHERE total_listings = 8").first()
+    assert (best["sources_count"], best["min_price"], best["max_price"]) == (1, 172.99, 48000.0) and float(best["offers"][0]["amount"]) == 172.99
+    assert spark.sql("SELECT count_if(capacity_mah_differs) AS n, count(*) AS c FROM v_spec_discrepancies").first() == (0, 4)
+    assert spark.table("v_site_summary").first()["total_listings"] == 5
+    assert spark.sql("SELECT slugify('Redmi_Note 12'), slugify('***')").first() == ("redminote-12", "unknown")
