@@ -29,11 +29,22 @@ from .warc import shared_dir
 
 CAPACITY = 4096
 END_ID = 2
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 600_000
 #: Fixed value: the pre-token pattern of the word-end vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+def _byte_letters() -> dict[int, int]:
+    """Bytes as the letters that a byte-level vocabulary writes them with: printable ones stand for themselves, others follow from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    return {b: b for b in own} | {b: 256 + i for i, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
+_CLOSING = frozenset(".,;:!?")
+
+
 class Encoder:
     """Ids of whole texts as little-endian bytes; strings between white space are encoded once per worker."""
 
@@ -43,6 +54,7 @@ class Encoder:
         self.tok, self.pattern, self.unknown = load(path), regex.compile(PATTERN), Unknown()
         self.special = {str(t.content): struct.pack("<I", i) for i, t in self.tok.get_added_tokens_decoder().items()}
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.model = self.tok.model
         self.merged: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
@@ -53,6 +65,11 @@ class Encoder:
         parts = self.split.split(text) if self.split and any(s in text for s in self.special) else [text]
         return [p if i % 2 else unicodedata.normalize("NFC", p).lower() for i, p in enumerate(parts)]
 
+    def merge(self, pretoken: str) -> bytes:
+        letters = pretoken if pretoken.isascii() and pretoken.isprintable() else pretoken.encode().decode("latin-1").translate(_LETTERS)
+        ids = [t.id for t in self.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.chunks) > CACHE_ENTRIES:
             self.chunks.clear()
@@ -61,12 +78,14 @@ class Encoder:
         parts = [self.pieces(t) for t in texts]
         words = [[x if i % 2 else x.split() for i, x in enumerate(p)] if p is not None else None for p in parts]
         new = set().union(*(x for w in words if w for x in w[::2])) - self.chunks.keys()
-        cut = {c: self.pattern.findall(c) for c in new}
-        rest = [t for t in {t for v in cut.values() for t in v} if t not in self.merged]
-        for t, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False) if rest else [], strict=True):
-            self.merged[t] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        for c, v in cut.items():
-            self.chunks[c] = b"".join([self.merged[t] for t in v])
+        merged, chunks = self.merged, self.chunks
+        for c in new:
+            # a run of letters is one pre-token, and a closing mark after it another
+            cut = (c,) if c.isalpha() else (c[:-1], c[-1]) if c[-1] in _CLOSING and c[:-1].isalpha() else self.pattern.findall(c)
+            for t in cut:
+                if t not in merged:
+                    merged[t] = self.merge(t)
+            chunks[c] = merged[cut[0]] if len(cut) == 1 else b"".join([merged[t] for t in cut])
         get = self.chunks.__getitem__
         out = []
         for t, w in zip(texts, words, strict=True):
