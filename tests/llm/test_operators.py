@@ -185,6 +185,43 @@ def test_decontamination(spark):
     assert decontam.decontaminate(d, bench.limit(0)).count() == len(texts) and decontam.contaminated(d.limit(0), bench).count() == 0
 
 
+def test_decontamination_finds_every_window(spark):
+    rng = np.random.default_rng(11)
+    draw = lambda n: ["".join(rng.choice(list("abcdefghij"), rng.integers(3, 8))) for _ in range(n)]
+    items = [draw(n) for n in (13, 40, 200, 600)] + [["a", "b", "c", "d", "e"] * 6]
+    texts = []
+    for it in items:
+        n = len(it)
+        k = max(1, n // 10)
+        one, many = it[:], it[:]
+        one[n // 2] = "other"
+        many[0] = many[n // 3] = many[-1] = "other"
+        for edited in (it, it[k:], it[:-k], it[k // 2 :], one, many, [*it[: n // 2], "more", *it[n // 2 :]]):
+            texts.append([*draw(30), *edited, *draw(30)])
+            texts.append([*draw(9), *edited])
+            texts.append(edited)
+    got = decontam.contaminated(docs(spark, [" ".join(t) for t in texts]), docs(spark, [" ".join(i) for i in items]), item_key="doc_id").collect()
+
+    def shingles(w):
+        return collections.Counter(zip(*(w[i:] for i in range(5))))
+
+    want = {}
+    for d, t in enumerate(texts):
+        for i, it in enumerate(items):
+            if not set(shingles(it)) & set(shingles(t)):
+                continue
+            b, good = shingles(it), []
+            for s in range(len(t)):
+                a = shingles(t[s : s + len(it)])
+                same = (a & b).total()
+                if same * 100 >= (a.total() + b.total() - same) * 80:
+                    good.append((-same / (a.total() + b.total() - same), s))
+            if good:
+                want[d, i] = (min(good)[1], len(good))
+    assert {(r["k"], r["item_id"]): (r["start"], r["n_windows"]) for r in got} == want
+    assert len(want) > 60
+
+
 def test_language_id(spark):
     rows = spark.read.parquet(f"{DATA}/documents.parquet")
     test = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1

@@ -1,13 +1,15 @@
 """Benchmark decontamination, in DataFrame operations only.
 
-1. Texts that share no five-word shingle with any item can't reach the similarity and are left out; nothing
-   else is decided here.
+1. A window that reaches the similarity holds one at least of an item's rarest shingles, as many as the similarity
+   allows to miss and one more. Texts that hold none of any item are left out; nothing else is decided here.
 2. In what remains every window of an item's size gets a 64-bit SimHash of its word pairs. Counters of all bits
    are running sums, sixteen bits wide and four to a number, so that a window costs one difference. Sizes run on
    a grid of ratio 1.25: an item is fingerprinted over its first words, as many as the grid size below its own.
 3. Fingerprints are cut into four blocks. If two differ in at most 11 bits, some block differs in at most two, so
    an index of each item's blocks with all changes of up to two bits finds every pair within the radius.
-4. Pairs found are verified: the shingles of the item and of the window of its exact size, weighted by how often
+4. Fingerprints are random and see first words only, so windows are counted too: each that holds as many of the
+   item's shingles as the similarity takes is a pair, wherever the two differ and however long they are.
+5. Pairs found are verified: the shingles of the item and of the window of its exact size, weighted by how often
    they occur, must have a similarity of 0.8 or more.
 
 Defined cases: null texts count as empty; texts and items of under five words match nothing; a null id is an id like
@@ -26,7 +28,7 @@ from .suffix import _with
 
 SHINGLE = 5
 RADIUS, BLOCKS, BLOCK_BITS = 11, 4, 16
-#: Words of the largest window that gets a fingerprint; longer items are found by their first words.
+#: Words of the largest window that gets a fingerprint; what that misses of longer items is found by counting.
 LARGEST = 128
 SEGMENT = 4096
 LANES = 0x0001000100010001
@@ -99,8 +101,41 @@ def _blocks(fp: str) -> Column:
 
 
 def _counted(shingles: Column) -> Column:
-    """A multiset as a set: each element with the number of its occurrence."""
-    return _let(F.sort_array(shingles), lambda s: F.transform(s, lambda x, i: F.struct(x.alias("x"), (i + 1 - F.array_position(s, x)).alias("n"))))
+    """A multiset as a set of strings: an element again has the number of its occurrence as a sixth word."""
+    def each(s: Column) -> Column:
+        again = F.transform(s, lambda x, i: _let(i + 1 - F.array_position(s, x), lambda n: F.when(n > 0, F.concat_ws(" ", x, n.cast("string"))).otherwise(x)))
+        return F.when(F.size(F.array_distinct(s)) == F.size(s), s).otherwise(again)
+
+    return _let(F.sort_array(shingles), each)
+
+
+def _least(m: Column, whole: Column, percent: int) -> Column:
+    """Shingles that a window shares at least with an item of ``m``: one as large as the item, or one that the text's end cuts short."""
+    return F.when(whole, F.floor((m * (2 * percent) + 99 + percent) / (100 + percent))).otherwise(F.floor((m * percent + 99) / 100)).cast("int")
+
+
+def _rarest(items: DataFrame, hits: DataFrame, percent: int) -> DataFrame:
+    """(iid, s): shingles of each item of which a window that reaches the similarity holds one at least."""
+    of = items.select("iid", F.explode(_hashes(F.col("iw"), SHINGLE)).alias("s")).join(hits.groupBy("s").agg(F.count("*").alias("f")), "s", "left")
+    of = of.groupBy("iid").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "s"))).alias("x"))
+    some = F.slice("x", F.lit(1), F.size("x") - _least(F.size("x"), F.lit(False), percent) + 1)
+    return of.select("iid", F.explode(F.array_distinct(F.transform(some, lambda x: x["s"]))).alias("s"))
+
+
+def counted(near: DataFrame, hits: DataFrame, items: DataFrame, words: DataFrame, percent: int) -> DataFrame:
+    """(k, h, start, iid) of every window of an item's size that holds enough of its shingles, for the pairs ``near(k, h, iid)``."""
+    of = items.select("iid", F.explode(F.array_distinct(_hashes(F.col("iw"), SHINGLE))).alias("s"))
+    x, y = near.join(of, "iid"), hits.select(F.col("k").alias("k2"), F.col("h").alias("h2"), F.col("s").alias("s2"), "pos")
+    at = x.join(y, (F.col("h") == F.col("h2")) & (F.col("s") == F.col("s2")) & F.col("k").eqNullSafe(F.col("k2")))
+    at = at.groupBy("k", "h", "iid").agg(F.sort_array(F.collect_set("pos")).alias("p"))
+    at = at.join(items.select("iid", (F.size("iw") - SHINGLE + 1).alias("m")), "iid")
+    at = _with(at, words.select("k", "h", F.size("w").alias("nd")), "nd", "inner")
+    each = at.select("k", "h", "iid", "m", "nd", "p", F.posexplode("p").alias("j", "first"))
+    each = each.withColumn("least", _least(F.col("m"), F.col("first") + F.col("m") + SHINGLE - 1 <= F.col("nd"), percent))
+    each = each.filter(F.get("p", F.col("j") + F.col("least") - 1) < F.col("first") + F.col("m"))
+    # windows whose first hit this is begin after the hit before it
+    low = F.greatest(F.coalesce(F.get("p", F.col("j") - 1), F.lit(-1)) + 1, F.col("first") - F.col("m") + F.col("least"))
+    return each.select("k", "h", F.explode(F.sequence(low, F.col("first"))).alias("start"), "iid")
 
 
 def contaminated(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", percent: int = 80) -> DataFrame:
@@ -118,8 +153,11 @@ def contaminated(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     known = items.select(F.explode(F.array_distinct(_hashes(F.col("iw"), SHINGLE))).alias("s")).distinct()
     if items.count() * (LARGEST * 16) <= BROADCAST_BYTES:
         known = F.broadcast(known)
-    shared = docs.select("k", "h", F.explode(_hashes(_words(F.col("t")), SHINGLE)).alias("s")).join(known, "s", "left_semi").select("k", "h").distinct()
-    shared = _saved(shared.withColumn("hit", F.lit(1)), "hits")
+    hits = docs.select("k", "h", F.posexplode(_hashes(_words(F.col("t")), SHINGLE)).alias("pos", "s")).join(known, "s", "left_semi")
+    hits = _saved(hits.distinct(), "hits")
+    rarest = _saved(_rarest(items, hits, percent), "rarest")
+    near = _saved(hits.join(rarest, "s").select("k", "h", "iid").distinct(), "near")
+    shared = near.select("k", "h").distinct().withColumn("hit", F.lit(1))
     words = _saved(_with(docs, shared, "hit", "inner").dropDuplicates(["k", "h"]).select("k", "h", _words(F.col("t")).alias("w")), "words")
 
     first = fingerprints(items.select(F.col("iid").alias("k"), F.col("iid").alias("h"), F.slice("iw", 1, F.lit(max(used))).alias("w")), used).filter("start = 0")
@@ -130,8 +168,9 @@ def contaminated(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     if index.count() * INDEX_ROW_BYTES <= BROADCAST_BYTES:
         index = F.broadcast(index)
     seen = fingerprints(words, used).select("*", F.explode(_blocks("fp")).alias("b"))
-    near = (F.col("g") == F.col("ig")) & (F.col("b.block") == F.col("iblock")) & (F.col("b.v") == F.col("iv")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
-    pairs = _saved(seen.join(index, near).select("k", "h", "start", "iid").distinct(), "pairs")
+    alike = (F.col("g") == F.col("ig")) & (F.col("b.block") == F.col("iblock")) & (F.col("b.v") == F.col("iv")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
+    pairs = seen.join(index, alike).select("k", "h", "start", "iid").unionByName(counted(near, hits, items, words, percent))
+    pairs = _saved(pairs.distinct(), "pairs")
 
     full = pairs.join(items.select("iid", "item_id", "iw"), "iid")
     full = _with(full.withColumn("t", F.lit(1)), words, "w", "inner").drop("t")
