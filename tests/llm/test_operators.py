@@ -272,6 +272,25 @@ def test_licenses(spark):
     assert (got[9]["missing"], got[9]["added"]) == ("license", "licence") and got[3]["missing"] == "" and texts[3][got[3]["start"] : got[3]["end"]] == "Released under the MIT License."
 
 
+def test_licenses_over_lines_and_in_prose(spark):
+    by = {name: wording for name, wording, _ in licenses.TEMPLATES}
+    prose = "We walked along the river and talked about nothing in particular."
+    wrap = lambda t, n: "\n".join(" ".join(t.split()[i : i + n]) for i in range(0, len(t.split()), n))
+    mit, apache = licenses.TEMPLATES[3][1], licenses.TEMPLATES[5][1]
+    texts = [
+        "Released under the\nMIT License.",
+        f"{prose}\n{wrap(mit, 9)}\n{prose}",
+        f"{wrap(prose + ' ' + apache, 7)}\n{prose}",
+        f"{prose} {by['MPL-2.0']} {prose}",
+        wrap(f"{' '.join([prose] * 200)} {mit} {' '.join([prose] * 200)}", 12),
+        f"{prose} All rights\nreserved.",
+        f"{' '.join([prose] * 200)} {apache}. {' '.join([prose] * 200)}",
+    ]
+    got = licenses.license_scan(docs(spark, texts, ODD)).collect()
+    assert sorted((r["k"], r["license"]) for r in got) == [(0, "MIT"), (1, "MIT"), (2, "Apache-2.0"), (3, "MPL-2.0"), (4, "MIT"), (5, "Proprietary"), (6, "Apache-2.0")]
+    assert all(r["similarity"] > 0.9 for r in got)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

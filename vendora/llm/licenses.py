@@ -1,28 +1,29 @@
 """License scans by conditional compression.
 
-Candidate blocks are lines with a cue word, and paragraphs with two or more of them. A block is compressed alone
-and with each template as a zstandard raw dictionary; templates are ranked by how much smaller it gets. The best
-are confirmed by their exact wording: words of the template that the block lacks and words it adds are listed, and
-a template is accepted if few differ and none of those that name the license. One row is returned per block that
-is accepted; a line inside an accepted paragraph is not reported again.
+Candidate blocks are runs of sentences and lines of a paragraph that hold a cue word, wherever its lines break. A
+block whose words allow a template is compressed alone and with it as a zstandard raw dictionary; templates that
+make it smaller are confirmed by their exact wording: words of the template that the block lacks and words it adds
+are listed, and a template is accepted if few differ and none of those that name the license. One row is returned
+per block that is accepted; of blocks that overlap the most similar counts, and the longest of equals.
 
 The scan is one pass without a shuffle; what a task learns about a block it keeps for later copies of it.
 
 Defined cases: null and empty texts have no block; repeated rows are reported as often as they stand; a null id is
-kept; blocks over ``MAX_BLOCK`` characters are searched line by line and sentence by sentence, nothing is left out.
+kept; paragraphs may have any length, blocks have at most the words that the longest template can be accepted with.
 """
 
 from __future__ import annotations
 
 import difflib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CUES = r"(?i)licen[cs]|copyright|rights reserved|permission is hereby|public domain|redistribut|warrant"
+CUES = r"(?i)licen[cs]|copyright|rights\s+reserved|permission\s+is\s+hereby|public\s+domain|redistribut|warrant"
 #: Notice wordings, and the words of each that name the license.
 TEMPLATES = (
     ("MIT", "Released under the MIT License.", "mit"),
@@ -51,8 +52,6 @@ TEMPLATES = (
     ("Proprietary", "All rights reserved.", "all rights reserved"),
     ("Proprietary", "Copyright. All rights reserved.", "copyright rights reserved"),
 )
-MAX_BLOCK = 4000
-RANKED = 4
 KEPT_BLOCKS = 20_000
 _word = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 
@@ -78,7 +77,10 @@ class Scanner:
             raw = zstandard.ZstdCompressionDict(_plain(wording), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.with_template.append(zstandard.ZstdCompressor(dict_data=raw, write_dict_id=False, **options))
         self.templates = [(name, words(wording), set(words(must))) for name, wording, must in templates]
+        self.counts = [Counter(want) for _, want, _ in self.templates]
         self.min_words, self.min_reduction = min_words, min_reduction
+        # no block of more words can have the share
+        self.most = int(max(len(want) for _, want, _ in self.templates) * (2 / min_words - 1) + 1e-9)
         self.known: dict[str, tuple | None] = {}
 
     def judge(self, block: str) -> tuple | None:
@@ -90,14 +92,17 @@ class Scanner:
         return self.known[block]
 
     def _judge(self, block: str) -> tuple | None:
+        have, best = words(block), None
+        held, count = set(have), Counter(have)
+        fit = [i for i, (_, want, must) in enumerate(self.templates) if must <= held and 2 * (count & self.counts[i]).total() >= self.min_words * (len(want) + len(have)) - 1e-9]
+        if not fit:
+            return None
         raw = _plain(block)
         base = len(self.alone.compress(raw))
-        reduction = [1 - len(c.compress(raw)) / base for c in self.with_template]
-        order = sorted(range(len(reduction)), key=lambda i: (-reduction[i], i))[:RANKED]
-        have, best = words(block), None
-        for i in order:
-            name, want, must = self.templates[i]
-            if reduction[i] < self.min_reduction or not must <= set(have):
+        reduction = {i: 1 - len(self.with_template[i].compress(raw)) / base for i in fit}
+        for i in sorted(fit, key=lambda i: (-reduction[i], i)):
+            name, want, _ = self.templates[i]
+            if reduction[i] < self.min_reduction:
                 continue
             diff = difflib.SequenceMatcher(None, want, have, autojunk=False)
             missing, added = [], []
@@ -112,41 +117,48 @@ class Scanner:
 
     def scan(self, text: str) -> list[tuple]:
         """(start, end, license, reduction, similarity, missing, added) by place."""
+        found = [(s, e, *x) for s, e in blocks(text, self.most) if (x := self.judge(text[s:e]))]
         out: list[tuple] = []
-        for start, end in blocks(text):
-            if any(s <= start and end <= e for s, e, *_ in out):
-                continue
-            found = self.judge(text[start:end])
-            if found:
-                out.append((start, end, *found))
+        for x in sorted(found, key=lambda x: (-x[4], x[0] - x[1], x[0])):
+            if all(x[1] <= s or e <= x[0] for s, e, *_ in out):
+                out.append(x)
         return sorted(out)
 
 
 _cue = re.compile(CUES)
 _paragraph = re.compile(r"[^\n]+(?:\n[^\n]+)*")
-_sentence = re.compile(r".+?(?:[.!?](?=\s)|$)", re.S)
+#: Where a sentence or a line ends; ``v.`` is an abbreviation.
+_end = re.compile(r"(?<!\bv)(?<!\bV)[.!?](?=\s)|(?=\n)|\Z")
 
 
-def blocks(text: str) -> Iterator[tuple[int, int]]:
-    """Candidate blocks, larger ones first within each paragraph."""
+def blocks(text: str, most: int) -> Iterator[tuple[int, int]]:
+    """Candidate blocks: runs of sentences and lines within a paragraph, of up to ``most`` words and with a cue."""
     if not _cue.search(text):
         return
     for p in _paragraph.finditer(text):
-        if not _cue.search(p[0]):
+        cues = [(m.start(), m.end()) for m in _cue.finditer(text, p.start(), p.end())]
+        if not cues:
             continue
-        lines, at = [], p.start()
-        for line in p[0].split("\n"):
-            if _cue.search(line):
-                lines.append((at, at + len(line)))
-            at += len(line) + 1
-        if len(lines) > 1 and p.end() - p.start() <= MAX_BLOCK:
-            yield p.start(), p.end()
-        for s, e in lines:
-            if e - s <= MAX_BLOCK:
-                yield s, e
-            for m in _sentence.finditer(text, s, e):
-                if _cue.search(m[0]) and (m.start(), m.end()) != (s, e):
-                    yield m.start() + len(m[0]) - len(m[0].lstrip()), m.end()
+        parts, at = [], p.start()
+        for m in _end.finditer(p[0]):
+            end = p.start() + m.end()
+            piece = text[at:end]
+            if piece.strip():
+                parts.append((at + len(piece) - len(piece.lstrip()), at + len(piece.rstrip()), len(words(piece))))
+            at = end
+        c = 0
+        for i, (start, _, _) in enumerate(parts):
+            while c < len(cues) and cues[c][0] < start:
+                c += 1
+            if c == len(cues):
+                break
+            n = 0
+            for _, end, size in parts[i:]:
+                n += size
+                if n > most:
+                    break
+                if cues[c][1] <= end:
+                    yield start, end
 
 
 _scanner: list[Scanner] = []
