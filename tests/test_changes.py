@@ -55,6 +55,21 @@ def test_identity_guards(spark):
     assert got == {1: 1, 2: 3}
 
 
+def test_identity_keeps_common_tokens(spark):
+    # 1,200 products have "galaxy" and "phone" each; the rarer token "teal" belongs to another product
+    names = [(i, f"galaxy phone {'x' * (i % 40 + 1)}{chr(97 + i // 40)}") for i in range(1200)] + [(5000, "galaxy phone"), (5001, "teal lamp of glass")]
+    titles = [(1, "galaxy phone teal"), (2, "phone galaxy"), (3, "glass lamp teal"), (4, "nothing alike")]
+    products = spark.createDataFrame(names, "product_id long, name string")
+    got = {r["listing_id"]: (r["product_id"], r["similarity"]) for r in identity.fuzzy_identity(spark.createDataFrame(titles, "listing_id long, title string"), products).collect()}
+    want = {}
+    for k, title in titles:
+        t = set(title.split())
+        sims = [(-len(t & set(n.split())) / len(t | set(n.split())), i) for i, n in names]
+        if min(sims)[0] <= -0.5:
+            want[k] = (min(sims)[1], -min(sims)[0])
+    assert got == want and got[1] == (5000, 2 / 3)
+
+
 def test_id_stability_under_permutation(spark):
     df = spark.createDataFrame([("A", "x"), ("B", "x"), ("C", "y")], "ident string, base string")
     a = identity.unique_slugs(df, F.col("ident"), F.col("base"))

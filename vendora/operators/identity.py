@@ -94,23 +94,27 @@ def tokens(name: Column) -> Column:
 VARIANTS = ("ultra", "plus", "pro", "max", "mini", "lite", "fe", "note", "fold", "flip", "neo", "edge")
 
 
-def fuzzy_identity(listings: DataFrame, products: DataFrame, min_similarity: float = 0.5, max_products: int = 1000) -> DataFrame:
+def fuzzy_identity(listings: DataFrame, products: DataFrame, min_similarity: float = 0.5) -> DataFrame:
     """Best product for each listing(listing_id, title) among products(product_id, name): token Jaccard behind guards.
 
-    Candidates share a token that at most ``max_products`` products have; a listing all of whose tokens are more common
-    is matched through its rarest. Variant words and words with a digit must agree exactly.
+    Variant words and words with a digit must agree exactly. Candidates share one of the rarest tokens of both sides: of
+    n tokens a match holds n * ``min_similarity`` at least, so one of the n less that, plus one, rarest is common.
     """
-    p = products.withColumn("pt", tokens(F.col("name")))
-    li = listings.withColumn("lt", tokens(F.col("title")))
+    special = lambda c: F.array_sort(F.filter(c, lambda x: x.isin(*VARIANTS) | x.rlike("[0-9]")))
+    p = products.select("product_id", tokens(F.col("name")).alias("pt")).withColumn("guard", special("pt"))
+    li = listings.select("listing_id", tokens(F.col("title")).alias("lt")).withColumn("guard", special("lt"))
     seen = p.select(F.explode("pt").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
-    of = li.select("listing_id", F.explode("lt").alias("t")).join(seen, "t")
-    rarest = F.min("n").over(Window.partitionBy("listing_id"))
-    block = of.withColumn("m", rarest).filter((F.col("n") <= max_products) | (F.col("n") == F.col("m"))).select("listing_id", "t")
-    pairs = block.join(p.select("product_id", F.explode("pt").alias("t")), "t").select("listing_id", "product_id").distinct()
-    both = pairs.join(li, "listing_id").join(p, "product_id")
+
+    def rarest(df: DataFrame, ident: str, words: str) -> DataFrame:
+        of = df.select(ident, "guard", F.explode(words).alias("t")).join(seen, "t", "left")
+        of = of.groupBy(ident, "guard").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "t"))).alias("x"))
+        some = F.slice("x", F.lit(1), F.size("x") - F.ceil(F.size("x") * min_similarity - 1e-9).cast("int") + 1)
+        return of.select(ident, "guard", F.explode(some).alias("x")).select(ident, "guard", F.col("x.t").alias("t"))
+
+    pairs = rarest(li, "listing_id", "lt").join(rarest(p, "product_id", "pt"), ["t", "guard"]).select("listing_id", "product_id").distinct()
+    both = pairs.join(li.drop("guard"), "listing_id").join(p.drop("guard"), "product_id")
     both = both.withColumn("similarity", F.size(F.array_intersect("pt", "lt")) / F.size(F.array_union("pt", "lt")))
-    special = lambda c: F.array_sort(F.filter(c, lambda x: x.isin(*VARIANTS) | x.rlike("[0-9]")))
-    good = both.filter((F.col("similarity") >= min_similarity) & (special("pt") == special("lt")))
+    good = both.filter(F.col("similarity") >= min_similarity)
     return pick_one(good, ["listing_id"], [F.desc("similarity"), F.col("product_id")]).select("listing_id", "product_id", "similarity")
 
 
