@@ -1,19 +1,24 @@
 """Benchmark decontamination, in DataFrame operations only.
 
-1. A window that reaches the similarity holds one at least of an item's rarest shingles, as many as the similarity
-   allows to miss and one more. Texts that hold none of any item are left out; nothing else is decided here.
-2. In what remains every window of an item's size gets a 64-bit SimHash of its word pairs. Counters of all bits
-   are running sums, sixteen bits wide and four to a number, so that a window costs one difference. Sizes run on
-   a grid of ratio 1.25: an item is fingerprinted over its first words, as many as the grid size below its own.
-3. Fingerprints are cut into four blocks. If two differ in at most 11 bits, some block differs in at most two, so
-   an index of each item's blocks with all changes of up to two bits finds every pair within the radius.
-4. Fingerprints are random and see first words only, so windows are counted too: each that holds as many of the
-   item's shingles as the similarity takes is a pair, wherever the two differ and however long they are.
-5. Pairs found are verified: the shingles of the item and of the window of its exact size, weighted by how often
-   they occur, must have a similarity of 0.8 or more.
+1. Anchors. A window that reaches the similarity holds one at least of an item's rarest shingles, as many as the
+   similarity allows to miss and one more. Only windows of the item's size near such a shingle are looked at.
+2. Fingerprints. Each of them has a 64-bit SimHash of its word pairs. Counters of all bits are running sums, sixteen
+   bits wide and four to a number, so that a window of any size costs one difference of two rows.
+3. Index. Fingerprints are cut into eight blocks. If two differ in at most RADIUS bits, some block differs in at most
+   two, so an index of each item's blocks with all changes of up to two bits finds every pair within the radius.
+4. Verification. The shingles of the item and of the window, weighted by how often they occur, must have a
+   similarity of 0.8 or more.
+
+The radius: a window of the item's size at similarity 0.8 lacks at most a ninth of its shingles, and no more pairs than
+shingles (a run of e changed words costs e + 4 shingles and e + 1 pairs inside, e and e at an edge). Where pairs hardly repeat that
+is a cosine of 8 / 9, and each bit differs with probability 0.152: more than 23 of 64 do in 1 of 50,000 such windows, while an item
+that stands in the text usually has several. Repeated pairs can move a fingerprint further, so windows and items in
+which more than half the root of their pairs are repeats do not depend on it: they are verified as they are, as are items of more
+than LONGEST words, whose counters would not fit. Windows that share too few shingle places with the item to reach the similarity are left out before.
 
 Defined cases: null texts count as empty; texts and items of under five words match nothing; a null id is an id like
-others; repeated rows are judged once and reported once; empty tables give an empty result; other columns stay.
+others; repeated rows are judged once and reported once; of equally similar windows the first is reported; empty
+tables give an empty result; other columns stay.
 """
 
 from __future__ import annotations
@@ -27,21 +32,13 @@ from .quality import SPACE, _let
 from .suffix import _with
 
 SHINGLE = 5
-RADIUS, BLOCKS, BLOCK_BITS = 11, 4, 16
-#: Words of the largest window that gets a fingerprint; what that misses of longer items is found by counting.
-LARGEST = 128
-SEGMENT = 4096
-LANES = 0x0001000100010001
-#: An index of items is broadcast up to this size, and joined by shuffle beyond.
+RADIUS, BLOCKS, BLOCK_BITS = 23, 8, 8
+LANES, LANE_BITS = 0x0001000100010001, 16
+#: Words of the longest item whose counters fit their lanes.
+LONGEST = 1 << 14
+#: A table of items is broadcast up to this size, and joined by shuffle beyond.
 BROADCAST_BYTES = 64 << 20
-INDEX_ROW_BYTES = 64
-
-
-def grid() -> list[int]:
-    sizes = [SHINGLE]
-    while sizes[-1] < LARGEST:
-        sizes.append(min(LARGEST, max(sizes[-1] + 1, sizes[-1] * 5 // 4)))
-    return sizes
+ROW_BYTES = 64
 
 
 def _words(text: Column) -> Column:
@@ -69,25 +66,26 @@ def _keyed(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).cast("long").alias("k"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("t"))
 
 
-def fingerprints(words: DataFrame, sizes: list[int]) -> DataFrame:
-    """(k, h, start, g, fp): the SimHash of each window of g words, g in ``sizes``, of ``words(k, h, w)``."""
-    most = max(sizes)
-    seg = words.select("k", "h", F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - 2, F.lit(0)), F.lit(SEGMENT))).alias("base"), "w")
-    seg = seg.select("k", "h", "base", F.posexplode(_hashes(F.slice("w", F.col("base") + 1, F.lit(SEGMENT + most)), 2)).alias("pos", "f"))
-    own = [F.shiftrightunsigned("f", j).bitwiseAND(F.lit(LANES)) for j in range(BLOCK_BITS)]
-    by = Window.partitionBy("k", "h", "base").orderBy("pos")
-    run = by.rowsBetween(Window.unboundedPreceding, 0)
-    sums = seg.select("k", "h", "base", "pos", F.struct(*(c.alias(f"l{j}") for j, c in enumerate(own))).alias("own"), F.struct(*(F.sum(c).over(run).alias(f"l{j}") for j, c in enumerate(own))).alias("s"))
-    ends = F.array(*(F.struct(F.lit(g).alias("g"), F.lead("s", g - 2).over(by).alias("e")) for g in sizes))
-    rows = sums.withColumn("x", ends).filter(F.col("pos") < SEGMENT).select("k", "h", "own", "s", (F.col("base") + F.col("pos")).alias("start"), F.explode("x").alias("x")).filter("x.e IS NOT NULL")
-    top = LANES << 14
-    # a lane's bit 14 is set if its count is a majority of the window's g - 1 pairs
-    over = F.lit(LANES) * (F.lit(1 << 14) - F.floor((F.col("x.g") - 1) / 2).cast("long") - 1)
+def _lanes(pair: str) -> list[Column]:
+    """The 64 bits of a hash as LANE_BITS numbers of four counters each."""
+    return [F.shiftrightunsigned(pair, j).bitwiseAND(F.lit(LANES)) for j in range(LANE_BITS)]
+
+
+def _simhash(counts: list[Column], n: Column) -> Column:
+    """Bits that are set in more than half of ``n`` hashes."""
+    # a lane's bit 14 is set if its count is a majority
+    over = F.lit(LANES) * (F.lit(1 << 14) - F.floor(n / 2).cast("long") - 1)
     fp = F.lit(0).cast("long")
-    for j in range(BLOCK_BITS):
-        count = F.col(f"x.e.l{j}") - F.col(f"s.l{j}") + F.col(f"own.l{j}")
-        fp = fp.bitwiseOR(F.shiftleft(F.shiftrightunsigned((count + over).bitwiseAND(F.lit(top)), 14), j))
-    return rows.select("k", "h", "start", F.col("x.g").alias("g"), fp.alias("fp"))
+    for j, c in enumerate(counts):
+        fp = fp.bitwiseOR(F.shiftleft(F.shiftrightunsigned((c + over).bitwiseAND(F.lit(LANES << 14)), 14), j))
+    return fp
+
+
+def item_fingerprints(items: DataFrame) -> DataFrame:
+    """(iid, ifp) of items whose counters fit."""
+    pairs = items.filter(F.size("iw") <= LONGEST).select("iid", F.explode(_hashes(F.col("iw"), 2)).alias("f"))
+    sums = pairs.groupBy("iid").agg(*(F.sum(c).alias(f"l{j}") for j, c in enumerate(_lanes("f"))), F.count("*").alias("n"))
+    return sums.select("iid", _simhash([F.col(f"l{j}") for j in range(LANE_BITS)], F.col("n")).alias("ifp"))
 
 
 def _changes() -> list[int]:
@@ -100,6 +98,13 @@ def _blocks(fp: str) -> Column:
     return F.array(*(F.struct(F.lit(b).alias("block"), F.shiftrightunsigned(fp, b * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).alias("v")) for b in range(BLOCKS)))
 
 
+def block_index(first: DataFrame) -> DataFrame:
+    """(iid, ifp, block, v): each block of each item's fingerprint with every change that the radius leaves one block."""
+    rows = first.select("iid", "ifp", F.explode(_blocks("ifp")).alias("b"))
+    changed = F.transform(F.array(*map(F.lit, _changes())), lambda m: F.col("b.v").bitwiseXOR(m.cast("long")))
+    return rows.select("iid", "ifp", F.col("b.block").alias("block"), F.explode(changed).alias("v"))
+
+
 def _counted(shingles: Column) -> Column:
     """A multiset as a set of strings: an element again has the number of its occurrence as a sixth word."""
     def each(s: Column) -> Column:
@@ -122,59 +127,90 @@ def _rarest(items: DataFrame, hits: DataFrame, percent: int) -> DataFrame:
     return of.select("iid", F.explode(F.array_distinct(F.transform(some, lambda x: x["s"]))).alias("s"))
 
 
-def counted(near: DataFrame, hits: DataFrame, items: DataFrame, words: DataFrame, percent: int) -> DataFrame:
-    """(k, h, start, iid) of every window of an item's size that holds enough of its shingles, for the pairs ``near(k, h, iid)``."""
-    of = items.select("iid", F.explode(F.array_distinct(_hashes(F.col("iw"), SHINGLE))).alias("s"))
-    x, y = near.join(of, "iid"), hits.select(F.col("k").alias("k2"), F.col("h").alias("h2"), F.col("s").alias("s2"), "pos")
-    at = x.join(y, (F.col("h") == F.col("h2")) & (F.col("s") == F.col("s2")) & F.col("k").eqNullSafe(F.col("k2")))
-    at = at.groupBy("k", "h", "iid").agg(F.sort_array(F.collect_set("pos")).alias("p"))
-    at = at.join(items.select("iid", (F.size("iw") - SHINGLE + 1).alias("m")), "iid")
-    at = _with(at, words.select("k", "h", F.size("w").alias("nd")), "nd", "inner")
-    each = at.select("k", "h", "iid", "m", "nd", "p", F.posexplode("p").alias("j", "first"))
-    each = each.withColumn("least", _least(F.col("m"), F.col("first") + F.col("m") + SHINGLE - 1 <= F.col("nd"), percent))
-    each = each.filter(F.get("p", F.col("j") + F.col("least") - 1) < F.col("first") + F.col("m"))
-    # windows whose first hit this is begin after the hit before it
-    low = F.greatest(F.coalesce(F.get("p", F.col("j") - 1), F.lit(-1)) + 1, F.col("first") - F.col("m") + F.col("least"))
-    return each.select("k", "h", F.explode(F.sequence(low, F.col("first"))).alias("start"), "iid")
+def windows(anchors: DataFrame, items: DataFrame, words: DataFrame, percent: int) -> DataFrame:
+    """(k, h, iid, start, fp): windows of the item's size around ``anchors(k, h, iid, pos)`` that share places enough with the item, and their SimHash.
+
+    Starts are taken in blocks as long as the item, so a task's groups are as long as two items at most. Of windows that
+    the text's end cuts short, what is there counts.
+    """
+    item = items.select("iid", F.size("iw").alias("m"))
+    near = anchors.join(item, "iid")
+    touched = F.array_distinct(F.array(F.floor(F.greatest(F.col("pos") - F.col("m") + SHINGLE, F.lit(0)) / F.col("m")), F.floor(F.col("pos") / F.col("m"))))
+    near = near.select("k", "h", "iid", "m", F.explode(touched).alias("base")).distinct()
+    near = _with(near, words, "w", "inner").withColumn("nd", F.size("w"))
+    near = near.withColumn("at", (F.col("base") * F.col("m")).cast("int"))
+    part = F.slice("w", F.col("at") + 1, 2 * F.col("m"))
+    def hashes(w: Column) -> Column:
+        def at(i: Column) -> Column:
+            shingle = F.when(i + SHINGLE <= F.size(w), F.xxhash64(*(F.get(w, i + j) for j in range(SHINGLE))))
+            return F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1)).alias("f"), shingle.alias("s"))
+
+        return F.when(F.size(w) >= 2, F.transform(F.sequence(F.lit(0), F.size(w) - 2), at))
+
+    both = _let(part, hashes)
+    rows = near.select("k", "h", "iid", "m", "nd", "at", F.posexplode(both).alias("i", "x")).select("k", "h", "iid", "m", "nd", "at", "i", F.col("x.f").alias("f"), F.col("x.s").alias("s"))
+    mine = _small(_item_shingles(items).withColumn("a", F.lit(1)))
+    rows = rows.join(mine, ["iid", "s"], "left").withColumn("a", F.coalesce("a", F.lit(0)))
+    by = Window.partitionBy("k", "h", "iid", "at").orderBy("i")
+    run = by.rowsBetween(Window.unboundedPreceding, 0)
+    # a shingle begins at its first pair and ends with its fourth
+    rows = rows.withColumn("b", F.coalesce(F.lag("a", SHINGLE - 2).over(by), F.lit(0)))
+    sums = rows.select("k", "h", "iid", "m", "nd", "at", "i", *(F.sum(c).over(run).alias(f"l{j}") for j, c in enumerate(_lanes("f"))), F.sum("a").over(run).alias("a"), F.sum("b").over(run).alias("b"))
+    # a window from s to e is the sum up to e less the sum before s
+    whole, most = F.col("i") - F.col("m") + 2, F.least(F.col("i") - SHINGLE + 2, F.col("m") - 1)
+    short = (F.col("at") + F.col("i") == F.col("nd") - 2) & (F.greatest(whole, F.lit(0)) <= most)
+    ending = F.when(short, F.sequence(F.greatest(whole, F.lit(0)), most)).otherwise(F.array(whole))
+    roles = F.concat(F.transform(ending, lambda s: F.struct(s.alias("s"), F.lit(1).alias("sign"))), F.array(F.struct((F.col("i") + 1).alias("s"), F.lit(-1).alias("sign"))))
+    ev = sums.select("k", "h", "iid", "m", "nd", "at", *(f"l{j}" for j in range(LANE_BITS)), "a", "b", F.explode(roles).alias("x"))
+    ev = ev.filter((F.col("x.s") >= 0) & (F.col("x.s") < F.col("m")))
+    lanes = [F.sum(F.col(f"l{j}") * F.col("x.sign")).alias(f"l{j}") for j in range(LANE_BITS)]
+    shared = F.sum(F.when(F.col("x.sign") > 0, F.col("b")).otherwise(-F.col("a"))).alias("c")
+    out = ev.groupBy("k", "h", "iid", "m", "nd", "at", F.col("x.s").alias("s")).agg(*lanes, shared, F.max("x.sign").alias("ended")).filter("ended = 1")
+    out = out.withColumn("start", F.col("at") + F.col("s"))
+    whole = F.col("start") + F.col("m") <= F.col("nd")
+    out = out.filter(F.col("c") >= _least(F.col("m") - SHINGLE + 1, whole, percent))
+    n = F.least(F.col("m"), F.col("nd") - F.col("start")) - 1
+    return out.select("k", "h", "iid", "start", _simhash([F.col(f"l{j}") for j in range(LANE_BITS)], n).alias("fp"))
+
+
+def _item_shingles(items: DataFrame) -> DataFrame:
+    return items.select("iid", F.explode(F.array_distinct(_hashes(F.col("iw"), SHINGLE))).alias("s"))
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """A written table of the items, marked for broadcast if its rows are few enough."""
+    table = _saved(table, "items")
+    return F.broadcast(table) if table.count() * ROW_BYTES <= BROADCAST_BYTES else table
+
+
+def _repeats(words: Column) -> Column:
+    """More than half the root of the pairs are repeats."""
+    return _let(_hashes(words, 2), lambda f: (F.size(f) - F.size(F.array_distinct(f))) * 2 > F.sqrt(F.size(f)))
 
 
 def contaminated(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", percent: int = 80) -> DataFrame:
     """(k, h, item_id, start, similarity, n_windows) for each text, by id and hash, and item that it holds; start is the best window's first word."""
     items = benchmark.select(F.col(item_key).cast("long").alias("item_id"), _words(F.col(item_text)).alias("iw")).distinct().filter(F.size("iw") >= SHINGLE)
     items = _saved(items.withColumn("iid", F.xxhash64("item_id", "iw")), "items")
-    sizes = grid()
-    g_of = F.array_max(F.filter(F.array(*map(F.lit, sizes)), lambda x: x <= F.size("iw")))
-    used = sorted(r["g"] for r in items.select(g_of.alias("g")).distinct().collect())  # at most len(grid()) rows
-    schema = "k long, h long, item_id long, start int, similarity double, n_windows long"
-    if not used:
-        return df.sparkSession.createDataFrame([], schema)
-
     docs = _keyed(df, key, text)
-    known = items.select(F.explode(F.array_distinct(_hashes(F.col("iw"), SHINGLE))).alias("s")).distinct()
-    if items.count() * (LARGEST * 16) <= BROADCAST_BYTES:
-        known = F.broadcast(known)
+    known = _small(_item_shingles(items).select("s").distinct())
     hits = docs.select("k", "h", F.posexplode(_hashes(_words(F.col("t")), SHINGLE)).alias("pos", "s")).join(known, "s", "left_semi")
     hits = _saved(hits.distinct(), "hits")
-    rarest = _saved(_rarest(items, hits, percent), "rarest")
-    near = _saved(hits.join(rarest, "s").select("k", "h", "iid").distinct(), "near")
-    shared = near.select("k", "h").distinct().withColumn("hit", F.lit(1))
-    words = _saved(_with(docs, shared, "hit", "inner").dropDuplicates(["k", "h"]).select("k", "h", _words(F.col("t")).alias("w")), "words")
-
-    first = fingerprints(items.select(F.col("iid").alias("k"), F.col("iid").alias("h"), F.slice("iw", 1, F.lit(max(used))).alias("w")), used).filter("start = 0")
-    first = _saved(first, "first")
-    index = items.select("iid", g_of.alias("ig")).join(first.select(F.col("k").alias("iid"), F.col("g").alias("ig"), F.col("fp").alias("ifp")), ["iid", "ig"])
-    index = index.select("*", F.explode(_blocks("ifp")).alias("b")).select("iid", "ig", "ifp", F.col("b.block").alias("iblock"), F.explode(F.transform(F.array(*map(F.lit, _changes())), lambda m: F.col("b.v").bitwiseXOR(m.cast("long")))).alias("iv"))
-    index = _saved(index, "index")
-    if index.count() * INDEX_ROW_BYTES <= BROADCAST_BYTES:
-        index = F.broadcast(index)
-    seen = fingerprints(words, used).select("*", F.explode(_blocks("fp")).alias("b"))
-    alike = (F.col("g") == F.col("ig")) & (F.col("b.block") == F.col("iblock")) & (F.col("b.v") == F.col("iv")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
-    pairs = seen.join(index, alike).select("k", "h", "start", "iid").unionByName(counted(near, hits, items, words, percent))
-    pairs = _saved(pairs.distinct(), "pairs")
-
-    full = pairs.join(items.select("iid", "item_id", "iw"), "iid")
-    full = _with(full.withColumn("t", F.lit(1)), words, "w", "inner").drop("t")
-    both = full.withColumn("a", _counted(_shingles(F.slice("w", F.col("start") + 1, F.size("iw"))))).withColumn("b", _counted(_shingles(F.col("iw"))))
+    anchors = _saved(hits.join(_rarest(items, hits, percent), "s").select("k", "h", "iid", "pos"), "anchors")
+    texts = anchors.select("k", "h").distinct().withColumn("hit", F.lit(1))
+    words = _saved(_with(docs, texts, "hit", "inner").dropDuplicates(["k", "h"]).select("k", "h", _words(F.col("t")).alias("w")), "words")
+
+    seen = _saved(windows(anchors, items, words, percent), "windows")
+    index = _small(block_index(item_fingerprints(items)))
+    found = seen.select("*", F.explode(_blocks("fp")).alias("b")).select("k", "h", "iid", "start", "fp", F.col("b.block").alias("block"), F.col("b.v").alias("v"))
+    found = found.join(index, ["iid", "block", "v"]).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
+    found = found.groupBy("k", "h", "iid", "start").agg(F.lit(True).alias("near"))
+    same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in ("k", "h", "iid", "start")]
+    pairs = seen.alias("x").join(found.alias("y"), same, "left").select("x.k", "x.h", "x.iid", "x.start", F.col("y.near").isNotNull().alias("near"))
+
+    full = _with(pairs.join(items.select("iid", "item_id", "iw"), "iid"), words, "w", "inner")
+    full = full.withColumn("v", F.slice("w", F.col("start") + 1, F.size("iw"))).filter(F.col("near") | (F.size("iw") > LONGEST) | _repeats(F.col("iw")) | _repeats(F.col("v")))
+    both = full.withColumn("a", _counted(_shingles(F.col("v")))).withColumn("b", _counted(_shingles(F.col("iw"))))
     both = both.select("k", "h", "item_id", "start", F.size(F.array_intersect("a", "b")).alias("i"), F.size("a").alias("na"), F.size("b").alias("nb"))
     good = both.filter(F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent).withColumn("similarity", F.col("i") / (F.col("na") + F.col("nb") - F.col("i")))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s")))
