@@ -119,27 +119,39 @@ def _least(m: Column, whole: Column, percent: int) -> Column:
     return F.when(whole, F.floor((m * (2 * percent) + 99 + percent) / (100 + percent))).otherwise(F.floor((m * percent + 99) / 100)).cast("int")
 
 
-def _rarest(items: DataFrame, hits: DataFrame, percent: int) -> DataFrame:
-    """(iid, s): shingles of each item of which a window that reaches the similarity holds one at least."""
-    of = items.select("iid", F.explode(_hashes(F.col("iw"), SHINGLE)).alias("s")).join(hits.groupBy("s").agg(F.count("*").alias("f")), "s", "left")
-    of = of.groupBy("iid").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "s"))).alias("x"))
+def _rarest(items: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
+    """(iid, m, s): shingles of each item of m words of which a window that reaches the similarity holds one at least; ``seen(s, f)`` says how often they occur."""
+    of = items.select("iid", F.size("iw").alias("m"), F.explode(_hashes(F.col("iw"), SHINGLE)).alias("s")).join(seen, "s", "left")
+    of = of.groupBy("iid", "m").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "s"))).alias("x"))
     some = F.slice("x", F.lit(1), F.size("x") - _least(F.size("x"), F.lit(False), percent) + 1)
-    return of.select("iid", F.explode(F.array_distinct(F.transform(some, lambda x: x["s"]))).alias("s"))
+    return of.select("iid", "m", F.explode(F.array_distinct(F.transform(some, lambda x: x["s"]))).alias("s"))
 
 
-def windows(anchors: DataFrame, items: DataFrame, words: DataFrame, percent: int) -> DataFrame:
-    """(k, h, iid, start, fp): windows of the item's size around ``anchors(k, h, iid, pos)`` that share places enough with the item, and their SimHash.
+def surroundings(docs: DataFrame, rarest: DataFrame) -> DataFrame:
+    """(k, h, iid, m, nd, at, part): for texts ``docs(k, h, w)`` of nd words, the words from ``at`` on in which windows of m words around an anchor lie.
 
-    Starts are taken in blocks as long as the item, so a task's groups are as long as two items at most. Of windows that
-    the text's end cuts short, what is there counts.
+    Starts are taken in blocks as long as the item, so a row holds two items' words at most. While the items are few enough
+    to be broadcast, no text is shuffled, however many hold an anchor.
+    """
+    rarest, few = _small(rarest)
+    if few:
+        near = docs.select("k", "h", "w", F.posexplode(_hashes(F.col("w"), SHINGLE)).alias("pos", "s")).join(rarest, "s")
+    else:
+        anchors = _saved(docs.select("k", "h", F.posexplode(_hashes(F.col("w"), SHINGLE)).alias("pos", "s")).join(rarest, "s"), "anchors")
+        words = _with(docs, anchors.select("k", "h").distinct().withColumn("hit", F.lit(1)), "hit", "inner").drop("hit").dropDuplicates(["k", "h"])
+        near = _with(anchors, words, "w", "inner")
+    # a window holds the shingle if it begins at most m - SHINGLE words before
+    first, last = F.floor(F.greatest(F.col("pos") - F.col("m") + SHINGLE, F.lit(0)) / F.col("m")), F.floor(F.col("pos") / F.col("m"))
+    near = near.select("k", "h", "iid", "m", "w", F.explode(F.array_distinct(F.array(first, last))).alias("base")).withColumn("at", (F.col("base") * F.col("m")).cast("int"))
+    near = near.select("k", "h", "iid", "m", F.size("w").alias("nd"), "at", F.slice("w", F.col("at") + 1, 2 * F.col("m")).alias("part"))
+    return near.groupBy("k", "h", "iid", "m", "nd", "at").agg(F.first("part").alias("part"))
+
+
+def windows(near: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """(k, h, iid, at, start, fp): windows of the item's size in ``near`` that share places enough with the item, and their SimHash.
+
+    Of windows that the text's end cuts short, what is there counts.
     """
-    item = items.select("iid", F.size("iw").alias("m"))
-    near = anchors.join(item, "iid")
-    touched = F.array_distinct(F.array(F.floor(F.greatest(F.col("pos") - F.col("m") + SHINGLE, F.lit(0)) / F.col("m")), F.floor(F.col("pos") / F.col("m"))))
-    near = near.select("k", "h", "iid", "m", F.explode(touched).alias("base")).distinct()
-    near = _with(near, words, "w", "inner").withColumn("nd", F.size("w"))
-    near = near.withColumn("at", (F.col("base") * F.col("m")).cast("int"))
-    part = F.slice("w", F.col("at") + 1, 2 * F.col("m"))
     def hashes(w: Column) -> Column:
         def at(i: Column) -> Column:
             shingle = F.when(i + SHINGLE <= F.size(w), F.xxhash64(*(F.get(w, i + j) for j in range(SHINGLE))))
@@ -147,9 +159,9 @@ def windows(anchors: DataFrame, items: DataFrame, words: DataFrame, percent: int
 
         return F.when(F.size(w) >= 2, F.transform(F.sequence(F.lit(0), F.size(w) - 2), at))
 
-    both = _let(part, hashes)
+    both = _let(F.col("part"), hashes)
     rows = near.select("k", "h", "iid", "m", "nd", "at", F.posexplode(both).alias("i", "x")).select("k", "h", "iid", "m", "nd", "at", "i", F.col("x.f").alias("f"), F.col("x.s").alias("s"))
-    mine = _small(_item_shingles(items).withColumn("a", F.lit(1)))
+    mine, _ = _small(_item_shingles(items).withColumn("a", F.lit(1)))
     rows = rows.join(mine, ["iid", "s"], "left").withColumn("a", F.coalesce("a", F.lit(0)))
     by = Window.partitionBy("k", "h", "iid", "at").orderBy("i")
     run = by.rowsBetween(Window.unboundedPreceding, 0)
@@ -170,17 +182,18 @@ def windows(anchors: DataFrame, items: DataFrame, words: DataFrame, percent: int
     whole = F.col("start") + F.col("m") <= F.col("nd")
     out = out.filter(F.col("c") >= _least(F.col("m") - SHINGLE + 1, whole, percent))
     n = F.least(F.col("m"), F.col("nd") - F.col("start")) - 1
-    return out.select("k", "h", "iid", "start", _simhash([F.col(f"l{j}") for j in range(LANE_BITS)], n).alias("fp"))
+    return out.select("k", "h", "iid", "at", "start", _simhash([F.col(f"l{j}") for j in range(LANE_BITS)], n).alias("fp"))
 
 
 def _item_shingles(items: DataFrame) -> DataFrame:
     return items.select("iid", F.explode(F.array_distinct(_hashes(F.col("iw"), SHINGLE))).alias("s"))
 
 
-def _small(table: DataFrame) -> DataFrame:
-    """A written table of the items, marked for broadcast if its rows are few enough."""
+def _small(table: DataFrame) -> tuple[DataFrame, bool]:
+    """A written table of the items, marked for broadcast if its rows are few enough, and whether they are."""
     table = _saved(table, "items")
-    return F.broadcast(table) if table.count() * ROW_BYTES <= BROADCAST_BYTES else table
+    few = table.count() * ROW_BYTES <= BROADCAST_BYTES
+    return (F.broadcast(table) if few else table), few
 
 
 def _repeats(words: Column) -> Column:
@@ -192,24 +205,21 @@ def contaminated(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     """(k, h, item_id, start, similarity, n_windows) for each text, by id and hash, and item that it holds; start is the best window's first word."""
     items = benchmark.select(F.col(item_key).cast("long").alias("item_id"), _words(F.col(item_text)).alias("iw")).distinct().filter(F.size("iw") >= SHINGLE)
     items = _saved(items.withColumn("iid", F.xxhash64("item_id", "iw")), "items")
-    docs = _keyed(df, key, text)
-    known = _small(_item_shingles(items).select("s").distinct())
-    hits = docs.select("k", "h", F.posexplode(_hashes(_words(F.col("t")), SHINGLE)).alias("pos", "s")).join(known, "s", "left_semi")
-    hits = _saved(hits.distinct(), "hits")
-    anchors = _saved(hits.join(_rarest(items, hits, percent), "s").select("k", "h", "iid", "pos"), "anchors")
-    texts = anchors.select("k", "h").distinct().withColumn("hit", F.lit(1))
-    words = _saved(_with(docs, texts, "hit", "inner").dropDuplicates(["k", "h"]).select("k", "h", _words(F.col("t")).alias("w")), "words")
-
-    seen = _saved(windows(anchors, items, words, percent), "windows")
-    index = _small(block_index(item_fingerprints(items)))
+    docs = _keyed(df, key, text).select("k", "h", _words(F.col("t")).alias("w"))
+    known, _ = _small(_item_shingles(items).select("s").distinct())
+    often = docs.select(F.explode(_hashes(F.col("w"), SHINGLE)).alias("s")).join(known, "s", "left_semi").groupBy("s").agg(F.count("*").alias("f"))
+    near = _saved(surroundings(docs, _rarest(items, often, percent)), "near")
+    seen = _saved(windows(near, items, percent), "windows")
+    index, _ = _small(block_index(item_fingerprints(items)))
     found = seen.select("*", F.explode(_blocks("fp")).alias("b")).select("k", "h", "iid", "start", "fp", F.col("b.block").alias("block"), F.col("b.v").alias("v"))
     found = found.join(index, ["iid", "block", "v"]).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
     found = found.groupBy("k", "h", "iid", "start").agg(F.lit(True).alias("near"))
-    same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in ("k", "h", "iid", "start")]
-    pairs = seen.alias("x").join(found.alias("y"), same, "left").select("x.k", "x.h", "x.iid", "x.start", F.col("y.near").isNotNull().alias("near"))
+    same = lambda *names: [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in names]
+    pairs = seen.alias("x").join(found.alias("y"), same("k", "h", "iid", "start"), "left").select("x.k", "x.h", "x.iid", "x.at", "x.start", F.col("y.near").isNotNull().alias("near"))
 
-    full = _with(pairs.join(items.select("iid", "item_id", "iw"), "iid"), words, "w", "inner")
-    full = full.withColumn("v", F.slice("w", F.col("start") + 1, F.size("iw"))).filter(F.col("near") | (F.size("iw") > LONGEST) | _repeats(F.col("iw")) | _repeats(F.col("v")))
+    full = pairs.alias("x").join(near.alias("y"), same("k", "h", "iid", "at")).select("x.*", F.slice("y.part", F.col("x.start") - F.col("x.at") + 1, F.col("y.m")).alias("v"))
+    full = full.join(items.select("iid", "item_id", "iw"), "iid")
+    full = full.filter(F.col("near") | (F.size("iw") > LONGEST) | _repeats(F.col("iw")) | _repeats(F.col("v")))
     both = full.withColumn("a", _counted(_shingles(F.col("v")))).withColumn("b", _counted(_shingles(F.col("iw"))))
     both = both.select("k", "h", "item_id", "start", F.size(F.array_intersect("a", "b")).alias("i"), F.size("a").alias("na"), F.size("b").alias("nb"))
     good = both.filter(F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent).withColumn("similarity", F.col("i") / (F.col("na") + F.col("nb") - F.col("i")))
