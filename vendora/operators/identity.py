@@ -22,10 +22,17 @@ def id_collisions(df: DataFrame, ident: str, key: Column) -> DataFrame:
 
 
 def first_wins(df: DataFrame, key: list[str], order: list[Column], name: str) -> tuple[DataFrame, DataFrame]:
-    """(kept, rejected): the first row of each key, and the others with the name of the one that won."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    ranked = df.withColumn("__n", F.row_number().over(w)).withColumn("winner", F.first(name).over(w))
-    return ranked.filter("__n = 1").drop("__n", "winner"), ranked.filter("__n > 1").drop("__n")
+    """(kept, rejected): the first row of each key by ascending columns, and the others with the name of the one that won.
+
+    The first is a pre-aggregated minimum that is joined back, so a key that most rows have is not one task's; only rows
+    that are equal in key and order are numbered together.
+    """
+    df = df.withColumn("__o", F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order))))
+    first = df.groupBy(*(F.col(k).alias(f"__{k}") for k in key)).agg(F.min("__o").alias("__first"), F.min_by(name, "__o").alias("winner"))
+    both = df.join(first, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in key]).withColumn("__tie", F.row_number().over(Window.partitionBy(*key, "__o").orderBy(name)))
+    kept = (F.col("__o") == F.col("__first")) & (F.col("__tie") == 1)
+    drop = ["__o", "__first", "__tie", *(f"__{k}" for k in key)]
+    return both.filter(kept).drop(*drop, "winner"), both.filter(~kept).drop(*drop)
 
 
 def instance_numbers(df: DataFrame, group: list[str], order: list[Column], out: str = "instance_number") -> DataFrame:
@@ -100,9 +107,11 @@ def fuzzy_identity(listings: DataFrame, products: DataFrame, min_similarity: flo
     Variant words and words with a digit must agree exactly. Candidates share one of the rarest tokens of both sides: of
     n tokens a match holds n * ``min_similarity`` at least, so one of the n less that, plus one, rarest is common.
     """
+    # names that are the same set of words are one: the least id stands for them
     special = lambda c: F.array_sort(F.filter(c, lambda x: x.isin(*VARIANTS) | x.rlike("[0-9]")))
-    p = products.select("product_id", tokens(F.col("name")).alias("pt")).withColumn("guard", special("pt"))
-    li = listings.select("listing_id", tokens(F.col("title")).alias("lt")).withColumn("guard", special("lt"))
+    p = products.groupBy(F.array_sort(tokens(F.col("name"))).alias("pt")).agg(F.min("product_id").alias("product_id")).withColumn("guard", special("pt"))
+    all_listings = listings.select(F.col("listing_id").alias("__id"), F.array_sort(tokens(F.col("title"))).alias("lt"))
+    li = all_listings.groupBy("lt").agg(F.min("__id").alias("listing_id")).withColumn("guard", special("lt"))
     seen = p.select(F.explode("pt").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
 
     def rarest(df: DataFrame, ident: str, words: str) -> DataFrame:
@@ -115,7 +124,8 @@ def fuzzy_identity(listings: DataFrame, products: DataFrame, min_similarity: flo
     both = pairs.join(li.drop("guard"), "listing_id").join(p.drop("guard"), "product_id")
     both = both.withColumn("similarity", F.size(F.array_intersect("pt", "lt")) / F.size(F.array_union("pt", "lt")))
     good = both.filter(F.col("similarity") >= min_similarity)
-    return pick_one(good, ["listing_id"], [F.desc("similarity"), F.col("product_id")]).select("listing_id", "product_id", "similarity")
+    best = good.groupBy("listing_id").agg(F.max(F.struct("similarity", (-F.col("product_id")).alias("p"))).alias("x"), F.first("lt").alias("lt"))
+    return all_listings.join(best.drop("listing_id"), "lt").select(F.col("__id").alias("listing_id"), (-F.col("x.p")).alias("product_id"), F.col("x.similarity").alias("similarity"))
 
 
 def duplicate_identities(products: DataFrame, name: Column) -> DataFrame:

@@ -6,6 +6,7 @@ shifted by what lies before it, which is one row for each range.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,7 +14,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "/tmp/vendora-checkpoints"
+    """A new folder in the one that all nodes share: spark.checkpoint.dir, which only a local session may leave unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all nodes share")
+        base = f"{tempfile.gettempdir()}/vendora-checkpoints"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -38,6 +44,37 @@ def running(df: DataFrame, order: list[str], sums: dict[str, Column]) -> DataFra
     return out.drop("__part", *(f"__b{i}" for i in range(len(sums))))
 
 
+def running_by(df: DataFrame, group: list[str], order: list[str], name: str, amount: Column) -> DataFrame:
+    """``df`` with the inclusive running sum of a non-negative amount within each group, however large one is: the global running sum less what lies before the group.
+
+    Calling it writes a table, as :func:`running` does.
+    """
+    r = running(df, [*group, *order], {"__run": amount}).withColumn("__before", F.col("__run") - amount)
+    start = r.groupBy(*(F.col(g).alias(f"__{g}") for g in group)).agg(F.min("__before").alias("__start"))
+    same = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group]
+    return r.join(start, same).withColumn(name, F.col("__run") - F.col("__start")).drop("__run", "__before", "__start", *(f"__{g}" for g in group))
+
+
+def quantiles(df: DataFrame, value: str, at: list[float], by: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """The group, n and q0, q1, ...: exact quantiles, interpolated between neighbours, of the values that are not null.
+
+    Values are counted and the counts summed over a range partitioning, so no task holds a group's values. Calling it writes a table.
+    """
+    c = df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("__v")).agg(F.count("*").alias("__c"))
+    r = running(c, [*by, "__v"], {"__upto": F.col("__c")})
+    ends = r.groupBy(*(F.col(b).alias(f"__{b}") for b in by)).agg(F.min(F.col("__upto") - F.col("__c")).alias("__from"), F.sum("__c").alias("n"))
+    r = r.join(ends, [F.col(b).eqNullSafe(F.col(f"__{b}")) for b in by]) if by else r.crossJoin(F.broadcast(ends))  # one row
+    first, last = F.col("__upto") - F.col("__c") - F.col("__from"), F.col("__upto") - F.col("__from")
+    out, shown = [], []
+    for i, q in enumerate(at):
+        place = F.lit(q) * (F.col("n") - 1)
+        for side, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+            out.append(F.max(F.when((first <= rank) & (rank < last), F.col("__v"))).alias(f"__{side}{i}"))
+        part = place - F.floor(place)
+        shown.append(F.when(part == 0, F.col(f"__lo{i}")).otherwise((1 - part) * F.col(f"__lo{i}") + part * F.col(f"__hi{i}")).alias(f"q{i}"))
+    return r.groupBy(*by, "n").agg(*out).select(*by, "n", *shown)
+
+
 def positions(df: DataFrame, order: list[str], out: str = "position") -> DataFrame:
     """1-based global position."""
     return running(df, order, {out: F.lit(1)}).withColumn(out, F.col(out).cast("long"))

@@ -10,7 +10,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import running, saved
+from .ordering import positions, quantiles, running, saved
 
 
 def mean(c: Column, kind: str = "decimal(18,4)") -> Column:
@@ -93,7 +93,9 @@ def binary_adoption(df: DataFrame, flags: list[str]) -> DataFrame:
 
 def by_category(df: DataFrame, category: str, value: str, missing: str = "Missing") -> DataFrame:
     """Mean and median by category, without the missing one unless there is no other."""
-    out = df.groupBy(category).agg(F.count(value).alias("n"), mean(F.col(value)).alias("mean"), F.median(value).alias("median"))
+    out = df.groupBy(category).agg(F.count(value).alias("n"), mean(F.col(value)).alias("mean"))
+    middle = quantiles(df, value, [0.5], [category]).select(F.col(category).alias("__c"), F.col("q0").alias("median"))
+    out = out.join(middle, F.col(category).eqNullSafe(F.col("__c")), "left").drop("__c")
     known = out.agg(F.count_if(F.col(category) != missing).alias("known"))
     return out.crossJoin(F.broadcast(known)).filter((F.col(category) != missing) | (F.col("known") == 0)).drop("known")
 
@@ -123,8 +125,9 @@ def histogram(df: DataFrame, value: str, by: str, bins: int) -> DataFrame:
 
 def distribution_summary(df: DataFrame, value: str, by: str) -> DataFrame:
     """Quartiles, mean and values beyond 1.5 times the interquartile range."""
-    q = df.groupBy(by).agg(F.count(value).alias("n"), mean(F.col(value)).alias("mean"), F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    q = q.select(by, "n", "mean", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    parts = quantiles(df, value, [0.25, 0.5, 0.75], [by]).select(F.col(by).alias("__b"), F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
+    q = df.groupBy(by).agg(F.count(value).alias("n"), mean(F.col(value)).alias("mean"))
+    q = saved(q.join(parts, F.col(by).eqNullSafe(F.col("__b")), "left").drop("__b"), "quartiles")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     far = df.join(q.select(by, "q1", "q3"), by).filter((F.col(value) < F.col("q1") - reach) | (F.col(value) > F.col("q3") + reach)).groupBy(by).agg(F.count("*").alias("outliers"))
     return q.join(far, by, "left").withColumn("outliers", F.coalesce("outliers", F.lit(0)))
@@ -218,7 +221,7 @@ def top_and_other(df: DataFrame, column: str, keep: int = 3, when_over: int = 4)
 
 def scaled(df: DataFrame, value: str, out: str = "scaled") -> DataFrame:
     """Square root of the min-max position; missing values stand at the median; 0 for a constant column."""
-    facts = df.agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"), F.median(value).alias("__mid"))
+    facts = df.agg(F.min(value).alias("__lo"), F.max(value).alias("__hi")).join(quantiles(df, value, [0.5]).select(F.col("q0").alias("__mid")), how="left")
     x = F.coalesce(F.col(value), F.col("__mid"))
     return df.crossJoin(F.broadcast(facts)).withColumn(out, F.coalesce(F.sqrt(F.try_divide(x - F.col("__lo"), F.col("__hi") - F.col("__lo"))), F.lit(0.0))).drop("__lo", "__hi", "__mid")
 
@@ -237,5 +240,4 @@ def preferred_order(df: DataFrame, column: str, preferred: list[str]) -> DataFra
     """Distinct values, the preferred ones first in their order, the others by the alphabet; ``position`` from 1."""
     values = df.select(column).distinct()
     at = F.array_position(F.array(*map(F.lit, preferred)), F.col(column))
-    w = Window.orderBy(F.when(at > 0, at).otherwise(len(preferred) + 1), column)  # distinct categories only
-    return values.withColumn("position", F.row_number().over(w).cast("long"))
+    return positions(values.withColumn("__at", F.when(at > 0, at).otherwise(len(preferred) + 1)), ["__at", column]).drop("__at")

@@ -73,8 +73,8 @@ def incremental_latest(spark, d):
     return latest(table(spark, d, "events"), ["user_id", "event_type"], "ts", "event_id", ["value"]).select("user_id", "event_type", F.col("ts").alias("last_ts"), "value", "seen")
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 1 WHEN doc_id IN (SELECT doc_id FROM labels) THEN 2 END AS resolved_at FROM documents WHERE doc_id % 3 = 0")
+@query("SELECT doc_id, CASE WHEN n_chars < 300 THEN 1 WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) THEN 2 END AS resolved_at FROM documents")
 def reject_lifecycle(spark, d):
-    """Some rejects are closed already; those that a later table matches are closed now."""
-    rejects = table(spark, d, "documents").filter("doc_id % 3 = 0").select("doc_id", F.when(F.col("doc_id") % 5 == 0, 1).alias("resolved_at"))
-    return op.resolve_rejects(rejects, table(spark, d, "labels"), "doc_id", F.lit(2))
+    """Every document is a reject; short ones are closed already, and those that a later table calls good are closed now."""
+    rejects = table(spark, d, "documents").select("doc_id", F.when(F.col("n_chars") < 300, 1).alias("resolved_at"))
+    return op.resolve_rejects(rejects, table(spark, d, "labels").filter("quality = 1"), "doc_id", F.lit(2))

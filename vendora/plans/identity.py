@@ -28,12 +28,13 @@ def stable_ids(spark, d):
     return p.select("product_id", s.stable_bigint("product", F.concat("company", F.lit("\0"), "name")).alias("stable_id"), s.record_key(F.col("company"), F.col("name")).alias("record_key"))
 
 
-@query(f"SELECT doc_id, {_SLUG.format('strip_accents(left(text, 40))')} AS slug FROM documents WHERE regexp_matches(left(text, 40), '^[\\x00-\\x7FäöüéèêçñíóáÄÖÜÉÈÊÇÑÍÓÁ]*$') AND regexp_matches(left(text, 40), '[a-zA-Z0-9]')")
+_WHOLE = _SLUG.format("regexp_replace(strip_accents(text), '[^\\x00-\\x7F]', '', 'g')")
+
+
+@query(f"SELECT doc_id, CASE WHEN slug <> '' THEN slug ELSE 'item-' || left(sha256(text), 12) END AS slug FROM (SELECT doc_id, text, {_WHOLE} AS slug FROM documents)")
 def slugs(spark, d):
-    """Slugs of headings; the SQL knows only letters that both engines strip alike."""
-    t = F.substring("text", 1, 40)
-    docs = table(spark, d, "documents").filter(t.rlike(r"\A[\x00-\x7FäöüéèêçñíóáÄÖÜÉÈÊÇÑÍÓÁ]*\z") & t.rlike("[a-zA-Z0-9]"))
-    return docs.select("doc_id", s.slugify(t).alias("slug"))
+    """The slug of every whole text."""
+    return table(spark, d, "documents").select("doc_id", s.slugify(F.col("text")).alias("slug"))
 
 
 @query("SELECT p_partkey AS product_id, trim(regexp_replace(regexp_replace(lower(p_brand || ' ' || p_name), '[^a-z0-9 -]', '', 'g'), '[ ]+', '-', 'g'), '-') AS slug FROM part")
@@ -119,10 +120,9 @@ def serial_assign(spark, d):
 @query("SELECT p_partkey AS product_id, (p_size + sum(CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY p_brand ORDER BY p_partkey ROWS UNBOUNDED PRECEDING))::BIGINT AS instance FROM part")
 def instance_assign(spark, d):
     """New instances: a base plus the group's running count of changed rows."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("company").orderBy("product_id").rowsBetween(Window.unboundedPreceding, 0)
-    return _part(spark, d).select("product_id", (F.col("size") + F.sum(F.when(F.col("product_id") % 2 == 0, 1).otherwise(0)).over(w)).cast("long").alias("instance"))
+    changed = F.when(F.col("product_id") % 2 == 0, 1).otherwise(0)
+    out = ordering.running_by(_part(spark, d), ["company"], ["product_id"], "n", changed)
+    return out.select("product_id", (F.col("size") + F.col("n")).cast("long").alias("instance"))
 
 
 @query(f"""WITH b AS (SELECT p_partkey AS row_id, p_brand AS company, {_SLUG.format('p_name')} AS slug FROM part WHERE p_partkey % 2 = 1),
@@ -182,14 +182,14 @@ def company_min_name(spark, d):
 
 @query("""WITH p AS (SELECT p_partkey, list_sort(list_distinct(string_split(lower(p_brand || ' ' || p_name), ' '))) AS t0 FROM part),
 q AS (SELECT p_partkey, list_distinct(regexp_extract_all(lower(p_brand || ' ' || p_name), '[a-z0-9]+')) AS t FROM part),
-l AS (SELECT p_partkey AS lid, list_distinct(regexp_extract_all(lower(p_name || ' ' || p_brand || ' new'), '[a-z0-9]+')) AS lt FROM part WHERE p_partkey % 20 = 3),
+l AS (SELECT p_partkey AS lid, list_distinct(regexp_extract_all(lower(p_name || ' ' || p_brand || ' new'), '[a-z0-9]+')) AS lt FROM part),
 c AS (SELECT lid, p_partkey AS pid, len(list_intersect(t, lt))::DOUBLE / len(list_distinct(t || lt)) AS sim FROM l JOIN q ON list_filter(t, lambda x: regexp_matches(x, '[0-9]')) = list_filter(lt, lambda x: regexp_matches(x, '[0-9]')))
 SELECT lid AS listing_id, pid AS product_id, sim AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY lid ORDER BY sim DESC, pid) AS n FROM c WHERE sim >= 0.5) WHERE n = 1""")
 def fuzzy_identity(spark, d):
-    """Seller titles, of one part in twenty, matched to all products."""
+    """A seller's title for every part, matched to all products."""
     p = _part(spark, d)
     products = p.select("product_id", F.concat_ws(" ", "company", "name").alias("name"))
-    titles = p.filter("product_id % 20 = 3").select(F.col("product_id").alias("listing_id"), F.concat_ws(" ", "name", "company", F.lit("new")).alias("title"))
+    titles = p.select(F.col("product_id").alias("listing_id"), F.concat_ws(" ", "name", "company", F.lit("new")).alias("title"))
     return op.fuzzy_identity(titles, products)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import market as op
+from ..operators.ordering import quantiles
 from .registry import query, table
 
 OFFERS = """(SELECT p_partkey AS product_id, p_brand AS company, p_name AS name, n_name AS source, r_name AS currency,
@@ -194,10 +195,10 @@ def contains_search(spark, d):
     return part.filter(F.col("p_name").ilike("%blue%") | F.col("p_type").ilike("%econ%")).select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"))
 
 
-@query("SELECT p_partkey AS product_id, p_name AS name, p_size AS size FROM part WHERE p_partkey % 2 = 0 AND p_type = 'ECONOMY' AND p_size >= 20 ORDER BY p_size DESC, p_name, p_partkey")
+@query("SELECT p_partkey AS product_id, p_name AS name, p_size AS size FROM part WHERE p_retailprice < 1500 AND p_type = 'ECONOMY' AND p_size >= 20 ORDER BY p_size DESC, p_name, p_partkey")
 def spec_search(spark, d):
-    """A flag, a kind and a threshold, ordered."""
-    part = table(spark, d, "part").filter("p_partkey % 2 = 0 AND p_type = 'ECONOMY' AND p_size >= 20")
+    """A flag (that a price is low), a kind and a threshold, ordered."""
+    part = table(spark, d, "part").filter("p_retailprice < 1500 AND p_type = 'ECONOMY' AND p_size >= 20")
     return part.orderBy(F.desc("p_size"), "p_name", "p_partkey").select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"), F.col("p_size").alias("size"))
 
 
@@ -229,18 +230,19 @@ def adoption_rate(spark, d):
 @query("SELECT CAST(sum(CAST(c_acctbal AS DECIMAL(14,2))) AS DOUBLE) / count(*) AS mean, median(c_acctbal) AS median FROM customer WHERE c_acctbal > 0")
 def positive_median(spark, d):
     c = table(spark, d, "customer").filter("c_acctbal > 0")
-    return c.agg((F.sum(F.col("c_acctbal").cast("decimal(14,2)")).cast("double") / F.count("*")).alias("mean"), F.median("c_acctbal").alias("median"))
+    mean = c.agg((F.sum(F.col("c_acctbal").cast("decimal(14,2)")).cast("double") / F.count("*")).alias("mean"))
+    return mean.crossJoin(F.broadcast(quantiles(c, "c_acctbal", [0.5]).select(F.col("q0").alias("median"))))  # one row each
 
 
 @query(f"""SELECT (SELECT count(*) FROM part) AS products, (SELECT count(*) FROM {OFFERS}) AS offers, (SELECT count(DISTINCT p_brand) FROM part) AS companies, (SELECT count(*) FROM nation) AS sources,
-  (SELECT avg(s) FROM (SELECT CAST(p_size AS DOUBLE) AS s FROM part ORDER BY p_partkey DESC LIMIT 1000)) AS mean_recent_score""")
+  (SELECT CAST(sum(p_size) AS DOUBLE) / count(p_size) FROM part) AS mean_score""")
 def catalogue_kpis(spark, d):
-    """Table counts, and the mean score of the latest thousand: a report over a fixed number."""
+    """Table counts, and the mean of all scores."""
     part = table(spark, d, "part")
-    recent = part.orderBy(F.desc("p_partkey")).limit(1000).agg(F.avg(F.col("p_size").cast("double")).alias("mean_recent_score"))
+    scores = part.agg((F.sum("p_size").cast("double") / F.count("p_size")).alias("mean_score"))
     one = lambda df, name: df.agg(F.count("*").alias(name))
     out = one(part, "products")
-    for x in (one(offers(spark, d), "offers"), part.agg(F.count_distinct("p_brand").alias("companies")), one(table(spark, d, "nation"), "sources"), recent):
+    for x in (one(offers(spark, d), "offers"), part.agg(F.count_distinct("p_brand").alias("companies")), one(table(spark, d, "nation"), "sources"), scores):
         out = out.crossJoin(x)
     return out
 

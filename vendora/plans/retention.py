@@ -216,10 +216,10 @@ def churn_flags(spark, d):
     return table(spark, d, "orders").select(k.alias("id"), s.churn_flag(flag, status).alias("churn_flag"))
 
 
-@query("SELECT p_partkey AS product_id FROM part WHERE p_brand IN ('Brand#1', 'Brand#2', 'Brand#3') AND (CASE WHEN p_size % 4 = 0 THEN 'Unknown' ELSE p_type END) IN ('Unknown', 'ECONOMY') AND (p_size % 9 = 0 OR p_size BETWEEN 5 AND 40) AND p_partkey % 2 = 0")
+@query("SELECT p_partkey AS product_id FROM part WHERE p_brand IN ('Brand#1', 'Brand#2', 'Brand#3') AND (CASE WHEN p_size % 4 = 0 THEN 'Unknown' ELSE p_type END) IN ('Unknown', 'ECONOMY') AND (p_size % 9 = 0 OR p_size BETWEEN 5 AND 40) AND p_retailprice < 1500")
 def product_filter(spark, d):
     """Companies, screens with null as Unknown, years with nulls kept, and a flag."""
     size = F.col("p_size")
     p = table(spark, d, "part").withColumn("screen", F.when(size % 4 != 0, F.col("p_type"))).withColumn("year", F.when(size % 9 != 0, size))
-    keep = F.col("p_brand").isin("Brand#1", "Brand#2", "Brand#3") & F.coalesce("screen", F.lit("Unknown")).isin("Unknown", "ECONOMY") & (F.col("year").isNull() | F.col("year").between(5, 40)) & (F.col("p_partkey") % 2 == 0)
+    keep = F.col("p_brand").isin("Brand#1", "Brand#2", "Brand#3") & F.coalesce("screen", F.lit("Unknown")).isin("Unknown", "ECONOMY") & (F.col("year").isNull() | F.col("year").between(5, 40)) & (F.col("p_retailprice") < 1500)
     return p.filter(keep).select(F.col("p_partkey").alias("product_id"))

@@ -12,12 +12,23 @@ def _text(*parts):
     return F.concat(*(p if not isinstance(p, str) else F.lit(p) for p in parts))
 
 
+def _pick(values, key="p_partkey"):
+    """One of some texts, by the row's key."""
+    return F.element_at(F.array(*(F.lit(v).cast("string") for v in values)), (F.col(key) % len(values) + 1).cast("int"))
+
+
+def _picked(values, key="p_partkey"):
+    """The same in SQL."""
+    shown = ("NULL" if v is None else str(v) if not isinstance(v, str) else "'" + v.replace("'", "''") + "'" for v in values)
+    return f"list_extract([{', '.join(shown)}], {key} % {len(values)} + 1)"
+
+
 def _part(spark, d):
     p = table(spark, d, "part")
     return p.withColumn("k", F.col("p_partkey")).withColumn("n", F.col("p_size")).withColumn("t", F.col("p_size").cast("string"))
 
 
-@query("""SELECT p_partkey AS k, (100 + p_size)::DOUBLE AS a, p_size::DOUBLE AS b, 7.5::DOUBLE AS c, (150 + p_size)::DOUBLE AS grams, (4000 + p_size)::INTEGER AS mah, 4.0::DOUBLE AS nm, (60 + p_size)::INTEGER AS hz, (500 + p_size)::INTEGER AS nits,
+@query("""SELECT p_partkey AS k, (100 + p_size)::DOUBLE AS a, p_size::DOUBLE AS b, 7.5::DOUBLE AS c, (150 + p_size)::DOUBLE AS grams, (4000 + p_size)::INTEGER AS mah, 4.0::DOUBLE AS nm, (60 + p_size)::DOUBLE AS hz, (500 + p_size)::DOUBLE AS nits,
   CASE p_size % 4 WHEN 0 THEN 'AMOLED' WHEN 1 THEN 'OLED' WHEN 2 THEN 'LCD' ELSE 'LED' END AS screen, (1000 + p_size)::INTEGER AS width, (2000 + p_size)::INTEGER AS height, '20:9' AS ratio, (400 + p_size)::DOUBLE AS ppi FROM part""")
 def units_parse(spark, d):
     n = F.col("n")
@@ -139,3 +150,96 @@ def evidence_record(spark, d):
         F.concat(r["width"].cast("string"), F.lit(":"), r["height"].cast("string")).alias("wh"), sim.rlike("(?i)nano").alias("nano"), sim.rlike(r"(?i)\be-?sim").alias("esim"), F.regexp_extract(body, r"(IP\d\d)", 1).alias("ip"),
         usb.rlike("(?i)type.?c").alias("usb_c"), s.release_date(_text((n % 20 + 2000).cast("string"), ", July"), F.lit(None).cast("string"))["year"].alias("year"),
     )
+
+
+#: Texts as sellers and catalogues write them, and what is to be read.
+MEASURES = (
+    ("161.4 x 78.1 x 9.4 mm, 6.03 oz, 59.94 Hz", 161.4, 170.948, 59.94), ("5.811 × 2.4 × 0.3 inches | 1,024g", 147.599, 1024.0, None), ("weighs 7 OZ; 120hz panel", None, 198.447, 120.0),
+    ("no numbers", None, None, None), ("143 x 60 mm, 90 Hz / 60 Hz", None, None, 90.0), ("2x3x4in, 10 g (0.35 oz)", 50.8, 10.0, None),
+)
+
+
+@query(f"SELECT p_partkey AS k, {_picked([m[1] for m in MEASURES])}::DOUBLE AS length_mm, {_picked([m[2] for m in MEASURES])}::DOUBLE AS grams, {_picked([m[3] for m in MEASURES])}::DOUBLE AS hz FROM part")
+def units_irregular(spark, d):
+    """Units in texts that follow no template."""
+    text = _pick([m[0] for m in MEASURES])
+    return table(spark, d, "part").select(F.col("p_partkey").alias("k"), s.dimension(text, 1).alias("length_mm"), s.weight_grams(text).alias("grams"), s.hertz(text).alias("hz"))
+
+
+SCREENS = (
+    ("Dynamic LTPO AMOLED 2X", "720 x 1600 pixels, 20:9 ratio (~270 ppi density)", "AMOLED", "720:1600:20:9:270.0"), ("Foldable P-OLED", "2,640 x 1080 pixel", "OLED", "2640:1080::"), ("PLS IPS", "1080 × 2340 Pixels, 19.5 : 9", "LCD", "1080:2340:19.5:9:"),
+    ("edge-LED panel", "5 x 900 pixels", "LED", None), ("TFT", "big", "LCD", None), ("paper", "1080 x 2340", None, None), ("old CRT", "320x240pixels ~ 140.5ppi", "CRT", "320:240::140.5"),
+)
+
+
+@query(f"SELECT p_partkey AS k, {_picked([x[2] for x in SCREENS])} AS kind, {_picked([x[3] for x in SCREENS])} AS grid FROM part")
+def screens_irregular(spark, d):
+    kind, grid = _pick([x[0] for x in SCREENS]), s.resolution(_pick([x[1] for x in SCREENS]))
+    shown = F.concat_ws(":", *(F.coalesce(grid[c].cast("string"), F.lit("")) for c in ("width", "height", "ratio", "ppi")))
+    return table(spark, d, "part").select(F.col("p_partkey").alias("k"), s.display_technology(kind).alias("kind"), F.when(grid.isNotNull(), shown).alias("grid"))
+
+
+MEMORY = (
+    ("3 GB 16/32 GB", "16/3;32/3"), ("6GB RAM / 128GB, 256GB", "128/6;256/6"), ("128GB 8GB RAM", "128/8"), ("1TB 16GB RAM", "1024/16"), ("64GB", ""), ("card slot", ""), ("8 GB 128/256/512 GB", "128/8;256/8;512/8"), ("4GB/64GB", "4/64"),
+)
+
+
+@query(f"SELECT p_partkey AS k, {_picked([x[1] for x in MEMORY])} AS variants FROM part")
+def memory_notations(spark, d):
+    pairs = s.memory_variants(F.array(_pick([x[0] for x in MEMORY])))
+    return table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.concat_ws(";", F.transform(pairs, lambda x: F.concat(x[0].cast("string"), F.lit("/"), x[1].cast("string")))).alias("variants"))
+
+
+CARDS = (("Nano-SIM and eSIM", "0/1/1"), ("Mini-SIM", "1/0/0"), ("Single SIM", "1/0/0"), ("e-SIM only", "0/0/1"), ("Nano + Micro-SIM", "1/1/0"), ("  ", None))
+BODIES = (("IP69k rated", "IP69K/1/1"), ("Water repellent coating", "-/1/-"), ("dust and water resistant, no code", "-/1/1"), ("ip68 dust", "IP68/1/1"), ("glass front", "-/-/-"))
+PORTS = (("USB Type-C 3.2", "0/1"), ("microUSB 2.0", "1/0"), ("USB-C", "0/1"), ("Lightning", None))
+
+
+@query(f"SELECT p_partkey AS k, {_picked([x[1] for x in CARDS])} AS sim, {_picked([x[1] for x in BODIES])} AS body, {_picked([x[1] for x in PORTS])} AS usb FROM part")
+def feature_flags(spark, d):
+    """Card, resistance and port facts of free texts."""
+    show = lambda c, *names: F.concat_ws("/", *(F.coalesce(c[n].cast("string"), F.lit("-")) for n in names))
+    sim, body, usb = s.sim_flags(_pick([x[0] for x in CARDS])), s.resistance(_pick([x[0] for x in BODIES])), s.usb_flags(_pick([x[0] for x in PORTS]))
+    return table(spark, d, "part").select(
+        F.col("p_partkey").alias("k"), F.when(sim.isNotNull(), show(sim, "normal", "nano", "esim")).alias("sim"), show(body, "standard", "water", "dust").alias("body"), F.when(usb.isNotNull(), show(usb, "micro", "usb_c")).alias("usb"))
+
+
+FLAGS = (("2", True), ("0.0", False), ("-1", True), ("maybe", None), (" ON ", True), ("none", False), ("", None), ("unsupported", False))
+BLANKS = ((" n/a ", None), ("Unknown", None), ("0", "0"), ("NULL", None), ("value", "value"), ("None", None))
+
+
+@query(f"SELECT p_partkey AS k, coalesce({_picked([x[1] for x in FLAGS])}, p_size > 25) AS flag, coalesce({_picked([x[1] for x in BLANKS])}, p_type) AS filled FROM part")
+def values_irregular(spark, d):
+    """Flags with numbers and unknown words, and texts that stand for nothing."""
+    flag = F.when(F.col("p_size") > 25, s.bool_value(_pick([x[0] for x in FLAGS]), True)).otherwise(s.bool_value(_pick([x[0] for x in FLAGS]), False))
+    return table(spark, d, "part").select(F.col("p_partkey").alias("k"), flag.alias("flag"), s.fill_missing(_pick([x[0] for x in BLANKS]), F.col("p_type")).alias("filled"))
+
+
+#: What the brand rules must give, spelling by spelling.
+SPELLINGS = (
+    "apple=Apple,samsung=Samsung,xiaomi=Xiaomi,redmi=Redmi,poco=Poco,oppo=Oppo,vivo=Vivo,oneplus=OnePlus,one plus=OnePlus,realme=Realme,infinix=Infinix,tecno=Tecno,itel=Itel,honor=Honor,huawei=Huawei,nokia=Nokia,motorola=Motorola,moto=Motorola,"
+    "google=Google,sony=Sony,lg=LG,alcatel=Alcatel,zte=ZTE,asus=Asus,lenovo=Lenovo,meizu=Meizu,gionee=Gionee,qmobile=QMobile,q mobile=QMobile,voice=Voice,dcode=Dcode,faywa=Faywa,gfive=Gfive,spice=Spice,schok=Schok,micromax=Micromax,"
+    "blackberry=BlackBerry,htc=HTC,panasonic=Panasonic,philips=Philips,nothing=Nothing,vertu=Vertu,sharp=Sharp,acer=Acer,cat=CAT,cubot=Cubot,doogee=Doogee,ulefone=Ulefone,blackview=Blackview,royal=Royal,haier=Haier,vgotel=VGO TEL"
+)
+
+
+@query(f"""WITH b AS (SELECT string_split(x, '=')[1] AS spelling, string_split(x, '=')[2] AS brand FROM (SELECT unnest(string_split('{SPELLINGS}', ',')) AS x))
+SELECT p_partkey AS k, spelling, brand AS company, p_name AS model FROM part CROSS JOIN b WHERE p_partkey % 52 = (SELECT count(*) FROM b c WHERE c.spelling < b.spelling)
+UNION ALL SELECT p_partkey, 'other', 'ZEdd Über', p_name FROM part""")
+def brand_table(spark, d):
+    """Each part under one of the brands, in changed letters and blanks, and under an unknown one."""
+    spelling = _pick(sorted(x.split("=")[0] for x in SPELLINGS.split(",")))
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("k"), "p_name", spelling.alias("spelling"))
+    raw = F.concat(F.lit("  "), F.when(F.col("k") % 2 == 0, F.upper("spelling")).otherwise(F.initcap("spelling")), F.lit("  "), F.col("p_name"))
+    known = p.select("k", "spelling", s.split_brand(raw).alias("b")).select("k", "spelling", "b.company", "b.model")
+    return known.unionByName(p.select("k", F.lit("other").alias("spelling"), s.canonical_brand(F.lit(" zEdd  über")).alias("company"), F.col("p_name").alias("model")))
+
+
+@query("SELECT p_partkey AS k, CASE WHEN p_size > 0 THEN 1 ELSE 0 END AS by_number, CASE p_size % 3 WHEN 0 THEN 1 WHEN 1 THEN 0 END AS by_word FROM part")
+def binary_indicators(spark, d):
+    """A column that is four fifths numbers, and one of words, each judged on the whole table."""
+    n = F.col("p_size")
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("k"), n.cast("string").alias("number"), F.element_at(F.array(*map(F.lit, [" Yes", "false", "other"])), (n % 3 + 1).cast("int")).alias("word"))
+    whole = p.agg(s.binary_shares(F.col("number")).alias("n"), s.binary_shares(F.col("word")).alias("w"))
+    p = p.crossJoin(F.broadcast(whole))  # one row
+    return p.select("k", s.binary_indicator(F.col("number"), F.col("n")).alias("by_number"), s.binary_indicator(F.col("word"), F.col("w")).alias("by_word"))
