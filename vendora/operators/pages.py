@@ -2,80 +2,62 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from html.parser import HTMLParser
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import clean_text, number_value
-
-
-class _Rows(HTMLParser):
-    """Table rows of one page as lists of (is_header, data-spec, text), with the heading before them."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.rows: list[tuple[str | None, list[tuple[bool, str | None, str]]]] = []
-        self.heading: str | None = None
-        self.row: list[tuple[bool, str | None, str]] | None = None
-        self.cell: list | None = None
-        self.head: list[str] | None = None
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "tr":
-            self.row = []
-        elif tag in ("td", "th") and self.row is not None:
-            self.cell = [tag == "th", dict(attrs).get("data-spec"), []]
-        elif tag in ("h2", "h3", "h4"):
-            self.head = []
-
-    def handle_endtag(self, tag):
-        if tag in ("td", "th") and self.cell is not None and self.row is not None:
-            self.row.append((self.cell[0], self.cell[1], " ".join("".join(self.cell[2]).split())))
-            self.cell = None
-        elif tag == "tr" and self.row is not None:
-            self.rows.append((self.heading, self.row))
-            self.row = None
-        elif tag in ("h2", "h3", "h4") and self.head is not None:
-            self.heading = " ".join("".join(self.head).split()) or None
-            self.head = None
-
-    def handle_data(self, data):
-        if self.cell is not None:
-            self.cell[2].append(data)
-        elif self.head is not None:
-            self.head.append(data)
+from ..functions.scalars import clean_text, let, number_value
+
+#: Named character references that pages use in text.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+
+
+def plain(html: Column) -> Column:
+    """Text of a piece of a page: no tags or comments, character references resolved, white space folded."""
+    t = F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", "")
+    codes = F.array_distinct(F.concat(
+        F.transform(F.regexp_extract_all(t, F.lit(r"(&#\d{1,7};)"), F.lit(1)), lambda x: F.struct(x.alias("ref"), F.hex(F.regexp_extract(x, r"(\d+)", 1).cast("long")).alias("code"))),
+        F.transform(F.regexp_extract_all(t, F.lit(r"(?i)(&#x[0-9a-f]{1,6};)"), F.lit(1)), lambda x: F.struct(x.alias("ref"), F.regexp_extract(x, r"(?i)x([0-9a-f]+)", 1).alias("code"))),
+    ))
+    letter = lambda code: F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+    t = F.aggregate(codes, t, lambda done, x: F.replace(done, x["ref"], letter(x["code"])))
+    for name, c in ENTITIES:
+        t = F.replace(t, F.lit(name), F.lit(c))
+    return clean_text(F.translate(t, "\u00a0", " "))
 
 
 def spec_rows(df: DataFrame, key: str, html: str) -> DataFrame:
     """key, position, section, label, value of each table row with at least a label and a value.
 
-    Three cells are section, label and value; two are label and value, of which a first header cell opens a section that
-    later rows carry on; a blank label falls back to the cell's data-spec. The parser runs per page inside Spark's tasks.
+    Three cells are section, label and value; two are label and value; a header cell alone opens a section that
+    later rows carry on; a blank label falls back to the cell's data-spec. A null page has no row. Everything is a built-in
+    expression; only the rows of one page meet in one group, to carry headings and sections.
     """
-    kind = df.schema[key].dataType.simpleString()
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for k, page in zip(batch[key], batch[html], strict=True):
-                p = _Rows()
-                p.feed(page if isinstance(page, str) else "")
-                p.close()
-                for at, (heading, cells) in enumerate(p.rows):
-                    group = None
-                    if len(cells) >= 3:
-                        group, cells = cells[0][2], cells[1:3]
-                    if len(cells) == 1 and cells[0][0]:
-                        out.append((k, at, heading, cells[0][2], None, None))
-                    elif len(cells) == 2:
-                        out.append((k, at, heading, group, cells[0][2] or cells[1][1] or cells[0][1], cells[1][2]))
-            yield pd.DataFrame(out, columns=[key, "position", "heading", "own", "label", "value"])
-
-    found = df.select(key, html).mapInPandas(rows, f"{key} {kind}, position int, heading string, own string, label string, value string")
-    return carry_section(found, key).filter("label IS NOT NULL").select(key, "position", "section", "label", "value")
+    # headings and rows in document order
+    pieces = F.regexp_extract_all(F.col(html), F.lit(r"(?is)(<h[234]\b[^>]*>.*?</h[234]>|<tr\b[^>]*>.*?</tr>)"), F.lit(1))
+
+    each = df.select(key, F.posexplode(pieces).alias("at", "x")).withColumn("is_row", F.col("x").rlike("(?i)^<tr"))
+    w = Window.partitionBy(key).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    heading = F.when(~F.col("is_row"), F.coalesce(plain(F.col("x")), F.lit("")))
+    each = each.withColumn("heading", F.nullif(F.last(heading, ignorenulls=True).over(w), F.lit(""))).withColumn("position", (F.sum(F.col("is_row").cast("int")).over(w) - 1).cast("int"))
+
+    def cell(c: Column) -> Column:
+        spec = F.regexp_extract(c, r"""(?is)^<t[dh]\b[^>]*?data-spec\s*=\s*["']([^"']*)""", 1)
+        return F.struct(c.rlike("(?i)^<th").alias("head"), F.nullif(spec, F.lit("")).alias("spec"), plain(c).alias("text"))
+
+    cells = F.transform(F.regexp_extract_all(F.col("x"), F.lit(r"(?is)(<t[dh]\b[^>]*>.*?</t[dh]>)"), F.lit(1)), cell)
+    found = each.filter("is_row").select(key, "position", "heading", cells.alias("cells"))
+
+    def read(c: Column) -> Column:
+        n = F.size(c)
+        first = F.when(n >= 3, 1).otherwise(0)
+        a, b = F.get(c, first), F.get(c, first + 1)
+        group = F.when(n >= 3, F.get(c, F.lit(0))["text"])
+        label = F.coalesce(F.nullif(a["text"], F.lit("")), b["spec"], a["spec"])
+        opens = (n == 1) & a["head"]
+        return F.when(opens, F.struct(a["text"].alias("own"), F.lit(None).cast("string").alias("label"), F.lit(None).cast("string").alias("value"))).when(n >= 2, F.struct(group.alias("own"), label.alias("label"), b["text"].alias("value")))
+
+    rows = found.select(key, "position", "heading", let(F.col("cells"), read).alias("y")).filter("y IS NOT NULL").select(key, "position", "heading", "y.*")
+    return carry_section(rows, key).filter("label IS NOT NULL").select(key, "position", "section", "label", "value")
 
 
 def carry_section(rows: DataFrame, key: str, position: str = "position", own: str = "own", heading: str = "heading") -> DataFrame:
@@ -92,9 +74,24 @@ def canonical_label(label: Column) -> Column:
 
 
 def label_aliases(rows: DataFrame, aliases: DataFrame, label: str = "label") -> DataFrame:
-    """``canonical``: the alias table's name for a label, or the label's own canonical form."""
-    named = rows.withColumn("alias", canonical_label(F.col(label)))
-    return named.join(aliases.select("alias", F.col("name").alias("__n")), "alias", "left").withColumn("canonical", F.coalesce("__n", "alias")).drop("__n", "alias")
+    """``canonical``: the name in ``aliases(alias, name)`` of the longest run of a label's first words that is there, or the label's own canonical form."""
+    each = rows.select(F.col(label).alias("__raw")).distinct().withColumn("__own", canonical_label(F.col("__raw")))
+    words = F.split("__own", " ")
+    starts = F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.concat_ws(" ", F.slice(words, F.lit(1), i)))
+    found = each.select("__raw", "__own", F.explode(starts).alias("alias")).join(aliases.select("alias", "name"), "alias", "left")
+    found = found.groupBy("__raw", "__own").agg(F.max_by("name", F.when(F.col("name").isNotNull(), F.length("alias"))).alias("__n"))
+    return rows.join(found, rows[label].eqNullSafe(F.col("__raw")), "left").withColumn("canonical", F.coalesce("__n", "__own")).drop("__n", "__own", "__raw")
+
+
+def raw_record(rows: DataFrame, key: str) -> DataFrame:
+    """key, record: the rows of a page as JSON, section by section, label by label; of a label's values the first by position counts."""
+    first = rows.groupBy(key, "section", "label").agg(F.min_by("value", "position").alias("value"), F.min("position").alias("p"))
+    entry = lambda k, v: F.transform(F.array_sort(F.collect_list(F.struct("p", k, v))), lambda x: F.struct(x[k], x[v]))
+    parts = first.groupBy(key, F.coalesce("section", F.lit("")).alias("section")).agg(F.map_from_entries(entry("label", "value")).alias("facts"), F.min("p").alias("p"), F.to_json(F.map_from_entries(entry("label", "value"))).alias("j"))
+    whole = F.transform(F.array_sort(F.collect_list(F.struct("p", "section", "j"))), lambda x: F.concat(F.to_json(F.struct(x["section"].alias("s"))), F.lit("\0"), x["j"]))
+    # {"s":"name"} and the section's object become "name":{...}
+    member = lambda x: F.concat(F.regexp_extract(x, r'(?s)^\{"s":(".*")\}\x00', 1), F.lit(":"), F.regexp_extract(x, r"(?s)\x00(.*)$", 1))
+    return parts.groupBy(key).agg(F.concat(F.lit("{"), F.concat_ws(",", F.transform(whole, member)), F.lit("}")).alias("record"))
 
 
 def pivot_specs(rows: DataFrame, key: str, labels: list[str], label: str = "canonical", value: str = "value") -> DataFrame:

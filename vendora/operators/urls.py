@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,12 @@ RULES = (
     ("whatamobile.com.pk", "catalogue", "path", r"(?i)^/product-cat/mobiles(?:/page/\d+)?/?$"),
     ("mega.pk", "product", "path", r"(?i)^/mobiles_products/\d+/[^/?#]+\.html/?$"),
     ("mega.pk", "catalogue", "path", r"(?i)^/mobiles(?:/\d+)?/?$"),
+    ("daraz.pk", "product", "path", r"(?i)^/products/[^/?#]+-i\d+(?:-s\d+)?\.html/?$"),
+    ("mymobile.pk", "product", "path", r"(?i)^/products/[^/?#]+/?$"),
+    ("mymobile.pk", "catalogue", "path", r"(?i)^/category/[^/?#]+/?$"),
 )
+#: Fixed value: sites whose addresses may have a query.
+WITH_QUERY = ("daraz.pk",)
 #: Fixed value: words between hyphens that mark a page about a product.
 NOT_PRODUCT = r"(?i)-(?:phones?|reviews?|pictures?|opinions?|prices?|videos?|related|compare|news)-"
 #: Fixed value: maker and id of a paged catalogue address.
@@ -25,11 +32,11 @@ PAGED = r"(?i)^([a-z0-9][a-z0-9_()+.,%'-]*)-phones-f-([0-9]+)-[0-9]+(?:-r[0-9]+)
 
 
 def classify(url: Column, rules=RULES, not_product: str = NOT_PRODUCT) -> Column:
-    """product, catalogue or other, by the rules of the URL's site; a query or a fragment makes it other."""
+    """product, catalogue or other, by the rules of the URL's site; a fragment makes it other, and so does a query where the site has none."""
     path = s.url_path(url)
     name = F.regexp_extract(path, r"([^/]*)$", 1)
     site = s.canonical_site(s.host(url))
-    out = F.when(s.url_query(url).isNotNull() | s.url_fragment(url).isNotNull() | site.isNull(), "other")
+    out = F.when((s.url_query(url).isNotNull() & ~site.isin(*WITH_QUERY)) | s.url_fragment(url).isNotNull() | site.isNull(), "other")
     for where, kind, part, pattern in rules:
         hit = (site == where) & (name if part == "name" else path).rlike(pattern)
         if kind == "product" and part == "name":
@@ -51,7 +58,7 @@ def maker(url: Column) -> Column:
 
 def keyword(text: Column, words: list[str]) -> Column:
     """The first of the words that the text holds, lower case, or null."""
-    pattern = "(?i)(" + "|".join(words) + ")"
+    pattern = "(?i)(" + "|".join(map(re.escape, words)) + ")"
     return F.when(text.rlike(pattern), F.lower(F.regexp_extract(text, pattern, 1)))
 
 
@@ -92,8 +99,8 @@ def ordered_distinct(df: DataFrame, url: str, position: str) -> DataFrame:
     return df.groupBy(url).agg(F.min(position).alias(position))
 
 
-def manifest_stats(df: DataFrame, url: str, done: DataFrame | None = None, rules=RULES) -> DataFrame:
-    """Seen, duplicate, rejected, selected and already complete, from one row for each distinct URL."""
+def manifest_stats(df: DataFrame, url: str, done: DataFrame | None = None, rules=RULES, results: DataFrame | None = None) -> DataFrame:
+    """Seen, duplicate, rejected, selected and already complete, from one row for each distinct URL; with ``results(url, ok)`` also ok and failed."""
     each = df.groupBy(s.canonical_url(F.col(url)).alias("u")).agg(F.count("*").alias("n"))
     each = each.withColumn("kind", classify(F.col("u"), rules))
     if done is not None:
@@ -101,9 +108,14 @@ def manifest_stats(df: DataFrame, url: str, done: DataFrame | None = None, rules
     else:
         each = each.withColumn("done", F.lit(None).cast("boolean"))
     wanted = (F.col("kind") != "other") & F.col("u").isNotNull()
+    more = []
+    if results is not None:
+        best = results.groupBy(F.col(url).alias("u")).agg(F.max("ok").alias("ok"))
+        each = each.join(best, "u", "left")
+        more = [F.count_if(wanted & F.col("ok")).alias("ok"), F.count_if(wanted & ~F.col("ok")).alias("failed")]
     return each.agg(
         F.sum("n").alias("seen"), F.sum(F.when(F.col("u").isNotNull(), F.col("n") - 1).otherwise(0)).alias("duplicates"), F.sum(F.when(F.col("u").isNull(), F.col("n")).when(~wanted, 1).otherwise(0)).alias("rejected"),
-        F.count_if(wanted).alias("selected"), F.count_if(wanted & F.coalesce("done", F.lit(False))).alias("already_complete"))
+        F.count_if(wanted).alias("selected"), F.count_if(wanted & F.coalesce("done", F.lit(False))).alias("already_complete"), *more)
 
 
 def links(df: DataFrame, key: str, html: str) -> DataFrame:
@@ -117,3 +129,16 @@ def absolute(base: Column, href: Column) -> Column:
     root = F.concat(F.lit("https://"), F.lower(s.host(base)))
     beside = F.concat(root, F.regexp_replace(s.url_path(base), r"[^/]*$", ""))
     return F.when(href.rlike("(?i)^https?://"), href).when(F.startswith(href, F.lit("//")), F.concat(F.lit("https:"), href)).when(F.startswith(href, F.lit("/")), F.concat(root, href)).otherwise(F.concat(F.when(F.endswith(beside, F.lit("/")), beside).otherwise(F.concat(beside, F.lit("/"))), href))
+
+
+def discover(df: DataFrame, url: str, html: str, rules=RULES) -> DataFrame:
+    """page, link, kind, position: what a catalogue page leads to, each link once and at its first place.
+
+    kind is ``product`` for addresses that the rules call so, ``page`` for other catalogue pages of the page's own maker.
+    """
+    at = df.select(F.col(url).alias("page"), html)
+    found = links(at, "page", html).withColumn("link", absolute(F.col("page"), F.col("href")))
+    own, other = maker(F.col("page")), maker(F.col("link"))
+    kind = F.when(classify(F.col("link"), rules) == "product", "product").when((own == other) & (F.col("link") != F.col("page")), "page")
+    found = found.withColumn("kind", kind).filter("kind IS NOT NULL")
+    return found.groupBy("page", "link", "kind").agg(F.min("position").alias("position"))

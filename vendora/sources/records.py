@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gzip
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -77,13 +80,30 @@ def read_manifest(df: DataFrame, body: str = "body") -> DataFrame:
     flat = F.when(F.startswith(b, F.lit("[")), as_urls(F.from_json(b, "array<string>")))
     mobile = as_urls(F.from_json(F.get_json_object(b, "$.mobile_urls"), "array<string>"))
     maker = as_urls(F.from_json(F.get_json_object(b, "$.catalog_urls"), "array<string>"))
-    # in a tree every address stands under the key "url", in document order
-    tree = F.when(F.get_json_object(b, "$.tree").isNotNull(), F.regexp_extract_all(F.get_json_object(b, "$.tree"), F.lit(r'"url"\s*:\s*"([^"]+)"'), F.lit(1)))
+    # in a tree every address stands under the key "url", in document order; it is read as the JSON text that it is
+    quoted = F.regexp_extract_all(F.get_json_object(b, "$.tree"), F.lit(r'"url"\s*:\s*("(?:[^"\\]|\\.)+")'), F.lit(1))
+    tree = F.transform(quoted, lambda x: F.get(F.from_json(F.concat(F.lit("["), x, F.lit("]")), "array<string>"), F.lit(0)))
     pairs = lambda a, kind: F.transform(F.coalesce(a, F.array().cast("array<string>")), lambda x: F.struct(x.alias("url"), F.lit(kind).alias("kind")))
     every = F.concat(pairs(F.coalesce(flat, mobile, tree), "product"), pairs(maker, "catalogue"))
     return df.select(F.posexplode(every).alias("position", "x")).select((F.col("position") + 1).alias("position"), "x.url", "x.kind")
 
 
+def manifest_counts(entries: DataFrame) -> DataFrame:
+    """One row: seen, duplicates and rejected (not http or https) addresses of a manifest read by :func:`read_manifest`."""
+    each = entries.groupBy(s.canonical_url(F.col("url")).alias("u")).agg(F.count("*").alias("n"))
+    good = F.col("u").isNotNull()
+    return each.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("seen"), F.coalesce(F.sum(F.when(good, F.col("n") - 1)), F.lit(0)).alias("duplicates"), F.coalesce(F.sum(F.when(~good, F.col("n"))), F.lit(0)).alias("rejected"))
+
+
+def _inflated(bodies: pd.Series) -> pd.Series:
+    return bodies.map(lambda b: None if b is None else (gzip.decompress(b) if bytes(b[:2]) == b"\x1f\x8b" else bytes(b)).decode("utf-8", "replace"))
+
+
+def body_text(content: Column) -> Column:
+    """Fetched bytes as text, unpacked where they are gzip."""
+    return F.pandas_udf(_inflated, "string")(content)
+
+
 def read_sitemaps(bodies: DataFrame, roots: list[str], depth: int = 5) -> DataFrame:
     """position, url: addresses reached from the root sitemaps over a table of fetched bodies (url, body), through at most ``depth`` indexes; ordered, each once."""
     locs = F.expr("xpath(body, '//*[local-name()=\"url\"]/*[local-name()=\"loc\"]/text()')")
@@ -105,6 +125,13 @@ def read_customers(spark: SparkSession, path: str) -> DataFrame:
     return df.toDF(*(c.strip().lower() for c in df.columns))
 
 
+def unchanged(files: DataFrame, key: Column, known: DataFrame) -> None:
+    """Raise if the files are not those of a fingerprint taken before, so that one load never mixes two inputs."""
+    now, then = fingerprint(files, key).first(), known.first()
+    if now != then:
+        raise ValueError(f"the source changed during the load: {then} became {now}")
+
+
 def fingerprint(files: DataFrame, key: Column) -> DataFrame:
     """One row: files, bytes and an order-free hash of path, size and time; equal for equal inputs in any order."""
     return files.agg(F.count("*").alias("files"), F.sum("length").alias("bytes"), F.bit_xor(F.xxhash64(key, "length", "modificationTime")).alias("hash"))
