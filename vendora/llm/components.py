@@ -11,7 +11,12 @@ import gc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .warc import shared_dir
+from ..operators.ordering import shared_dir
+
+#: Rows of one key that a task may meet in :func:`spread_join`.
+HOT = 5_000
+#: A list of hot keys is broadcast up to this many rows.
+HOT_KEYS = 1 << 20
 
 
 def _saved(df: DataFrame, name: str) -> DataFrame:
@@ -22,6 +27,32 @@ def _saved(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
+    """k, h, t: the id (0 for none), a hash of the text and of whether there is an id, and the text.
+
+    k and h tell texts apart however rows are dealt. Neither is ever null: pandas would turn the ids of a batch that holds
+    a null into doubles.
+    """
+    ident = F.col(key).cast("long")
+    return df.select(F.coalesce(ident, F.lit(0)).alias("k"), F.xxhash64(F.col(text), ident.isNull()).alias("h"), F.col(text).alias("t"))
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], counts: DataFrame, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right``, which has one row for each key; keys that ``counts(*on, n)`` gives over HOT rows of ``left`` are dealt over as many tasks as they need.
+
+    Only the list of hot keys is broadcast, if it is short enough; it has a row for each HOT rows of ``left`` at most.
+    """
+    hot = _saved(counts.filter(F.col("n") > HOT).select(*on, F.ceil(F.col("n") / HOT).cast("int").alias("__parts")), "hot")
+    n = hot.count()
+    if not n:
+        return left.join(right, on, how)
+    hot = F.broadcast(hot) if n <= HOT_KEYS else hot
+    parts = F.coalesce("__parts", F.lit(1))
+    dealt = left.join(hot, on, "left").withColumn("__part", F.pmod(F.xxhash64(*left.columns), parts).cast("int")).drop("__parts")
+    copies = right.join(hot, on, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+    return dealt.join(copies, [*on, "__part"], how).drop("__part")
+
+
 def free(spark, *tables: DataFrame) -> None:
     """Delete written tables that no later step reads, and let Spark drop the shuffle files of plans that nothing holds any more."""
     jvm = spark._jvm

@@ -29,7 +29,6 @@ from pyspark.sql import Window
 
 from .components import _saved
 from .quality import SPACE, _let
-from .suffix import _with
 
 SHINGLE = 5
 RADIUS, BLOCKS, BLOCK_BITS = 23, 8, 8
@@ -62,6 +61,11 @@ def _hashes(words: Column, size: int) -> Column:
     return _let(words, each)
 
 
+def _with(docs: DataFrame, more: DataFrame, column: str) -> DataFrame:
+    more = more.select(F.col("k").alias("k2"), F.col("h").alias("h2"), column)
+    return docs.join(more, (docs["h"] == F.col("h2")) & docs["k"].eqNullSafe(F.col("k2"))).drop("k2", "h2")
+
+
 def _keyed(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).cast("long").alias("k"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("t"))
 
@@ -138,8 +142,8 @@ def surroundings(docs: DataFrame, rarest: DataFrame) -> DataFrame:
         near = docs.select("k", "h", "w", F.posexplode(_hashes(F.col("w"), SHINGLE)).alias("pos", "s")).join(rarest, "s")
     else:
         anchors = _saved(docs.select("k", "h", F.posexplode(_hashes(F.col("w"), SHINGLE)).alias("pos", "s")).join(rarest, "s"), "anchors")
-        words = _with(docs, anchors.select("k", "h").distinct().withColumn("hit", F.lit(1)), "hit", "inner").drop("hit").dropDuplicates(["k", "h"])
-        near = _with(anchors, words, "w", "inner")
+        words = _with(docs, anchors.select("k", "h").distinct().withColumn("hit", F.lit(1)), "hit").drop("hit").dropDuplicates(["k", "h"])
+        near = _with(anchors, words, "w")
     # a window holds the shingle if it begins at most m - SHINGLE words before
     first, last = F.floor(F.greatest(F.col("pos") - F.col("m") + SHINGLE, F.lit(0)) / F.col("m")), F.floor(F.col("pos") / F.col("m"))
     near = near.select("k", "h", "iid", "m", "w", F.explode(F.array_distinct(F.array(first, last))).alias("base")).withColumn("at", (F.col("base") * F.col("m")).cast("int"))

@@ -9,7 +9,8 @@ per block that is accepted; of blocks that overlap the most similar counts, and
 The scan is one pass without a shuffle; what a task learns about a block it keeps for later copies of it.
 
 Defined cases: null and empty texts have no block; repeated rows are reported as often as they stand; a null id is
-kept; paragraphs may have any length, blocks have at most the words that the longest template can be accepted with.
+kept; paragraphs may have any length, blocks have at most the words that the longest template can be accepted with; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CUES = r"(?i)licen[cs]|copyright|rights\s+reserved|permission\s+is\s+hereby|public\s+domain|redistribut|warrant"
-#: Notice wordings, and the words of each that name the license.
+#: Notice wordings by paragraph, and the words of each that name the license.
 TEMPLATES = (
     ("MIT", "Released under the MIT License.", "mit"),
     ("MIT", "Licensed under the MIT License.", "mit"),
@@ -49,6 +50,20 @@ TEMPLATES = (
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0.", "cc by nc sa 4.0"),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work. CC0 1.0 Universal Public Domain Dedication.", "cc0"),
     ("Unlicense", "This is free and unencumbered software released into the public domain.", "unencumbered"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "gnu general public 3"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "gnu general public 2"),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "gnu lesser public 3"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "gnu lesser public 2.1"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "gnu affero public 3"),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.", "unless applicable governing limitations license"),
+    ("BSD", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.", "redistributions source retain disclaimer"),
+    ("BSD", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.", "redistributions binary reproduce disclaimer"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", "neither contributors endorse promote"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "permission fee granted appear"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.", "mozilla mpl 2.0"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/", "eclipse 2.0"),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:", "permission alter redistribute restrictions"),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:", "organization execute transmit derivative"),
     ("Proprietary", "All rights reserved.", "all rights reserved"),
     ("Proprietary", "Copyright. All rights reserved.", "copyright rights reserved"),
 )
@@ -167,16 +182,18 @@ _scanner: list[Scanner] = []
 def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     if not _scanner:
         _scanner.append(Scanner())
-    names = ["k", "start", "end", "license", "reduction", "similarity", "missing", "added"]
+    names = ["k", "no", "start", "end", "license", "reduction", "similarity", "missing", "added"]
     for batch in batches:
-        rows = [(k, *x) for k, t in zip(batch["k"].tolist(), batch["t"], strict=True) for x in _scanner[0].scan(t)]
-        yield pd.DataFrame(rows, columns=names).astype({"k": "Int64"})
+        rows = [(k, no, *x) for k, no, t in zip(batch["k"].tolist(), batch["no"].tolist(), batch["t"], strict=True) for x in _scanner[0].scan(t)]
+        yield pd.DataFrame(rows, columns=names)
 
 
 def license_scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(k, start, end, license, reduction, similarity, missing, added): each accepted block of each text, k its id."""
-    some = df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).filter(F.col("t").rlike(CUES))
-    return some.mapInPandas(_rows, "k long, start long, end long, license string, reduction double, similarity double, missing string, added string")
+    ident = F.col(key).cast("long")
+    some = df.select(F.coalesce(ident, F.lit(0)).alias("k"), ident.isNull().alias("no"), F.col(text).alias("t")).filter(F.col("t").rlike(CUES))
+    found = some.mapInPandas(_rows, "k long, no boolean, start long, end long, license string, reduction double, similarity double, missing string, added string")
+    return found.withColumn("k", F.when(~F.col("no"), F.col("k"))).drop("no")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

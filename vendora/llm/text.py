@@ -1,11 +1,13 @@
 """Vectorised words and shingles of many texts at once, for use inside tasks.
 
 A word is ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. Its 64-bit name is a polynomial over random byte
-values, taken from prefix sums, so cutting and naming cost a few array operations for each byte.
+values, taken from prefix sums, so cutting and naming cost a few array operations for each byte. Words of over
+LONG bytes are named by a keyed digest, as long texts can be built on which such polynomials agree.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +22,7 @@ _LOWER[65:91] += 32
 _VALUE = np.random.default_rng(20260101).integers(1, 1 << 63, 256, dtype=np.uint64)[_LOWER] | U(1)
 _powers = np.ones(1, U), np.ones(1, U)
 SLICE_BYTES = 1 << 20
+LONG = 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -70,6 +73,8 @@ class Words:
         total = np.zeros(len(raw) + 1, U)
         np.cumsum(_VALUE[self.buffer] * up[: len(raw)], out=total[1:])
         self.names = mix((total[self.end] - total[self.start]) * down[self.start] + (self.end - self.start).astype(U))
+        for i in np.flatnonzero(self.end - self.start > LONG):
+            self.names[i] = U(int.from_bytes(hashlib.blake2b(self.word(i), digest_size=8, key=b"word").digest(), "little"))
         ends = np.cumsum([len(t) + 1 for t in texts])
         self.first = np.concatenate(([0], np.searchsorted(self.start, ends)))
 

@@ -7,26 +7,22 @@ An archive is a folder of two tables. ``payloads`` holds each distinct payload o
 Defined cases: a null payload counts as empty. Payloads under ``min_revisit`` bytes are never shared as
 revisits (they are still stored once). Rows equal in id, url and payload are told apart by their copy
 number: the first is the response, the rest revisit it. A null id sorts first, as Spark orders it. Other
-columns of the input do not enter the archive. An empty table gives an empty archive.
+columns of the input do not enter the archive, whatever their names; payloads may have any length that a row can hold.
+An empty table gives an empty archive.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordering import shared_dir
+from .components import HOT, HOT_KEYS, _saved
+
 CRLF = "\r\n"
 EPOCH = "1970-01-01T00:00:00Z"
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir, or under the session's own default where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "/tmp/vendora-checkpoints"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _line(name: str, value: Column) -> Column:
     return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit(CRLF))).otherwise("")
 
@@ -42,10 +38,16 @@ def write_archive(pages: DataFrame, path: str, key: str = "page_id", url: str =
     """
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.encode(F.coalesce(F.col(body), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("bytes", F.octet_length("payload").cast("long"))
-    heads = rows.groupBy("page_id", "url", "digest", "bytes").agg(F.count("*").alias("copies"))
-    # one row per digest: the response that later copies refer to
-    first = heads.groupBy("digest").agg(F.min(F.struct("page_id", "url")).alias("first"))
-    heads = heads.join(first, "digest").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    heads = _saved(rows.groupBy("page_id", "url", "digest", "bytes").agg(F.count("*").alias("copies")), "heads")
+    # one row per digest: the response that later copies refer to, and how many parts its records are dealt over
+    first = heads.groupBy("digest").agg(F.min(F.struct("page_id", "url")).alias("first"), F.sum("copies").alias("n"))
+    first = _saved(first.select("digest", "first", F.ceil(F.col("n") / HOT).cast("int").alias("parts")), "first")
+    hot = first.filter("parts > 1")
+    hot = F.broadcast(hot) if hot.count() <= HOT_KEYS else hot
+    # digests that very many records have come by broadcast, the others by shuffle
+    cold = heads.join(hot, "digest", "left_anti").join(first.filter("parts = 1"), "digest")
+    heads = heads.join(hot, "digest").unionByName(cold).withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")).cast("int"))
+    heads = heads.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     response = (F.col("bytes") < min_revisit) | ((F.col("copy") == 1) & F.struct("page_id", "url").eqNullSafe(F.col("first")))
     heads = heads.withColumn("kind", F.when(response, "response").otherwise("revisit"))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("bytes"), F.lit(CRLF + CRLF))
@@ -58,8 +60,9 @@ def write_archive(pages: DataFrame, path: str, key: str = "page_id", url: str =
         F.lit(f"Content-Type: application/http; msgtype=response{CRLF}Content-Length: "), F.octet_length(http) + body_bytes, F.lit(CRLF + CRLF), http,
     )
     store = {"compression": "zstd"}
-    heads.select("page_id", F.encode(header, "UTF-8").alias("header"), "digest", "kind").write.options(**store).parquet(f"{path}/records")
-    rows.groupBy("digest").agg(F.first("payload").alias("payload")).write.options(**store).parquet(f"{path}/payloads")
+    heads.select("page_id", F.encode(header, "UTF-8").alias("header"), "digest", "part", "kind").write.options(**store).parquet(f"{path}/records")
+    payloads = rows.groupBy("digest").agg(F.first("payload").alias("payload"))
+    payloads.join(first.select("digest", "parts"), "digest").write.options(**store).parquet(f"{path}/payloads")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -70,7 +73,9 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     records, payloads = spark.read.parquet(f"{path}/records"), spark.read.parquet(f"{path}/payloads")
     payloads = payloads.withColumn("verified", F.sha2("payload", 256) == F.col("digest"))
     body = F.when(F.col("kind") == "response", F.col("payload")).otherwise(F.encode(F.lit(""), "UTF-8"))
-    return records.join(payloads, "digest").withColumn("record", F.concat("header", body, F.encode(F.lit(CRLF + CRLF), "UTF-8")))
+    # a payload that very many records have meets them in parts
+    payloads = payloads.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    return records.join(payloads, ["digest", "part"]).drop("part").withColumn("record", F.concat("header", body, F.encode(F.lit(CRLF + CRLF), "UTF-8")))
 
 
 def parse_records(records: DataFrame) -> DataFrame:
