@@ -1,12 +1,11 @@
 """Harmonic packing of tokenised documents into fixed-length sequences.
 
-A sequence of ``capacity`` tokens takes k pieces of class k, whose pieces fill a k-th of it each. Cutting is
-free, so only the classes k = 1, 2, 4, ... are used: a document is cut into full sequences and, for what
-is left, one piece for each binary digit of its length. The pieces of a class then fill it exactly, and
-which k of them share a sequence does not matter: each salted part of a class numbers its pieces on its own,
-and one small table of counts turns these into numbers in the class. The last, partly filled sequence of a
-class is split by the binary digits of its count, so that each of these has a power of two as its length and
-needs no padding.
+Every task packs the documents it reads on its own, so nothing is shuffled. What a document has beyond full sequences is of
+class k if k such pieces, but not k + 1, fit a sequence of ``capacity`` tokens. A class keeps one open sequence, which
+takes a fixed number of pieces, k. The gap that is then left, less than a piece, is closed with a part cut from the next
+document, so that full sequences need no padding and a document is cut once for each gap it closes. A task's open sequences
+(classes have about twice the root of the capacity different numbers) are joined and cut again at its end, the last by the binary
+digits of its length: each of these has a power of two as its length and needs no padding either.
 
 Defined cases: a null text counts as empty and is the end id alone; a repeated row is packed as often as it
 stands there; a null id is kept; an empty table packs into nothing; of the input only id and text are read.
@@ -19,13 +18,15 @@ import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .components import _saved
 from .tokencount import Unknown, default_file, load, slices
-from .warc import shared_dir
 
 CAPACITY = 4096
 END_ID = 2
@@ -100,73 +101,114 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def cut(n: int, capacity: int = CAPACITY) -> list[int]:
-    """Lengths of a document's pieces: full sequences, then the binary digits of the rest from the largest."""
-    out = [capacity] * (n // capacity)
-    return out + [1 << b for b in range((n % capacity).bit_length() - 1, -1, -1) if (n % capacity) >> b & 1]
+class Piece(NamedTuple):
+    """A part of a document: its id, whether it has none, the document's ids before the part, the part's ids, and the document's number of ids."""
 
+    key: int
+    no: bool
+    start: int
+    ids: bytes
+    whole: int
 
-def cut_documents(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens and, if asked for, ``ids`` (little-endian bytes)."""
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + (", ids binary" if with_ids else "")
+    def split(self, n: int) -> tuple[Piece, Piece]:
+        """The first n ids, and the others."""
+        return self._replace(ids=self.ids[: 4 * n]), self._replace(ids=self.ids[4 * n :], start=self.start + n)
+
+    @property
+    def size(self) -> int:
+        return len(self.ids) // 4
+
+
+class Packer:
+    """Sequences of one task, each a list of pieces."""
+
+    def __init__(self, capacity: int = CAPACITY):
+        self.capacity = capacity
+        self.open: dict[int, list[Piece]] = {}
+        self.gaps: list[tuple[int, list[Piece]]] = []
+
+    def add(self, p: Piece) -> Iterator[list[Piece]]:
+        """Take a document; yields the sequences that it completes."""
+        while p.size and self.gaps:
+            gap, held = self.gaps.pop()
+            part, p = p.split(min(gap, p.size))
+            held.append(part)
+            if part.size < gap:
+                self.gaps.append((gap - part.size, held))
+            else:
+                yield held
+        full = p.size // self.capacity * self.capacity
+        for at in range(0, full, self.capacity):
+            yield [p._replace(ids=p.ids[4 * at : 4 * (at + self.capacity)], start=p.start + at)]
+        p = p.split(full)[1] if full else p
+        if p.size:
+            k = self.capacity // p.size
+            held = self.open.setdefault(k, [])
+            held.append(p)
+            if len(held) == k:
+                gap = self.capacity - sum(x.size for x in self.open.pop(k))
+                if gap:
+                    self.gaps.append((gap, held))
+                else:
+                    yield held
+
+    def close(self) -> Iterator[list[Piece]]:
+        """Join what is open: full sequences, then one for each binary digit of the rest."""
+        left = [p for _, held in self.gaps for p in held] + [p for k in sorted(self.open) for p in self.open[k]]
+        total = sum(p.size for p in left)
+        sizes = [self.capacity] * (total // self.capacity)
+        rest = total % self.capacity
+        sizes += [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
+        for size in sizes:
+            held = []
+            while size:
+                part, more = left.pop(0).split(size)
+                held.append(part)
+                size -= part.size
+                if more.size:
+                    left.insert(0, more)
+            yield held
+        self.open, self.gaps = {}, []
+
+
+def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, ``ids`` (little-endian bytes).
+
+    The rows are written in the shared folder, so that each sequence is packed once.
+    """
+    schema = "doc_id long, no boolean, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + (", ids binary" if with_ids else "")
+    names = [x.split()[0] for x in schema.split(", ")]
     end = struct.pack("<I", END_ID)
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if path not in _encoders:
             _encoders[path] = Encoder(path)
-        names = [x.split()[0] for x in schema.split(", ")]
+        packer, number = Packer(capacity), TaskContext.get().partitionId() << 40
+        rows: list[tuple] = []
+
+        def put(sequences: Iterator[list[Piece]]) -> None:
+            nonlocal number
+            for held in sequences:
+                at = 0
+                for p in held:
+                    rows.append((p.key, p.no, p.start, p.size, zlib.crc32(p.ids), p.whole, number, at, *([p.ids] if with_ids else [])))
+                    at += p.size
+                number += 1
+
         for batch in batches:
-            keys, at = batch["k"].tolist(), 0
+            keys, nos, at = batch["k"].tolist(), batch["no"].tolist(), 0
             for run in slices(batch["t"].fillna("").tolist()):
-                rows = []
-                for k, ids in zip(keys[at : at + len(run)], _encoders[path].encode(run), strict=True):
-                    ids, start = ids + end, 0
-                    for n in cut(len(ids) // 4, capacity):
-                        b = ids[4 * start : 4 * (start + n)]
-                        rows.append((k, start, n, zlib.crc32(b), len(ids) // 4, *([b] if with_ids else [])))
-                        start += n
+                for i, ids in enumerate(_encoders[path].encode(run), at):
+                    put(packer.add(Piece(keys[i], nos[i], 0, ids + end, len(ids) // 4 + 1)))
                 at += len(run)
-                yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
-
-    return df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).mapInPandas(pieces, schema)
-
-
-def place(pieces: DataFrame, capacity: int = CAPACITY, salts: int = 64) -> DataFrame:
-    """``pieces`` (lengths are powers of two up to ``capacity``) with sequence_id, offset and seq_tokens.
-
-    Reads its input twice, so it should be a written table. No task sees more than a salt's part of a class.
-    """
-    part = ["length", "__salt"]
-    salted = pieces.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)).cast("int"))
-    counts = salted.groupBy(*part).agg(F.count("*").alias("__n"))
-    # at most salts rows for each of log2(capacity) + 1 classes
-    before = Window.partitionBy("length").orderBy("__salt")
-    counts = counts.select(*part, (F.sum("__n").over(before) - F.col("__n")).alias("__before"), F.sum("__n").over(Window.partitionBy("length")).alias("__all"))
-    k = F.expr(f"bigint({capacity} / length)")
-    counts = counts.withColumn("__k", k)
-    number = F.row_number().over(Window.partitionBy(*part).orderBy("doc_id", "start", "ids_crc32")) - 1 + F.col("__before")
-    out = salted.join(F.broadcast(counts), part).withColumn("__i", number)
-    full = F.expr("__all - __all % __k")
-    out = out.withColumn("__bin", F.expr("bigint(floor(__i / __k))")).withColumn("__rest", F.col("__all") - full).withColumn("__j", F.col("__i") - full)
-    # in the last sequence of a class: the pieces from the start of the binary digit that holds piece j
-    digit = F.expr(f"aggregate(sequence({capacity.bit_length() - 1}, 0, -1), named_struct('lo', 0L, 'n', 0L), (a, b) -> "
-                   "IF(a.n > 0 OR (__rest >> b) & 1 = 0, a, IF(__j < a.lo + (1L << b), named_struct('lo', a.lo, 'n', 1L << b), named_struct('lo', a.lo + (1L << b), 'n', 0L))))")
-    out = out.withColumn("__d", F.when(F.col("__j") >= 0, digit))
-    share = F.when(F.col("__j") >= 0, F.col("__d.n")).otherwise(F.col("__k"))
-    spot = F.when(F.col("__j") >= 0, F.col("__j") - F.col("__d.lo")).otherwise(F.col("__i") - F.col("__bin") * F.col("__k"))
-    # ids: class in the low bits, then whether the sequence is in the split last one, then its number
-    last = F.when(F.col("__j") >= 0, F.col("__d.n")).otherwise(0)
-    number_of = F.when(F.col("__j") >= 0, last * 2 + 1).otherwise(F.col("__bin") * 2)
-    ident = number_of * 64 + F.expr("bigint(round(log2(length)))")
-    return out.select(*pieces.columns, ident.cast("long").alias("sequence_id"), (spot * F.col("length")).cast("long").alias("offset"), (share * F.col("length")).cast("long").alias("seq_tokens"))
-
-
-def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """Cut, write the pieces once in the shared folder, and place them."""
-    spark = df.sparkSession
-    out = shared_dir(spark, "pieces")
-    cut_documents(df, path, key, text, capacity).write.parquet(out)
-    return place(spark.read.parquet(out), capacity)
+                yield pd.DataFrame(rows, columns=names)
+                rows.clear()
+        put(packer.close())
+        yield pd.DataFrame(rows, columns=names)
+
+    ident = F.col(key).cast("long")
+    found = df.select(F.coalesce(ident, F.lit(0)).alias("k"), ident.isNull().alias("no"), F.col(text).alias("t")).mapInPandas(packed, schema)
+    return _saved(found.withColumn("doc_id", F.when(~F.col("no"), F.col("doc_id"))).drop("no"), "packed")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
