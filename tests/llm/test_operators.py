@@ -304,3 +304,47 @@ def test_pipeline(spark):
         d = spark.read.parquet(path)
     packed = corpus_pipeline.STAGES[-1][1](spark, d, DATA)
     assert packed.agg(F.sum("length")).first()[0] == packed.select("doc_id", "doc_tokens").distinct().agg(F.sum("doc_tokens")).first()[0]
+
+
+def _groups(texts, n=4):
+    """Brute force: the smallest index that each text reaches over pairs at 0.8."""
+    sets = [set(zip(*(w[i:] for i in range(n)))) if len(w) >= n else {tuple(w)} if w else set() for w in map(words, texts)]
+    root = list(range(len(texts)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        i = len(sets[a] & sets[b])
+        if i and 100 * i >= 80 * (len(sets[a]) + len(sets[b]) - i):
+            x, y = sorted((top(a), top(b)))
+            root[y] = x
+    return [top(i) for i in range(len(texts))]
+
+
+def test_near_duplicates_in_large_nodes(spark):
+    # documents that share half of their words, so that they meet in many nodes, with some real copies among them
+    rng = np.random.default_rng(3)
+    shared = [f"s{i}" for i in range(200)]
+    texts = []
+    for i in range(60):
+        own = [f"o{i}x{j}" for j in range(70)]
+        texts.append(" ".join(shared + own))
+        if i % 5 == 0:
+            own[int(rng.integers(70))] = "other"
+            texts.append(" ".join(shared + own))
+    want = _groups(texts)
+    for limit in (10, 10**6):
+        got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs(spark, texts), pairs_at_most=limit).collect()}
+        assert [got[i] for i in range(len(texts))] == want
+
+
+def test_near_duplicates_of_one_id(spark):
+    a, b, c = (" ".join(f"{p}{i}" for i in range(40)) for p in "abc")
+    near = lambda t: t.replace(t.split()[39], "other")
+    rows = [(1, a), (1, b), (2, near(a)), (3, near(b)), (4, c), (1, a)]
+    got = sorted((r["doc_id"], r["component_id"], r["n_shingles"]) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, 1, 37), (1, 1, 37), (1, 1, 37), (2, 1, 37), (3, 1, 37), (4, 4, 37)]
+    assert neardup.near_duplicates(docs(spark, ["x"]).limit(0)).count() == 0

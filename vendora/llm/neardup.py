@@ -4,17 +4,19 @@ A document's shingle set becomes ``WIDTH`` minwise tokens. In each of ``trees``
 draws one coordinate, and a quarter of the nodes a second (1 / 0.8 on average), from its own path; a
 document goes down the branch of its token there. Two sets of similarity 0.8 share a node of depth 4 in
 one tree with probability 0.576, so that 14 trees miss such a pair with probability 6e-6. A path depends on
-the document alone, so all nodes come from one pass over the texts without a shuffle.
+the document alone, so all nodes of that depth come from one pass over the texts without a shuffle.
 
 Nodes are then compared: first each member with the node's most central document, then those that this
 leaves outside its group with the most central of them, and at last all pairs of members that are still in
-different groups. Sketches of two bits per minwise token drop pairs at 4.5 deviations below the
+different groups. Where those are more than ``PAIRS`` in a node, it branches on before: its members go down ``AGAIN`` new trees from
+there, ``DEPTH`` levels at a time, until nodes are small or ``DEEPEST`` is reached (a pair at 0.8 is lost by that in 3 of 100 of its nodes,
+of which it has eight on average); large nodes that stay are compared in parts. Sketches of two bits per minwise token drop pairs at 4.5 deviations below the
 threshold; every link is confirmed on the full sets.
 
 Sets that are equal (128-bit digest and size) are one class from the start, so thousands of copies are one
 member. Defined cases: null or wordless text: empty set, linked with nothing; a null id takes part in
-nothing, is kept and has a null component; rows that share an id are one document per distinct set with
-that id as theirs; an empty table gives an empty result; other columns are left alone.
+nothing, is kept and has a null component; rows that share an id are one document per distinct set, each with its own
+links, and a group is named by the smallest id of its documents; an empty table gives an empty result; other columns are left alone.
 """
 
 from __future__ import annotations
@@ -26,10 +28,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .components import _saved, components
+from .components import _saved, components, spread_join
 from .text import U, Words, as_bytes, mix, runs
 
 WIDTH, DEPTH, TREES = 1024, 4, 14
+#: Pairs that are compared in a node before it branches on, trees that it then has, and the depth at which all are compared.
+PAIRS, AGAIN, DEEPEST = 4_000_000, 4, 12
+#: Members of a large node that one part compares with the others.
+PART = 1_000
 #: Two bits of each token make the sketch, 32 tokens to a number.
 BITS = [f"b{i}" for i in range(WIDTH // 32)]
 _rng = np.random.default_rng(20260202)
@@ -49,10 +55,8 @@ def minwise(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def paths(tokens: np.ndarray, trees: int = TREES, depth: int = DEPTH, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(row, node) for every node of depth ``depth`` that a row of tokens reaches."""
-    row = np.repeat(np.arange(len(tokens)), trees)
-    path = np.tile(mix(_SEEDS[:trees] + U(seed)), len(tokens))
+def paths(tokens: np.ndarray, row: np.ndarray, path: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+    """(row, node) for every node that is reached from ``path``, each that of a row of tokens, ``depth`` levels down."""
     for _ in range(depth):
         also = (mix(path + U(11)) & U(3)) == 0
         row = np.concatenate((row, row[also]))
@@ -62,6 +66,15 @@ def paths(tokens: np.ndarray, trees: int = TREES, depth: int = DEPTH, seed: int
     return row, path
 
 
+def roots(rows: int, trees: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, path) of each of some rows at the root of each tree."""
+    return np.repeat(np.arange(rows), trees), np.tile(mix(_SEEDS[:trees]), rows)
+
+
+def _digests(x: np.ndarray) -> tuple[np.int64, np.int64]:
+    return mix(x).sum(dtype=U).view(np.int64), mix(x ^ U(0x5555555555555555)).sum(dtype=U).view(np.int64)
+
+
 def _bits(tokens: np.ndarray) -> np.ndarray:
     """Two bits of each token, as len(BITS) 64-bit numbers a row."""
     two = (mix(tokens.astype(U)) & U(3)).reshape(len(tokens), -1, 32)
@@ -82,13 +95,12 @@ def _set_rows(shingle: int, trees: int, depth: int):
                 if len(full):
                     tokens = minwise([sets[i] for i in full])
                     bits[full] = _bits(tokens)
-                    row, path = paths(tokens, trees, depth)
+                    row, path = paths(tokens, *roots(len(full), trees), depth)
                     order = np.lexsort((path, row))
                     parts = np.split(path[order].view(np.int64), np.cumsum(np.bincount(row, minlength=len(full)))[:-1])
                     for i, p in zip(full, parts, strict=True):
                         nodes[i] = np.unique(p)
-                        d1[i] = mix(sets[i]).sum(dtype=U).view(np.int64)
-                        d2[i] = mix(sets[i] ^ U(0x5555555555555555)).sum(dtype=U).view(np.int64)
+                        d1[i], d2[i] = _digests(sets[i])
                 yield pd.DataFrame({"doc_id": keys[at : at + len(run)], "text_hash": marks[at : at + len(run)], "n": size, "d1": d1, "d2": d2} | {b: bits[:, i] for i, b in enumerate(BITS)} | {"nodes": nodes})
 
     return rows
@@ -99,7 +111,31 @@ def _full_sets(shingle: int):
         for batch in batches:
             keys = batch["k"].to_numpy()
             for at, run in runs(as_bytes(batch["t"])):
-                yield pd.DataFrame({"id": keys[at : at + len(run)], "set": [s.view(np.int64) for s in Words(run).shingles(shingle)]})
+                sets = Words(run).shingles(shingle)
+                d = [_digests(s) for s in sets]
+                yield pd.DataFrame({"doc": keys[at : at + len(run)], "n": [len(s) for s in sets], "d1": [x for x, _ in d], "d2": [y for _, y in d], "set": [s.view(np.int64) for s in sets]})
+
+    return rows
+
+
+def _children(shingle: int, again: int, depth: int):
+    """From each text's large nodes (k, t, ds: its digests with the nodes of their class) the nodes below: (id, node)."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            wanted = batch["ds"].tolist()
+            for at, run in runs(as_bytes(batch["t"])):
+                sets = Words(run).shingles(shingle)
+                ids, nodes = [], []
+                for s, ds in zip(sets, wanted[at : at + len(run)], strict=True):
+                    mine = [d for d in ds if (d["d1"], d["d2"]) == _digests(s)] if len(s) else []
+                    if mine:
+                        start = np.array([mix(np.array([n], np.int64).view(U) + U(77 * (i + 1)))[0] for d in mine for n in d["nodes"] for i in range(again)], U)
+                        _, path = paths(minwise([s]), np.zeros(len(start), np.int64), start, depth)
+                        nodes.append(np.unique(path).view(np.int64))
+                        ids.append(np.full(len(nodes[-1]), mine[0]["id"]))
+                if ids:
+                    yield pd.DataFrame({"id": np.concatenate(ids), "node": np.concatenate(nodes)})
 
     return rows
 
@@ -116,14 +152,58 @@ def _near(a: str, b: str, percent: int) -> Column:
     return sizes & (far <= most)
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, percent: int = 80, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
+def _texts(live: DataFrame, classes: DataFrame) -> DataFrame:
+    """Texts of the classes' smallest ids."""
+    return live.join(classes.select(F.col("doc").alias("k")).distinct(), "k", "left_semi")
+
+
+def _branch_on(named: DataFrame, large: DataFrame, live: DataFrame, classes: DataFrame, shingle: int, depth: int) -> DataFrame:
+    """Members of the ``large(node)`` nodes in nodes ``depth`` levels below, as ``named`` has them."""
+    of = named.join(large, "node", "left_semi")
+    nodes = of.groupBy("id").agg(F.collect_set("node").alias("nodes"))
+    wanted = classes.select("id", "doc", "d1", "d2").join(nodes, "id")
+    per_doc = wanted.groupBy(F.col("doc").alias("k")).agg(F.collect_list(F.struct("id", "d1", "d2", "nodes")).alias("ds"))
+    found = live.join(per_doc, "k").mapInPandas(_children(shingle, AGAIN, depth), "id long, node long").distinct()
+    about = of.groupBy("id").agg(F.first("g").alias("g"), F.max("out").alias("out"))
+    return found.join(about, "id").select("node", "id", "g", "out")
+
+
+def _rest(named: DataFrame, live: DataFrame, classes: DataFrame, shingle: int, percent: int, pairs_at_most: int, depth: int) -> DataFrame:
+    """(a, b): pairs in different groups of which one is outside its node's first group, ``named(node, id, g, out)``, by sketch."""
+    level, done = depth, None
+    while True:
+        sizes = _saved(named.groupBy("node").agg(F.count_if("out").alias("o"), F.count("*").alias("n")).filter("o > 0"), "sizes")
+        large = sizes.filter(F.col("o") * F.col("n") > pairs_at_most).select("node")
+        if level >= DEEPEST or large.isEmpty():
+            break
+        small = named.join(sizes.filter(F.col("o") * F.col("n") <= pairs_at_most), "node", "left_semi")
+        done = small if done is None else done.unionByName(small)
+        named, level = _saved(_branch_on(named, large, live, classes, shingle, depth), "branches"), level + depth
+    named = named if done is None else done.unionByName(named)
+    counts = named.groupBy("node").agg(F.count_if("out").alias("o")).filter("o > 0")
+    open_ = named.join(counts.select("node", F.ceil(F.col("o") / PART).cast("int").alias("parts")), "node")
+    full = classes.select("id", "n", *BITS)
+    x = open_.filter("out").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).join(full, "id").alias("x")
+    y = open_.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(full, "id").alias("y")
+    both = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.g") != F.col("y.g")) & _near("x", "y", percent))
+    return both.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, percent: int = 80, trees: int = TREES, depth: int = DEPTH, pairs_at_most: int = PAIRS) -> DataFrame:
     """One row per row of ``df``: doc_id, n_shingles, component_id (smallest id of its group), xxhash64 of the text, kept."""
     docs = df.select(F.col(key).cast("long").alias("k"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("t"))
     live = docs.filter("k IS NOT NULL")
     kinds = "doc_id long, text_hash long, n long, d1 long, d2 long, " + ", ".join(f"{b} long" for b in BITS) + ", nodes array<long>"
     rows = _saved(live.mapInPandas(_set_rows(shingle, trees, depth), kinds), "sets")
     same = ["n", "d1", "d2"]
-    classes = _saved(rows.filter("n > 0").groupBy(*same).agg(F.min("doc_id").alias("id"), *(F.first(b).alias(b) for b in BITS), F.first("nodes").alias("nodes")), "classes")
+    classes = _saved(rows.filter("n > 0").groupBy(*same).agg(F.min("doc_id").alias("doc"), *(F.first(b).alias(b) for b in BITS), F.first("nodes").alias("nodes")), "classes")
+    # a class has its smallest id as its own; where several have the same, a hash
+    shared = classes.groupBy("doc").agg(F.count("*").alias("c")).filter("c > 1").select("doc", F.lit(True).alias("many"))
+    several = not shared.isEmpty()
+    if several:
+        classes = classes.join(shared, "doc", "left").withColumn("id", F.when(F.col("many"), F.xxhash64("doc", *same)).otherwise(F.col("doc")))
+    else:
+        classes = classes.withColumn("many", F.lit(None).cast("boolean")).withColumn("id", F.col("doc"))
     sketch = classes.select("id", "n", *BITS)
     member = classes.select(F.explode("nodes").alias("node"), "id")
     size = member.groupBy("node").agg(F.count("*").alias("c")).filter("c > 1")
@@ -133,34 +213,34 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     member = _saved(member.select("node", "id").join(degree, "id").withColumn("rank", F.struct("degree", (-F.col("id")).alias("last"))), "members")
     member = _saved(member.join(member.groupBy("node").agg(F.max("rank").alias("m")).select("node", (-F.col("m.last")).alias("first")), "node"), "members")
 
-    links = None
     group = None
     for step in ("first", "outside", "rest"):
         if step == "first":
-            pairs = member.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
+            pairs = member.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
         else:
             named = member.join(group, "id", "left").withColumn("g", F.coalesce("component", "id")).drop("component")
             named = named.join(group.select(F.col("id").alias("first"), F.col("component").alias("fg")), "first", "left").withColumn("fg", F.coalesce("fg", "first"))
-            out = named.filter("g <> fg")
+            named = named.withColumn("out", F.col("g") != F.col("fg"))
             if step == "outside":
-                second = out.groupBy("node").agg(F.max(F.struct("rank", "g")).alias("s"))
-                pairs = named.join(second, "node").filter("g <> s.g AND id <> first").select((-F.col("s.rank.last")).alias("a"), F.col("id").alias("b"))
+                second = named.filter("out").groupBy("node").agg(F.max(F.struct("rank", "g")).alias("s"))
+                pairs = named.join(second, "node").filter("g <> s.g AND id <> first").select((-F.col("s.rank.last")).alias("a"), F.col("id").alias("b")).distinct()
             else:
-                # a pair is taken up in the least node that it shares, not in each
-                full = classes.select("id", "n", *BITS, "nodes")
-                open_nodes = out.select("node").distinct()
-                x, y = out.join(full, "id").alias("x"), named.join(open_nodes, "node", "left_semi").join(full, "id").alias("y")
-                once = F.array_min(F.array_intersect("x.nodes", "y.nodes")) == F.col("x.node")
-                both = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.g") != F.col("y.g")) & _near("x", "y", percent) & once)
-                pairs = both.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        near = pairs.join(sketch.alias("p"), F.col("a") == F.col("p.id")).join(sketch.alias("q"), F.col("b") == F.col("q.id")).filter(_near("p", "q", percent))
-        near = _saved(near.select("a", "b", F.col("p.n").alias("na"), F.col("q.n").alias("nb")), "pairs")
-        found = _saved(_confirm(near, live, rows.select("doc_id", *same), classes.select("id", *same), shingle, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        group = components(links)
-
-    label = classes.select("id", *same).join(group, "id", "left").select(*same, F.coalesce("component", "id").alias("c"))
+                pairs = _rest(named.select("node", "id", "g", "out"), live, classes, shingle, percent, pairs_at_most, depth)
+        pairs = _saved(pairs, "pairs")
+        # a node's central document is in many pairs
+        counts = pairs.groupBy("a").agg(F.count("*").alias("n"))
+        ours = sketch.select(F.col("id").alias("a"), F.struct("n", *BITS).alias("p"))
+        theirs = sketch.select(F.col("id").alias("b"), F.struct("n", *BITS).alias("q"))
+        near = spread_join(pairs, ours, ["a"], counts).join(theirs, "b").filter(_near("p", "q", percent))
+        found = _saved(_confirm(_saved(near.select("a", "b"), "near"), live, classes, shingle, percent), "links")
+        group = components(found if group is None else found.unionByName(group.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+
+    label = classes.select("id", "doc", "many", *same).join(group, "id", "left").withColumn("c", F.coalesce("component", "id"))
+    if several:
+        # groups with a class that is named by a hash
+        least = label.join(label.filter("many").select("c").distinct(), "c", "left_semi").groupBy("c").agg(F.min("doc").alias("least"))
+        label = label.join(least, "c", "left").withColumn("c", F.coalesce("least", "c"))
+    label = label.select(*same, "c")
     done = rows.select("doc_id", "text_hash", *same).join(label, same, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"), "text_hash")
     lost = docs.filter("k IS NULL").select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.col("h").alias("text_hash"))
     return done.unionByName(lost).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -174,16 +254,15 @@ def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text",
     return one.unionByName(rows.filter("__k IS NULL")).select(*df.columns)
 
 
-def _confirm(near: DataFrame, live: DataFrame, rows: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Pairs of classes whose full sets have the similarity. A set is read from the text of its class's smallest id."""
+def _confirm(near: DataFrame, live: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Pairs ``near(a, b)`` of classes whose full sets have the similarity."""
     ids = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
-    sets = live.join(ids.withColumnRenamed("id", "k"), "k", "left_semi").mapInPandas(_full_sets(shingle), "id long, set array<long>")
-    # an id with several rows may stand for several sets; the size tells the class's own apart
-    sets = _saved(sets.withColumn("n", F.size("set").cast("long")), "full")
-    sets = sets.dropDuplicates(["id", "n"])
-    b = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("set").alias("sb"))
-    a = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("set").alias("sa"))
-    both = near.join(b, ["b", "nb"]).join(a, ["a", "na"]).withColumn("i", F.size(F.array_intersect("sa", "sb")))
+    wanted = classes.select("id", "doc", "n", "d1", "d2").join(ids, "id", "left_semi")
+    sets = _texts(live, wanted).mapInPandas(_full_sets(shingle), "doc long, n long, d1 long, d2 long, set array<long>")
+    sets = _saved(sets.join(wanted, ["doc", "n", "d1", "d2"]).select("id", "set").dropDuplicates(["id"]), "full")
+    counts = near.groupBy("a").agg(F.count("*").alias("n"))
+    both = spread_join(near, sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), ["a"], counts).join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
+    both = both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("i"))
     return both.filter(F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent).select("a", "b")
 
 
