@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as s
-from ..schema import HEADER, SECTIONS, TABLES, paths
+from ..schema import HEADER, SECTIONS, STORED_PATHS, STORED_TOTAL, TABLES, paths
 from ..sources.records import leaf, text_list
 from .identity import instance_numbers, pick_one, unique_slugs
 from .ordering import saved
@@ -37,6 +37,24 @@ def completeness(payload: Column) -> Column:
     return reduce(lambda a, b: a + b, filled)
 
 
+def stored_completeness(payload: Column) -> Column:
+    """Percentage by the stored procedure's rule: its leaves that are there, blank or not, of a constant total."""
+    there = reduce(lambda a, b: a + b, [leaf(payload, p).isNotNull().cast("int") for p in STORED_PATHS])
+    return F.round(there.cast("decimal(10,4)") * 100 / STORED_TOTAL, 2).cast("decimal(5,2)")
+
+
+def inventories(tables: dict[str, DataFrame], accepted: DataFrame, canonical_source: str) -> dict[str, DataFrame]:
+    """The record inventory (one row for each record that was kept) and the error inventory of a conversion."""
+    kept = tables["staging.raw_json_records"].select("record_key", "source_domain", "source_file", "source_url")
+    facts = accepted.select("source_domain", "source_file", "company_name", "mobile_name", "file_sha256", completeness(F.col("r")).alias("n"))
+    listed = tables["listings.market_listings"].select("source_url", "listing_id")
+    out = kept.join(facts, ["source_domain", "source_file"]).join(listed, "source_url", "left").withColumn("is_canonical", F.col("source_domain") == canonical_source)
+    pct = F.round(F.col("n").cast("decimal(10,4)") * 100 / len(paths()), 2).cast("decimal(5,2)")
+    records = out.select("record_key", "source_domain", "source_file", "source_url", "company_name", "mobile_name", F.when(~F.col("is_canonical"), F.col("listing_id")).alias("listing_id"), "is_canonical", pct.alias("completeness_pct"), "file_sha256")
+    errors = tables["metadata.etl_rejects"].select("source_domain", "source_file", "source_url", F.col("reject_reason").alias("error_code"), F.col("reject_detail").alias("error_message"))
+    return {"_manifest.records": records, "_manifest.errors": errors}
+
+
 def identify(records: DataFrame) -> DataFrame:
     """company and product slugs and ids; a slug shared by several identities is told apart by a hash."""
     r = records.withColumn("company_identity", s.fold_space(F.col("company_name")))

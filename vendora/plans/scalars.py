@@ -243,3 +243,38 @@ def binary_indicators(spark, d):
     whole = p.agg(s.binary_shares(F.col("number")).alias("n"), s.binary_shares(F.col("word")).alias("w"))
     p = p.crossJoin(F.broadcast(whole))  # one row
     return p.select("k", s.binary_indicator(F.col("number"), F.col("n")).alias("by_number"), s.binary_indicator(F.col("word"), F.col("w")).alias("by_word"))
+
+
+def _records(spark, d):
+    """Part rows as a filled record with gaps and the raw record that it came from."""
+    n = F.col("p_size")
+    raw = F.struct(
+        F.concat(F.lit("SAMSUNG "), F.col("p_name")).alias("MobileName"), F.struct(F.when(n % 2 == 0, "2023, March 09").alias("Announced"), F.when(n % 2 == 1, "Available. Released 2021, June").alias("Status")).alias("Launch"),
+        F.struct((n + 100).cast("string").alias("x"), F.concat((n + 100).cast("string"), F.lit(" x 60 x 9 mm")).alias("Dimensions"), F.lit("7 oz").alias("Weight"), F.lit("Nano-SIM + eSIM").alias("SIM"), F.lit("IP69k").alias("Protection")).alias("Body"),
+        F.struct(F.lit("IPS LCD, 90Hz").alias("Type"), F.lit("1080 x 2160 pixels").alias("Resolution")).alias("Display"), F.struct(F.array(F.lit("4 GB 64/128 GB")).alias("Types")).alias("Memory"),
+        F.struct(F.lit("USB Type-C 2.0").alias("USB"), F.lit("Yes, NFC").alias("NFC")).alias("Features"), F.struct(F.concat(n.cast("string"), F.lit(",000 mAh")).alias("Capacity")).alias("Battery"))
+    record = F.struct(
+        F.when(n % 3 == 0, "one plus").when(n % 3 == 1, "unknown").alias("CompanyName"), F.when(n % 3 == 0, F.concat(F.lit("OnePlus "), F.col("p_name"))).alias("MobileName"),
+        F.struct(F.when(n % 4 == 0, "Plasma").when(n % 4 == 1, "OLED").alias("Screen"), F.when(n % 5 == 0, "144").alias("Refresh-Rate")).alias("Display"), F.struct(F.when(n % 7 == 0, "[]").otherwise("n/a").alias("Types")).alias("Memory"))
+    return table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.to_json(record).alias("record"), F.to_json(raw).alias("raw"))
+
+
+@query("""SELECT p_partkey AS k, CASE WHEN p_size % 3 = 0 THEN 'OnePlus' ELSE 'Samsung' END AS company, p_name AS model, CASE WHEN p_size % 2 = 0 THEN '2023-MAR-9' ELSE '2021-JUN-' END AS released, CASE WHEN p_size % 2 = 0 THEN '2023, March 09' ELSE 'Available. Released 2021, June' END AS status,
+  (100 + p_size)::DOUBLE AS length_mm, 198.447::DOUBLE AS grams, 'IP69K' AS sealed, CASE p_size % 4 WHEN 0 THEN 'LCD' WHEN 1 THEN 'OLED' ELSE 'LCD' END AS screen, CASE WHEN p_size % 5 = 0 THEN 144 ELSE 90 END::DOUBLE AS hz, '1:2' AS ratio, '[[64,4],[128,4]]' AS memory, 1 AS usb_c, 0 AS micro, 1 AS nfc, 1 AS network_2g, (p_size * 1000)::DOUBLE AS mah, '[]' AS colors,
+  CAST(round((CASE WHEN p_size % 3 = 2 THEN 1 ELSE 2 END + 17) * 100.0 / 28, 2) AS DOUBLE) - CAST(round(17 * 100.0 / 28, 2) AS DOUBLE) > 3 AS stored FROM part""")
+def finalised_records(spark, d):
+    """Finished records: own values, then what the raw texts say, then defaults."""
+    from ..operators.catalog import stored_completeness
+    from ..operators.finalise import finalise, raw_schema
+    from ..schema import paths
+    from ..sources.records import payload_schema
+
+    r = _records(spark, d).select("k", F.from_json("record", payload_schema()).alias("own"), F.from_json("raw", raw_schema()).alias("raw"))
+    r = r.select("k", "own", finalise(F.col("own"), F.col("raw"), F.lit("https://x.example/1"), paths()).alias("r"))
+    at = lambda *p: F.col("r").getField(p[0]) if len(p) == 1 else at(*p[:-1]).getField(p[-1])
+    own = F.coalesce(stored_completeness(F.col("own")), F.lit(0))
+    return r.select(
+        "k", at("CompanyName").alias("company"), at("MobileName").alias("model"), F.concat(at("Year"), F.lit("-"), at("Month"), F.lit("-"), F.coalesce(at("Day"), F.lit(""))).alias("released"), at("Status").alias("status"), at("Body", "Dimensions", "DimensionA").cast("double").alias("length_mm"),
+        at("Body", "Weight").cast("double").alias("grams"), at("Body", "Resistance-Standard").alias("sealed"), at("Display", "Screen").alias("screen"), at("Display", "Refresh-Rate").cast("double").alias("hz"), at("Display", "Ratio").alias("ratio"), at("Memory", "Types").alias("memory"),
+        at("Features", "USB-C").cast("int").alias("usb_c"), at("Features", "Micro-USB").cast("int").alias("micro"), at("Features", "NFC").cast("int").alias("nfc"), at("Network", "2G").cast("int").alias("network_2g"), at("Battery", "Capacity").cast("double").alias("mah"), at("Colors").alias("colors"), (own > 3).alias("stored"),
+    )

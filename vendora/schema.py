@@ -46,6 +46,12 @@ HEADER = {
     "has_loudspeaker": (("Sound", "Loudspeaker"), "bool", True), "has_3_5mm_jack": (("Sound", "3.5mm jack"), "bool", True),
 }
 RELEASE = {"release_year": (("Year",), "int", 2014), "release_month": (("Month",), "text", "DEC"), "release_day": (("Day",), "int", None)}
+#: The leaves that the stored procedure's completeness counts, and the number it divides by.
+STORED_PATHS = (
+    ("CompanyName",), ("MobileName",), ("Announced",), ("Status",), ("Body", "Weight"), ("Body", "Dimensions", "DimensionA"), ("Display", "Screen"), ("Display", "Refresh-Rate"), ("Display", "ResolutionA"), ("Platform", "OS"),
+    ("Platform", "Chipset"), ("Platform", "CPU"), ("Platform", "GPU"), ("Memory", "Card slot"), ("Memory", "Types"), ("Main Camera", "Specifications"), ("Selfie Camera", "Specifications"), ("Battery", "Capacity"), ("Battery", "Charging"),
+)
+STORED_TOTAL = 28
 IDENTITY_PATHS = (("CompanyName",), ("MobileName",), ("URL",), ("Price",))
 
 

@@ -32,6 +32,20 @@ def write_tables(tables: dict[str, DataFrame], root: str, run: str, file_format:
     return spark.read.json(f"{root}/run={run}/_manifest")
 
 
+def summary(records: DataFrame, errors: DataFrame, manifest: DataFrame) -> DataFrame:
+    """One row: records discovered, written, rejected, of the canonical source and listed, with rows by table and the import order."""
+    r = records.agg(F.count("*").alias("records_written"), F.count_if("is_canonical").alias("canonical_records"), F.count_if(~F.col("is_canonical")).alias("marketplace_listings"))
+    t = manifest.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("table_name", "rows")))).alias("rows_by_table"), F.transform(F.array_sort(F.collect_list(F.struct("position", "table_name"))), lambda x: x["table_name"]).alias("import_order"))  # one row for each table
+    out = r.crossJoin(errors.agg(F.count("*").alias("records_rejected"))).crossJoin(t)
+    return out.withColumn("records_discovered", F.col("records_written") + F.col("records_rejected"))
+
+
+def run_files(spark: SparkSession, root: str, run: str) -> DataFrame:
+    """path and length of every file of a run; their contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/run={run}")
+    return found.select(F.regexp_extract("path", r"/run=[^/]*/(.*)$", 1).alias("path"), "length")
+
+
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table of the current run."""
     run = spark.read.json(f"{root}/current").first()["run"]
