@@ -348,3 +348,101 @@ def test_near_duplicates_of_one_id(spark):
     got = sorted((r["doc_id"], r["component_id"], r["n_shingles"]) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == [(1, 1, 37), (1, 1, 37), (1, 1, 37), (2, 1, 37), (3, 1, 37), (4, 4, 37)]
     assert neardup.near_duplicates(docs(spark, ["x"]).limit(0)).count() == 0
+
+
+BIG = 2**53 + 1  # a double cannot hold it
+PROSE = " ".join(f"wörd{i} of the" for i in range(120)) + "\nReleased under the MIT License."
+LONG = " ".join(f"x{i * 7919 % 999983}" for i in range(190_000))  # over 1 MiB
+ROWS = [(BIG, PROSE), (None, PROSE), (0, None), (-5, ""), (7, PROSE), (7, PROSE), (9, LONG)]
+
+
+def _same_ids(rows, key="doc_id"):
+    assert sorted(map(str, (r[key] for r in rows))) == sorted(str(k) for k, _ in ROWS)
+
+
+def _each(name, spark, d, bench):
+    """Rows of an operator over odd rows, after what must hold for it."""
+    by = lambda rows, key="doc_id": {r[key]: r for r in rows}
+    if name == "warc":
+        pages = d.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.col("text").alias("html"), "n_words", "start")
+        path = warc.shared_dir(spark, "edge")
+        warc.write_archive(pages, path)
+        rows = warc.parse_records(warc.read_records(spark, path)).collect()
+        _same_ids(rows, "page_id")
+        assert by(rows, "page_id")[9]["payload_bytes"] == len(LONG) and sum(r["record_type"] == "revisit" for r in rows) == 3
+    elif name == "decontam":
+        assert {r["k"] for r in decontam.contaminated(d, bench).collect()} == {BIG, None, 7}
+        assert {r["doc_id"] for r in decontam.decontaminate(d, bench).collect()} == {0, -5, 9}
+    elif name == "tokencount":
+        rows = tokencount.count_tokens(d, tokencount.default_file("byte_bpe_50k.json")).collect()
+        _same_ids(rows)
+        assert by(rows)[BIG]["n_tokens"] == by(rows)[7]["n_tokens"] > 300 and by(rows)[0]["n_tokens"] == 0
+    elif name == "suffix":
+        rows = suffix.remove_repeats(d).collect()
+        _same_ids(rows)
+        n = len(PROSE.encode())
+        assert {r["doc_id"]: r["__cut"]["n_removed"] for r in rows} == {BIG: n, None: n, 7: n, 0: 0, -5: 0, 9: 0}
+    elif name == "packing":
+        rows = packing.pack(d, tokencount.default_file("word_bpe_49k.json")).collect()
+        assert {r["doc_id"] for r in rows} == {k for k, _ in ROWS}
+        assert sum(r["length"] for r in rows if r["doc_id"] == 7) == 2 * by(rows)[BIG]["doc_tokens"] and by(rows)[0]["doc_tokens"] == 1
+    elif name == "neardup":
+        rows = neardup.near_duplicates(d).collect()
+        _same_ids(rows)
+        assert {r["doc_id"]: r["component_id"] for r in rows} == {BIG: 7, 7: 7, None: None, 0: 0, -5: -5, 9: 9}
+    elif name == "langid":
+        rows = langid.identify(d, langid.profiles(d.withColumn("lang", F.lit("xx")))).collect()
+        _same_ids(rows)
+        assert by(rows)[0]["__lang"]["lang_pred"] == "und" and by(rows)[BIG]["__lang"] == by(rows)[7]["__lang"]
+        tied = {k: np.ones(langid.DIMENSIONS) for k in "ba"}
+        assert {r["__lang"]["lang_pred"] for r in langid.identify(d.filter("doc_id = 7"), tied).collect()} == {"a"}
+    elif name == "lm":
+        rows = lm.score(d.withColumn("held_out", F.lit(False)), lm.train(d.filter("doc_id IS NOT NULL"))).collect()
+        _same_ids(rows)
+        assert math.isclose(by(rows)[BIG]["score"], by(rows)[7]["score"]) and by(rows)[9]["n_tokens"] == 190_001
+        assert lm.score(d.limit(0).withColumn("held_out", F.lit(False)), lm.train(d.limit(0))).count() == 0
+    elif name == "quality":
+        rows = quality.judge(d).collect()
+        _same_ids(rows)
+        assert by(rows)[9]["__quality"]["n_words"] == 190_000 and by(rows)[BIG]["n_words"] == "own"
+    else:
+        rows = licenses.license_scan(d).collect()
+        assert sorted(str(r["k"]) for r in rows) == sorted(map(str, [BIG, None, 7, 7])) and licenses.license_scan(d.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["warc", "decontam", "tokencount", "suffix", "packing", "neardup", "langid", "lm", "quality", "licenses"])
+def test_odd_rows(spark, name):
+    # one partition, so that a null id shares a batch with one that a double cannot hold
+    d = spark.createDataFrame([(*r, "own", 7) for r in ROWS], ODD).coalesce(1)
+    _each(name, spark, d, spark.createDataFrame([(1, PROSE)], "item_id long, text string"))
+
+
+def test_license_notices_in_full(spark):
+    by = {(name, wording[:20]): wording for name, wording, _ in licenses.TEMPLATES}
+    gpl = next(w for n, w, _ in licenses.TEMPLATES if n == "GPL-3.0" and w.startswith("This program is free"))
+    lgpl = next(w for n, w, _ in licenses.TEMPLATES if n == "LGPL-2.1")
+    mpl = next(w for n, w, _ in licenses.TEMPLATES if n == "MPL-2.0" and "obtain" in w)
+    texts = [gpl, f"Some tool.\n\n{gpl}\n\nParts of it: {lgpl}\n\nMore.", mpl, "\n".join(gpl.split(", "))]
+    got = licenses.license_scan(docs(spark, texts)).collect()
+    assert len(by) > 30 and sorted((r["k"], r["license"]) for r in got) == [(0, "GPL-3.0"), (1, "GPL-3.0"), (1, "LGPL-2.1"), (2, "MPL-2.0"), (3, "GPL-3.0")]
+
+
+def test_packer_cuts_little():
+    rng = np.random.default_rng(1)
+    packer, sequences = packing.Packer(4096), []
+    sizes = rng.integers(1, 9000, 3000).tolist()
+    for i, n in enumerate(sizes):
+        sequences += list(packer.add(packing.Piece(i, False, 0, b"\1\0\0\0" * n, n)))
+    assert all(sum(p.size for p in q) == 4096 for q in sequences)
+    sequences += list(packer.close())
+    pieces = [p for q in sequences for p in q]
+    assert sum(p.size for p in pieces) == sum(sizes) and len(sequences) - sum(sizes) // 4096 <= 12
+    assert len(pieces) - sum(n // 4096 for n in sizes) < 2 * len(sizes)  # fewer than two pieces a document besides its full sequences
+
+
+def test_draws_of_strengths():
+    rng = np.random.default_rng(2)
+    # many tables for the customers there are ask for a large strength, few for a small one
+    many = np.mean([lm.draw_strength(5.0, 0.5, 1000, 400, rng) for _ in range(50)])
+    few = np.mean([lm.draw_strength(5.0, 0.5, 1000, 3, rng) for _ in range(50)])
+    assert many > 2 * few > 0 and lm.draw_strength(1.0, 0.5, 1, 1, rng) == 1.0

@@ -71,6 +71,10 @@ class Encoder:
         ids = [t.id for t in self.model.tokenize(letters)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def forget(self) -> None:
+        self.merged.clear()
+        self.chunks.clear()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.chunks) > CACHE_ENTRIES:
             self.chunks.clear()
@@ -171,10 +175,11 @@ class Packer:
         self.open, self.gaps = {}, []
 
 
-def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, with_ids: bool = False, keep: bool = True) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, ``ids`` (little-endian bytes).
 
-    The rows are written in the shared folder, so that each sequence is packed once.
+    The rows are written in the shared folder, so that each sequence is packed once. ``keep`` leaves what a worker has learned about
+    strings to its next task; without it workers give that memory back, which other stages of a long job need.
     """
     schema = "doc_id long, no boolean, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + (", ids binary" if with_ids else "")
     names = [x.split()[0] for x in schema.split(", ")]
@@ -204,6 +209,8 @@ def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capa
                 yield pd.DataFrame(rows, columns=names)
                 rows.clear()
         put(packer.close())
+        if not keep:
+            _encoders[path].forget()
         yield pd.DataFrame(rows, columns=names)
 
     ident = F.col(key).cast("long")
