@@ -9,21 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendora.llm import decontam, neardup, packing, quality, suffix, tokencount, warc
+from vendora.llm import decontam, neardup, packing, quality, suffix, tokencount
+from vendora.operators.ordering import shared_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that break no rule."""
+    """Documents that break no rule; null, empty and wordless texts break one. Repeated rows and null ids are judged row by row."""
     return quality.quality_filter(docs)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest id."""
+    """One document of each near-duplicate group: the one with the smallest id. Of repeated rows one stays; rows without an id all stay."""
     return neardup.drop_near_duplicates(docs, shingle=5, percent=80)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the strings of 200 bytes that stand elsewhere too; those of which nothing is left go."""
+    """Documents without the strings of 200 bytes that stand elsewhere too; those of which nothing is left go. Null and short texts stay as they are."""
     cut = suffix.remove_repeats(docs)
     left = cut.filter("__cut.n_removed = 0 OR __cut.kept_text <> ''")
     changed = F.col("__cut.n_removed") > 0
@@ -32,13 +33,13 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
+    """Documents that hold no item of the benchmark; null and short texts hold none, and an empty benchmark leaves all."""
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def harmonic_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' tokens as pieces of sequences of 4096."""
-    return packing.pack(docs, tokencount.default_file("word_bpe_49k.json"))
+    """The documents' tokens as pieces of sequences of 4096; a null text is its end id alone."""
+    return packing.pack(docs, tokencount.default_file("word_bpe_49k.json"), keep=False)
 
 
 STAGES = [
@@ -56,7 +57,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = warc.shared_dir(spark, f"stage-{name}")
+        path = shared_dir(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
