@@ -182,10 +182,12 @@ def _rest(named: DataFrame, live: DataFrame, classes: DataFrame, shingle: int, p
     named = named if done is None else done.unionByName(named)
     counts = named.groupBy("node").agg(F.count_if("out").alias("o")).filter("o > 0")
     open_ = named.join(counts.select("node", F.ceil(F.col("o") / PART).cast("int").alias("parts")), "node")
-    full = classes.select("id", "n", *BITS)
+    # a pair is taken up in the least node that it shares, not in each
+    full = classes.select("id", "n", *BITS).join(open_.groupBy("id").agg(F.collect_set("node").alias("nodes")), "id")
+    once = F.array_min(F.array_intersect("x.nodes", "y.nodes")) == F.col("x.node")
     x = open_.filter("out").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).join(full, "id").alias("x")
     y = open_.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(full, "id").alias("y")
-    both = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.g") != F.col("y.g")) & _near("x", "y", percent))
+    both = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.g") != F.col("y.g")) & _near("x", "y", percent) & once)
     return both.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
