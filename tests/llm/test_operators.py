@@ -238,6 +238,20 @@ def test_language_id(spark):
     assert spelled[0] == [" ab", "ab ", "b c", " c "] and spelled[1] == [] and spelled[2] == [" x "]
 
 
+def test_language_id_of_a_very_varied_text():
+    """Bundling in blocks, with more sequences than are kept, is the plain sum over all letters' vectors."""
+    space, n_codes = langid.Space(), langid.KEPT_ROWS + 3 * langid.BLOCK
+    letters = np.array([x for x in range(0x4E00, 0x4E00 + 400)], np.int64)
+    every = np.unique(letters[:, None] << 42 | letters[None, :] << 21 | 0x61)[:n_codes]
+    n = np.arange(len(every)) % 5 + 1
+    plain = np.zeros(langid.DIMENSIONS, np.int64)
+    own = {c: langid.letter_vector(c).astype(np.int64) for c in [*letters.tolist(), 0x61]}
+    for c, m in zip(every.tolist(), n.tolist(), strict=True):
+        plain += m * np.roll(own[c >> 42], 2) * np.roll(own[c >> 21 & 0x1FFFFF], 1) * own[c & 0x1FFFFF]
+    assert len(every) == n_codes and (space.bundle(every, n) == plain).all()
+    assert len(space.codes) <= langid.KEPT_ROWS
+
+
 def test_language_model(spark, sample):
     rows = [(*r, zlib.crc32(str(r[0]).encode()) % 7 == 2) for r in sample] + [(None, "a b", False), (10**9, None, True), (10**9, None, True)]
     d = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")

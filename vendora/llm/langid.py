@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 DIMENSIONS = 1024
 MAX_LANGUAGES = 4096
 KEPT_ROWS = 30_000
+#: Sequences whose vectors are widened at once, so that a text of a million distinct ones takes no more memory than others.
+BLOCK = 8_192
 SLICE_CHARS = 500_000
 _letter = np.array([chr(c).isalpha() for c in range(1 << 16)])
 _lower = np.array([ord(x) if len(x := chr(c).lower()) == 1 else c for c in range(1 << 16)], np.uint32)
@@ -63,6 +65,13 @@ class Space:
             self.codes, self.rows = every[order], np.concatenate((self.rows, bound))[order]
         return self.rows[np.searchsorted(self.codes, codes)]
 
+    def bundle(self, codes: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The sum of the vectors of some distinct, ascending codes, each ``n`` times."""
+        out = np.zeros(DIMENSIONS)
+        for a in range(0, len(codes), BLOCK):
+            out += n[a : a + BLOCK].astype(np.float64) @ self.vectors(codes[a : a + BLOCK])
+        return out
+
 
 def grams(texts: list[str]) -> list[np.ndarray]:
     """The codes of each text's three-letter sequences, in order; empty for a text without a letter."""
@@ -120,7 +129,7 @@ def _learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for name, parts in of.items():
                 codes, n = np.unique(np.concatenate(parts), return_counts=True)
                 if len(codes):
-                    sums[name] = sums.get(name, 0) + np.rint(n.astype(np.float64) @ space.vectors(codes)).astype(np.int64)
+                    sums[name] = sums.get(name, 0) + np.rint(space.bundle(codes, n)).astype(np.int64)
     yield pd.DataFrame({"lang": list(sums), "vector": list(sums.values())})
 
 
@@ -149,13 +158,13 @@ def predictor(spark, learned: dict[str, np.ndarray]):
             for _, run in _runs(texts.fillna("").tolist()):
                 parts = [np.unique(g, return_counts=True) for g in grams(run)]
                 every = np.unique(np.concatenate([c for c, _ in parts]))
-                rows = space.vectors(every) if len(every) else None
+                rows = space.vectors(every) if 0 < len(every) <= KEPT_ROWS else None
                 for codes, n in parts:
                     if not len(codes) or not names:
                         pred.append("und")
                         score.append(0.0)
                         continue
-                    v = n.astype(np.float32) @ rows[np.searchsorted(every, codes)].astype(np.float32)
+                    v = space.bundle(codes, n).astype(np.float32) if rows is None else n.astype(np.float32) @ rows[np.searchsorted(every, codes)].astype(np.float32)
                     cos = table @ v / max(float(np.linalg.norm(v)), 1e-30)
                     best = int(np.argmax(cos))
                     pred.append(names[best])
