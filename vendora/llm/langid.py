@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 DIMENSIONS = 1024
 MAX_LANGUAGES = 4096
 KEPT_ROWS = 30_000
-#: Sequences whose vectors are widened at once, so that a text of a million distinct ones takes no more memory than others.
+#: Sequences whose vectors are widened at once: those of a text of a million distinct ones take no more memory than others; its codes still do.
 BLOCK = 8_192
 SLICE_CHARS = 500_000
 _letter = np.array([chr(c).isalpha() for c in range(1 << 16)])
