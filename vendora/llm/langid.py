@@ -130,7 +130,8 @@ def _learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 codes, n = np.unique(np.concatenate(parts), return_counts=True)
                 if len(codes):
                     sums[name] = sums.get(name, 0) + np.rint(space.bundle(codes, n)).astype(np.int64)
-    yield pd.DataFrame({"lang": list(sums), "vector": list(sums.values())})
+    if sums:  # a frame of empty lists has no element type
+        yield pd.DataFrame({"lang": list(sums), "vector": list(sums.values())})
 
 
 def profiles(df: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
