@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontam, langid, licenses, lm, neardup, packing, quality, suffix, tokencount, warc
+from . import audit, decontam, langid, licenses, linededup, lm, neardup, packing, periodic, quality, suffix, tokencount, warc
 
 QUERIES = {
     "op1_warc": warc.query,
@@ -17,11 +17,16 @@ QUERIES = {
     "op8_lm_scoring": lm.query,
     "op9_quality_rules": quality.query,
     "op10_license_scan": licenses.query,
+    "op11_periodic_runs": periodic.query,
+    "op12_filter_audit": audit.query,
+    "op13_line_dedup": linededup.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op1_warc": warc.SQL,
     "op9_quality_rules": quality.SQL,
+    "op12_filter_audit": audit.SQL,
+    "op13_line_dedup": linededup.SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
