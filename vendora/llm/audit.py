@@ -28,7 +28,6 @@ E_BIT = 1 << FILTERS.index("E")
 _UPPER, _SYMBOLS = bytes(range(65, 91)), b"#$%&*|"
 
 
-@F.pandas_udf("int")
 def _failures(texts: pd.Series) -> pd.Series:
     """Bits of A to D for UTF-8 texts."""
 
@@ -59,7 +58,7 @@ def combinations(docs: DataFrame, labels: DataFrame, part: Column) -> DataFrame:
     """part, mask, n, good, toxic: the rows of ``docs(doc_id, text)`` by the set of filters they fail, bit 0 for A."""
     t = F.coalesce("text", F.lit(""))
     hashed = docs.select(F.col("doc_id").alias("id"), F.xxhash64(t).alias("h"), t.alias("t"))
-    rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64(t).alias("h"), part.alias("part"), _failures(t.cast("binary")).alias("bits"))
+    rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64(t).alias("h"), part.alias("part"), F.pandas_udf(_failures, "int")(t.cast("binary")).alias("bits"))
     rows = saved(rows.groupBy("id", "h", "part", "bits").agg(F.count("*").alias("n")), "failures")
     failed = rows.filter("bits <> 0").select("id", "h", "bits").unionByName(smaller_copies(hashed).select("id", "h", F.lit(E_BIT).alias("bits")))
     failed = failed.groupBy("id", "h").agg(F.bit_or("bits").alias("mask"))
