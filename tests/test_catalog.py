@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vendora import schema
-from vendora.operators import catalog, validation
+from vendora.operators import catalog, market, validation
 from vendora.sources import publish, records
 
 
@@ -113,3 +113,15 @@ def test_views(spark, tables):
     assert spark.sql("SELECT count_if(capacity_mah_differs) AS n, count(*) AS c FROM v_spec_discrepancies").first() == (0, 4)
     assert spark.table("v_site_summary").first()["total_listings"] == 5
     assert spark.sql("SELECT slugify('Redmi_Note 12'), slugify('***')").first() == ("redminote-12", "unknown")
+    rows = lambda df: sorted(map(str, df.collect()))
+    name = wide.orderBy(F.desc("product_id")).first()["mobile_name"]
+    page, _ = market.registry_page(wide, wide.columns, {}, (), name, views.REGISTRY["products"][1], (F.desc("product_id"),), 1, 0)
+    found = spark.sql("SELECT * EXCEPT (position) FROM registry_products(:q, 1, 0)", args={"q": f"({name})"})
+    assert rows(found) == rows(page) and found.count() == 1
+    assert [r["position"] for r in spark.sql("SELECT * FROM registry_listings(wanted => 1000, skip => 3) ORDER BY position").collect()] == [4, 5]
+    assert spark.sql("SELECT * FROM registry_listings(skip => -5, wanted => 0)").count() == 1 and spark.sql("SELECT * FROM registry_listings('no such name')").count() == 0
+    v = spark.table("v_price_comparison")
+    c = v.first()["company_name"]
+    assert rows(spark.sql("SELECT * FROM price_comparison_of(:c, 'PKR')", args={"c": c})) == rows(v.filter((F.col("company_name") == c) & (F.col("currency_code") == "PKR"))) != []
+    assert rows(spark.sql("SELECT * FROM price_comparison_of()")) == rows(v)
+    assert spark.sql("SELECT * FROM discrepancies_of()").count() == spark.table("v_spec_discrepancies").filter("capacity_mah_differs OR screen_technology_differs OR refresh_rate_hz_differs OR storage_ram_variants_differs").count()

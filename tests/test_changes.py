@@ -1,11 +1,10 @@
-"""Idempotence of merges, streams against batches, small rules."""
+"""Idempotence of merges, small rules."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from vendora.operators import changes, identity, market, ordering, pages, retention
 from vendora.operators import urls as url_ops
-from vendora.streaming import incremental
 
 
 def test_upsert_twice_is_once(spark):
@@ -16,29 +15,6 @@ def test_upsert_twice_is_once(spark):
     assert sorted(once.collect()) == sorted(twice.collect()) == [(1, "a"), (2, "d"), (3, "e")]
 
 
-def test_stream_equals_batch(spark, tmp_path):
-    rows = spark.range(300).select((F.col("id") % 7).alias("k"), F.timestamp_seconds(F.col("id") % 50).alias("ts"), F.col("id").alias("event_id"), (F.col("id") * 2).alias("v"))
-    rows.repartition(6).write.parquet(str(tmp_path / "in"))
-    schema = rows.schema
-    incremental.drain(spark, str(tmp_path / "in"), schema, str(tmp_path / "ck"), incremental.merge_latest(str(tmp_path / "state"), ["k"], "ts", "event_id", ["v"]), files_per_batch=2)
-    last = max(int(p.name[2:]) for p in (tmp_path / "state").glob("v=*"))
-    got = {r["k"]: r["v"] for r in spark.read.parquet(str(tmp_path / f"state/v={last}")).collect()}
-    want = {r["k"]: r["v"] for r in incremental.latest(rows, ["k"], "ts", "event_id", ["v"]).collect()}
-    assert got == want and last == 2
-    # nothing is left to do
-    seen = []
-    incremental.drain(spark, str(tmp_path / "in"), schema, str(tmp_path / "ck"), lambda b, i: seen.append(i))
-    assert not seen
-
-
-def test_append_once(spark, tmp_path):
-    step = incremental.append_once(str(tmp_path / "h"), ["u", "a"])
-    for i, rows in enumerate(([(1, 5), (1, 5), (2, 6)], [(2, 6), (3, 7)])):
-        step(spark.createDataFrame(rows, "u int, a int"), i)
-        step(spark.createDataFrame(rows, "u int, a int"), i)  # a batch that is run again
-    assert sorted((r["u"], r["a"]) for r in spark.read.parquet(str(tmp_path / "h")).collect()) == [(1, 5), (2, 6), (3, 7)]
-
-
 def test_positions_and_ranges(spark):
     df = spark.range(500).select((F.col("id") * 37 % 500).alias("x"))
     assert [r["position"] for r in ordering.positions(df, ["x"]).orderBy("x").collect()] == list(range(1, 501))

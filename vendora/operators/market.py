@@ -6,10 +6,15 @@ Spark's own size-based choice of join.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..sources import pointer
+from .ordering import positions
 
 
 def price_comparison(offers: DataFrame, keys: list[str], source: str = "source", amount: str = "amount") -> DataFrame:
@@ -85,7 +90,7 @@ def adoption(df: DataFrame, flag: Column) -> DataFrame:
 def registry_page(df: DataFrame, columns: list[str], filters: dict[str, object], allowed: tuple[str, ...], search: str = "", search_columns: tuple[str, ...] = (), order: tuple[Column, ...] = (), limit: int = 25, offset: int = 0) -> tuple[DataFrame, DataFrame]:
     """(page, one-row total) of an allow-listed view.
 
-    Filters of None, '' or 'all' are ignored and values cut to 80 characters; the search text loses ``(),``, is cut to 120
+    Filters of None, '' or 'all' are ignored and values cut to 80 characters; in the search text ``(),`` are blanks, it is cut to 120
     characters and matches anywhere in any search column without case, ``*`` standing for anything. The limit is held to 1..100.
     """
     for k, v in filters.items():
@@ -93,8 +98,34 @@ def registry_page(df: DataFrame, columns: list[str], filters: dict[str, object],
             raise ValueError(f"not a filter: {k}")
         if v is not None and str(v) not in ("", "all"):
             df = df.filter(F.col(k).cast("string") == str(v)[:80])
-    text = " ".join("".join(c for c in search if c not in "(),").split())[:120]
+    text = " ".join("".join(" " if c in "()," else c for c in search).split())[:120]
     if text and search_columns:
         df = df.filter(reduce(lambda a, b: a | b, [F.col(c).ilike(f"%{text.replace('*', '%')}%") for c in search_columns]))
     page = df.orderBy(*order).offset(max(offset, 0)).limit(min(max(limit, 1), 100)).select(*columns)
     return page, df.agg(F.count("*").alias("total"))
+
+
+def write_pages(df: DataFrame, order: tuple[Column, ...], root: str, rows: int = 100_000) -> int:
+    """Write ``df`` in its order, which must be total, in blocks of ``rows`` rows, and point readers to it; the number of rows.
+
+    Nothing is sorted when a page is read, and a page of at most 100 rows lies in one block or two, however deep it is.
+    """
+    numbered = positions(df, [*order]).withColumn("block", F.floor((F.col("position") - 1) / rows))
+    run = f"run={uuid.uuid4().hex}"
+    numbered.hint("rebalance", "block").write.partitionBy("block").parquet(f"{root}/{run}")
+    schema = numbered.drop("block").schema
+    total = df.sparkSession.read.schema(schema).parquet(f"{root}/{run}").count()
+    pointer.put(df.sparkSession, root, {"run": run, "rows": rows, "total": total, "schema": schema.jsonValue()})
+    return total
+
+
+def read_page(spark: SparkSession, root: str, limit: int = 25, offset: int = 0) -> DataFrame:
+    """Rows offset + 1 to offset + limit, with their ``position``, in order; the limit is held to 1..100. Only the blocks that hold them are opened."""
+    at = pointer.get(spark, root)
+    limit, offset = min(max(limit, 1), 100), max(offset, 0)
+    last = min(offset + limit, at["total"])
+    schema = StructType.fromJson(at["schema"])
+    if offset >= last:
+        return spark.createDataFrame([], schema)
+    page = spark.read.schema(schema).parquet(*(f"{root}/{at['run']}/block={b}" for b in range(offset // at["rows"], (last - 1) // at["rows"] + 1)))
+    return page.filter(F.col("position").between(offset + 1, last)).orderBy("position")

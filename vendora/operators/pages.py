@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clean_text, let, number_value
+from .nested import embedded_product
 
 #: Named character references that pages use in text.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
@@ -101,11 +102,9 @@ def pivot_specs(rows: DataFrame, key: str, labels: list[str], label: str = "cano
 
 
 def json_ld(html: Column) -> Column:
-    """struct(name, description, price) of the first embedded product object."""
-    blocks = F.regexp_extract_all(html, F.lit(r"(?is)<script[^>]*ld\+json[^>]*>(.*?)</script>"), F.lit(1))
-    item = F.get(F.filter(blocks, lambda b: F.get_json_object(b, "$.@type") == "Product"), F.lit(0))
-    price = F.coalesce(F.get_json_object(item, "$.offers.price"), F.get_json_object(item, "$.offers[0].price"), F.get_json_object(item, "$.offers.lowPrice"))
-    return F.when(item.isNotNull(), F.struct(F.get_json_object(item, "$.name").alias("name"), F.get_json_object(item, "$.description").alias("description"), number_value(price, None).alias("price")))
+    """struct(name, description, price) of the embedded product, wherever it stands in the page's embedded data."""
+    item = embedded_product(html)
+    return F.when(item["found"], F.struct(item["name"].alias("name"), item["description"].alias("description"), number_value(item["price"], None).alias("price")))
 
 
 def page_price(html: Column) -> Column:

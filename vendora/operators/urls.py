@@ -90,6 +90,22 @@ def keyword_branches(df: DataFrame, url: str, words: list[str]) -> DataFrame:
     return top.select("node", "keyword", F.coalesce("url", F.concat(F.lit("https://"), F.col("node"))).alias("url"), "urls")
 
 
+def nested_tree(nodes: DataFrame) -> DataFrame:
+    """site, tree: the nodes of :func:`trie` as one JSON tree for each site, children by name; of a node name, url if one ends there, children if there are any."""
+    name, url = F.regexp_extract("node", r"([^/]*)$", 1), F.col("url")
+    field = lambda k, v: F.when(v.isNotNull(), F.concat(F.lit(f'"{k}":'), v))
+    quoted = lambda c: F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
+    below = None
+    for depth in range(nodes.agg(F.max("depth")).first()[0] or 0, -1, -1):  # the depth of an address
+        here = nodes.filter(F.col("depth") == depth)
+        here = here.join(below, "node", "left") if below is not None else here.withColumn("kids", F.lit(None).cast("string"))
+        own = F.concat(F.lit("{"), F.concat_ws(",", field("name", quoted(name)), field("url", F.when(url.isNotNull(), quoted(url))), field("children", F.col("kids"))), F.lit("}"))
+        rows = F.transform(F.array_sort(F.collect_list(F.struct(name.alias("name"), own.alias("own")))), lambda x: x["own"])
+        if depth:
+            below = here.groupBy(F.col("parent").alias("node")).agg(F.concat(F.lit("["), F.concat_ws(",", rows), F.lit("]")).alias("kids"))
+    return here.select(F.col("node").alias("site"), own.alias("tree"))
+
+
 def walk(nodes: DataFrame) -> DataFrame:
     """Nodes with their pre-order sort key: the path itself, segment by segment."""
     return nodes.withColumn("order_key", F.split("node", "/"))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import changes as op
+from ..operators.ordering import shared_dir
+from ..sources.keyed import KeyedTable
+from ..streaming import stateful
 from .registry import query, table
 
 
@@ -78,3 +81,58 @@ def reject_lifecycle(spark, d):
     """Every document is a reject; short ones are closed already, and those that a later table calls good are closed now."""
     rejects = table(spark, d, "documents").select("doc_id", F.when(F.col("n_chars") < 300, 1).alias("resolved_at"))
     return op.resolve_rejects(rejects, table(spark, d, "labels").filter("quality = 1"), "doc_id", F.lit(2))
+
+
+def _arrivals(rows, folder: str, files: int):
+    """Rows in no order of time, some of them again, as files of a growing folder."""
+    again = rows.filter("event_id % 3 = 0")
+    rows.unionByName(again).withColumn("at", F.xxhash64("event_id")).repartitionByRange(files, "at").drop("at").write.mode("append").parquet(folder)
+
+
+@query("SELECT DISTINCT user_id, event_type, value FROM events")
+def stream_history(spark, d):
+    """Observations once each, over a stream in several batches and two runs, with the repeats that the second brings."""
+    e, root = table(spark, d, "events"), shared_dir(spark, "history")
+    for part in (e.filter("event_id % 2 = 0"), e):
+        _arrivals(part, f"{root}/in", 4)
+        stateful.append_once(spark, f"{root}/in", e.schema, ["user_id", "event_type", "value"], f"{root}/out", f"{root}/checkpoint", per_batch=2, partitions=4)
+    return spark.read.parquet(f"{root}/out").select("user_id", "event_type", "value")
+
+
+@query("SELECT user_id, event_type, max(ts) AS ts, arg_max(value, (ts, event_id)) AS value, count(*) AS seen FROM events GROUP BY ALL")
+def stream_latest(spark, d):
+    """The latest value of each key, kept by a stream in update mode in a keyed table."""
+    e, root = table(spark, d, "events"), shared_dir(spark, "latest")
+    schema = "user_id long, event_type string, ts timestamp, value double, seen long"
+    kept = KeyedTable(spark, f"{root}/table", spark.createDataFrame([], schema).schema, ["user_id", "event_type"], buckets=8)
+    for part in (e.filter("event_id % 2 = 0"), e.filter("event_id % 2 = 1")):
+        part.repartition(3, F.xxhash64("event_id")).write.mode("append").parquet(f"{root}/in")
+        stateful.keep_latest(spark, f"{root}/in", e.schema, ["user_id", "event_type"], "ts", "event_id", ["value"], kept, f"{root}/checkpoint", per_batch=2, partitions=4)
+    return kept.read()
+
+
+@query("""WITH e AS (SELECT user_id::VARCHAR AS record_key, event_type AS reason_code, value > 20 AS ok, ts AS t FROM events),
+s AS (SELECT *, coalesce(lag(NOT ok) OVER (PARTITION BY record_key, reason_code ORDER BY t), false) AS before FROM e),
+c AS (SELECT *, lead(t) OVER (PARTITION BY record_key, reason_code ORDER BY t) AS next FROM s WHERE before = ok)
+SELECT record_key, reason_code, row_number() OVER (PARTITION BY record_key, reason_code ORDER BY t)::INTEGER AS occurrence, t AS opened_at, next AS resolved_at FROM c WHERE NOT ok""")
+def stream_rejects(spark, d):
+    """Rejects that open, are resolved and come back, over three batches in order of time."""
+    e, root = table(spark, d, "events"), shared_dir(spark, "rejects")
+    kept = KeyedTable(spark, f"{root}/table", spark.createDataFrame([], stateful.REJECTS).schema, ["record_key"], buckets=8)
+    events = {"record_key": F.col("user_id").cast("string"), "reason_code": F.col("event_type"), "ok": F.col("value") > 20, "at": F.col("ts")}
+    day = F.dayofmonth("ts")
+    for part in (day < 8, day.between(8, 20), day > 20):
+        e.filter(part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stateful.follow_rejects(spark, f"{root}/in", e.schema, kept, f"{root}/checkpoint", events, partitions=4)
+    return kept.read()
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'NEW' ELSE c_mktsegment END AS c_mktsegment, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal
+FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0""")
+def bucketed_upsert(spark, d):
+    """The upsert, put in a keyed table in which it opens only the buckets of its batch."""
+    base, batch = _customers(spark, d)
+    kept = KeyedTable(spark, shared_dir(spark, "customers"), base.schema, ["c_custkey"], buckets=8)
+    kept.merge(base, lambda old, new: old.unionByName(new))
+    kept.merge(batch, lambda old, new: op.upsert(old, new, ["c_custkey"], [F.desc("seq")]))
+    return kept.read()

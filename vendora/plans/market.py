@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import market as op
-from ..operators.ordering import quantiles
+from ..operators.ordering import quantiles, shared_dir
 from .registry import query, table
 
 OFFERS = """(SELECT p_partkey AS product_id, p_brand AS company, p_name AS name, n_name AS source, r_name AS currency,
@@ -183,6 +183,15 @@ def registry_query(spark, d):
     return page
 
 
+@query("SELECT o_orderkey, o_custkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS position FROM orders QUALIFY position BETWEEN 1151 AND 1250")
+def registry_deep_page(spark, d):
+    """A deep page of all orders, dearest first, from blocks written in order."""
+    root = shared_dir(spark, "pages")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    op.write_pages(o, (F.col("o_totalprice").desc_nulls_last(), F.col("o_orderkey")), root, rows=500)
+    return op.read_page(spark, root, 100, 1150)
+
+
 @query("SELECT count(*) AS total FROM part WHERE p_brand = 'Brand#2' AND (p_name ILIKE '%ring%' OR p_type ILIKE '%ring%')")
 def registry_total(spark, d):
     part = table(spark, d, "part").select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"), F.col("p_brand").alias("company"), F.col("p_type").alias("kind"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars as s
-from ..operators import ordering, pages
+from ..operators import nested, ordering, pages
 from ..operators import urls as op
 from .registry import query, table
 
@@ -72,6 +72,16 @@ def tree_flatten(spark, d):
     return ordering.positions(nodes, ["order_key"]).select("node", "depth", "position")
 
 
+@query(f"""WITH n AS (SELECT split_part(node, '/', 1) AS site, string_split(node, '/') AS place, node, depth, url FROM {_NODES}),
+p AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY place)::INTEGER AS position FROM n)
+SELECT p.site, p.position, u.position AS parent, p.depth::INTEGER AS depth, p.place[-1] AS name, p.url FROM p LEFT JOIN p u ON u.node = array_to_string(p.place[:-2], '/') AND p.depth > 0""")
+def tree_walk(spark, d):
+    """Every site's addresses as one nested JSON tree, walked again: place, parent and depth of each node."""
+    trees = op.nested_tree(op.trie(_pages(spark, d), "url"))
+    text = lambda k: F.try_variant_get("node", f"$.{k}", "string").alias(k)
+    return nested.walk_tree(trees, "site", "tree").select("site", "position", "parent", "depth", text("name"), text("url"))
+
+
 @query("SELECT page_id, position FROM (SELECT page_id, row_number() OVER (ORDER BY url, page_id) AS position FROM pages) WHERE position BETWEEN 101 AND 180")
 def url_range(spark, d):
     """Positions 101 to 180: a range operator."""
@@ -147,6 +157,36 @@ def jsonld_price(spark, d):
     return _spec_pages(spark, d).select("p_partkey", pages.json_ld(h)["name"].alias("name"), pages.page_price(h).alias("price"))
 
 
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 6 < 5 THEN p_name END AS name, CASE p_partkey % 6 WHEN 4 THEN p_size + 0.5 WHEN 5 THEN NULL ELSE p_size END::DOUBLE AS price FROM part""")
+def jsonld_shapes(spark, d):
+    """Embedded products alone, in a list, in a graph, deep in an object, after one without an offer; and none."""
+    part = table(spark, d, "part")
+    k, size = F.col("p_partkey") % 6, F.col("p_size").cast("string")
+    product = lambda kind, offers: F.concat(F.lit(f'{{"@type":{kind},"name":"'), F.col("p_name"), F.lit('"'), F.lit(',"offers":'), offers, F.lit("}"))
+    price = lambda name, tail="": F.concat(F.lit(f'{{"{name}":'), size, F.lit(f"{tail}}}"))
+    other = F.lit('{"@type":"BreadcrumbList","itemListElement":[{"@type":"ListItem","name":"none"}]}')
+    bare = F.lit('{"@type":"product","name":"bare"}')
+    body = (
+        F.when(k == 0, product('"Product"', price("price"))).when(k == 1, F.concat(F.lit("["), other, F.lit(","), product('"PRODUCT"', F.concat(F.lit("["), price("lowPrice"), F.lit("]"))), F.lit("]")))
+        .when(k == 2, F.concat(F.lit('{"@context":"x","@graph":['), other, F.lit(","), bare, F.lit(","), product('["Thing","Product"]', price("price")), F.lit("]}")))
+        .when(k == 3, F.concat(F.lit('{"@type":"WebPage","mainEntity":{"about":[['), product('"Product"', F.concat(F.lit('[{"price":null},'), price("price"), F.lit("]"))), F.lit("]]}}")))
+        .when(k == 4, F.concat(F.lit('{broken</script><script type="application/ld+json">'), product('"Product"', price("price", ".5")))).otherwise(other)
+    )
+    html = F.concat(F.lit('<script type="application/ld+json">'), body, F.lit("</script>"))
+    found = pages.json_ld(html)
+    return part.select("p_partkey", found["name"].alias("name"), found["price"].alias("price"))
+
+
+@query("""SELECT c_custkey, x AS canonical, sha256(x) AS canonical_sha256 FROM (SELECT c_custkey, '{"Z":null,"a":[{"b":[],"k":' || c_custkey || '},' || c_nationkey || '.0,"' || c_name || '"],"é":{"":true,"B":{"x":1,"y":{}},"b":"' || c_mktsegment || '"}}' AS x FROM customer)""")
+def canonical_json(spark, d):
+    """Nested objects in disorder, in order."""
+    c = table(spark, d, "customer")
+    text = lambda x: F.col(x).cast("string")
+    raw = F.concat(F.lit(' {"é": {"b" : "'), F.col("c_mktsegment"), F.lit('", "B":{"y":{},"x":1}, "":true},\n"a":[{"k":'), text("c_custkey"), F.lit(',"b":[ ]},'), text("c_nationkey"), F.lit('.0,"'), F.col("c_name"), F.lit('"],"Z":1,"Z":null}'))
+    canonical = nested.canonical_json(raw)
+    return c.select("c_custkey", canonical.alias("canonical"), F.sha2(canonical.cast("binary"), 256).alias("canonical_sha256"))
+
+
 @query("""SELECT o_orderkey, o_custkey, coalesce(last_value(nullif(CASE WHEN o_orderkey % 4 = 0 THEN o_orderstatus END, '') IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING), 'none') AS section FROM orders""")
 def section_carry_forward(spark, d):
     """Group labels of some rows carried to those after them."""

@@ -12,6 +12,15 @@ from ..schema import SECTIONS
 SLUGIFY = r"""CREATE OR REPLACE TEMPORARY FUNCTION slugify(x STRING) RETURNS STRING RETURN
 coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(x)), '[^a-z0-9\\s-]', ''), '[\\s_]+', '-'), '-+', '-'), '^-+|-+$', ''), ''), 'unknown')"""
 
+#: Table functions ``registry_<name>(search, wanted, skip)``: view, columns that a search looks at, order.
+REGISTRY = {
+    "products": ("v_canonical_products", ("company_name", "mobile_name", "chipset_name", "operating_system"), "product_id DESC"),
+    "listings": ("v_market_listings_full", ("company_name", "canonical_product_name", "listing_title", "source_domain"), "scraped_at DESC, listing_id"),
+    "prices": ("v_price_comparison", ("company_name", "mobile_name", "currency_code"), "price_spread DESC NULLS LAST, product_id, currency_code"),
+    "discrepancies": ("v_spec_discrepancies", ("company_name", "mobile_name", "source_domain", "listing_title"), "product_id DESC, source_domain, listing_title"),
+    "sites": ("v_site_summary", ("source_domain",), "total_listings DESC, source_domain"),
+}
+
 
 def canonical_products(t: dict[str, DataFrame]) -> DataFrame:
     """One wide row per product with every specification."""
@@ -68,11 +77,33 @@ def site_summary(t: dict[str, DataFrame], latest_score: bool = False) -> DataFra
     return market.site_summary(t["listings.market_listings"], q, "source_domain", "product_id", "listing_id", "scraped_at", "completeness_pct", "scored_at" if latest_score else None)
 
 
+def table_functions(views: dict[str, DataFrame]) -> list[str]:
+    """Statements that make the table functions over registered views: a page of each view by position, price comparisons and discrepancies by argument.
+
+    A page has the rows skip + 1 to skip + wanted, 1 to 100 of them; Spark keeps no more than those of each task before it ranks them.
+    """
+    columns = lambda v: ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in views[v].schema)
+    out = []
+    for name, (view, search, order) in REGISTRY.items():
+        text = "replace(left(trim(regexp_replace(search, '[(),\\\\s]+', ' ')), 120), '*', '%')"
+        hit = " OR ".join(f"{c} ILIKE concat('%', {text}, '%')" for c in search)
+        out.append(f"""CREATE OR REPLACE TEMPORARY FUNCTION registry_{name}(search STRING DEFAULT '', wanted INT DEFAULT 25, skip INT DEFAULT 0) RETURNS TABLE (position INT, {columns(view)})
+RETURN SELECT * FROM (SELECT row_number() OVER (ORDER BY {order}) AS position, * FROM {view} WHERE search = '' OR {hit})
+WHERE position <= greatest(skip, 0) + least(greatest(wanted, 1), 100) AND position > greatest(skip, 0)""")
+    out.append(f"""CREATE OR REPLACE TEMPORARY FUNCTION price_comparison_of(company STRING DEFAULT NULL, currency STRING DEFAULT NULL) RETURNS TABLE ({columns("v_price_comparison")})
+RETURN SELECT * FROM v_price_comparison WHERE (company IS NULL OR company_name = company) AND (currency IS NULL OR currency_code = currency)""")
+    differs = " OR ".join(c for c in views["v_spec_discrepancies"].columns if c.endswith("_differs"))
+    out.append(f"""CREATE OR REPLACE TEMPORARY FUNCTION discrepancies_of(source STRING DEFAULT NULL) RETURNS TABLE ({columns("v_spec_discrepancies")})
+RETURN SELECT * FROM v_spec_discrepancies WHERE (source IS NULL OR source_domain = source) AND ({differs})""")
+    return out
+
+
 def register(spark: SparkSession, tables: dict[str, DataFrame], canonical_source: str) -> list[str]:
-    """Temporary views and the function, for SQL readers."""
+    """Temporary views, the shared function and the table functions, for SQL readers."""
     views = {"v_canonical_products": canonical_products(tables), "v_market_listings_full": market_listings(tables), "v_price_comparison": price_comparison(tables),
              "v_spec_discrepancies": spec_discrepancies(tables, canonical_source), "v_site_summary": site_summary(tables)}
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    spark.sql(SLUGIFY)
+    for statement in (SLUGIFY, *table_functions(views)):
+        spark.sql(statement)
     return list(views)

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import TABLES
+from . import pointer
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, run: str, file_format: str = "parquet") -> DataFrame:
-    """Write every table under ``root/run=<run>/<name>``, then the manifest, last the pointer; readers follow the pointer, so a run that fails is never seen.
+    """Write every table under ``root/run=<run>/<name>``, then the manifest, last the pointer; readers follow the pointer, which one rename puts in place, so a run that fails is never seen and there is always one to read.
 
     Returns the manifest: table_name, rows, position (parents before children).
     """
@@ -28,7 +29,7 @@ def write_tables(tables: dict[str, DataFrame], root: str, run: str, file_format:
     counts = [read(n).agg(F.count("*").alias("rows")).select(F.lit(n).alias("table_name"), "rows", F.lit(order.get(n, len(order))).alias("position")) for n in tables]
     manifest = reduce(DataFrame.unionByName, counts)
     manifest.coalesce(1).write.mode("overwrite").json(f"{root}/run={run}/_manifest")
-    spark.createDataFrame([(run,)], "run string").coalesce(1).write.mode("overwrite").json(f"{root}/current")
+    pointer.put(spark, root, {"run": run})
     return spark.read.json(f"{root}/run={run}/_manifest")
 
 
@@ -48,8 +49,7 @@ def run_files(spark: SparkSession, root: str, run: str) -> DataFrame:
 
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table of the current run."""
-    run = spark.read.json(f"{root}/current").first()["run"]
-    return spark.read.parquet(f"{root}/run={run}/{name}")
+    return spark.read.parquet(f"{root}/run={pointer.get(spark, root)['run']}/{name}")
 
 
 def export(df: DataFrame, path: str, file_format: str = "csv") -> None:
