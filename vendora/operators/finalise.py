@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructField, StructType, VariantType
 
 from ..functions import scalars as s
 from ..schema import HEADER, RELEASE, SECTIONS
@@ -22,15 +22,36 @@ Facts = dict[tuple[str, ...], Column]
 
 
 def raw_schema() -> StructType:
-    """A raw record as nested text, for ``from_json``."""
-    text = StringType()
-    return StructType([StructField(k, text if v is None else StructType([StructField(x, text) for x in v])) for k, v in RAW.items()])
+    """A raw record for ``from_json``: every leaf keeps its JSON type, so that the number 190 and the text "190" differ."""
+    v = VariantType()
+    return StructType([StructField(k, v if x is None else StructType([StructField(y, v) for y in x])) for k, x in RAW.items()])
+
+
+def _kind(v: Column) -> Column:
+    return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+
+
+def number_of(v: Column) -> Column:
+    """The value of a leaf that is a JSON number, or 0 or 1 of a flag; null for all else, a text of digits included."""
+    number = F.when(_kind(v).isin("BIGINT", "DOUBLE", "DECIMAL", "FLOAT"), F.try_variant_get(v, "$", "double"))
+    return F.coalesce(number, F.when(_kind(v) == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double")))
+
+
+def answer_of(v: Column) -> Column:
+    """0 or 1: a number is 1 unless it is 0, a text counts by its words."""
+    return F.coalesce((number_of(v) != 0).cast("int"), F.when(_kind(v) == "STRING", s.yes_no(F.try_variant_get(v, "$", "string"))))
 
 
 def evidence(raw: Column) -> Facts:
-    """What the texts of a raw record say, by path in the finished record; null where they say nothing."""
-    at = lambda *path: leaf(raw, path)
-    name = s.split_brand(at("MobileName"))
+    """What a raw record (of :func:`raw_schema`) says, by path in the finished record; null where it says nothing.
+
+    Numbers are taken as they are where the finished record has one, only texts are searched for units and words; lists and
+    objects stand as their JSON.
+    """
+    value = lambda *path: leaf(raw, path)
+    at = lambda *path: F.try_variant_get(leaf(raw, path), "$", "string")
+    said = lambda *path: F.when(_kind(value(*path)) == "STRING", at(*path))
+    name = s.split_brand(said("MobileName"))
     sim, grid, usb = s.sim_flags(at("Body", "SIM")), s.resolution(at("Display", "Resolution")), s.usb_flags(at("Features", "USB"))
     sealed = s.resistance(F.concat_ws(" ", at("Body", "Protection"), at("Body", "Build")))
     screen = [at("Display", x) for x in ("Type", "Size", "Resolution")]
@@ -38,15 +59,15 @@ def evidence(raw: Column) -> Facts:
     same = [(k, x) for k, parts in RAW.items() if parts for x in parts if (k, x) in {
         ("Body", "Build"), ("Display", "Protection"), ("Memory", "Card slot"), ("Memory", "Technology"), ("Battery", "Charging")} or (k in ("Platform", "Main Camera", "Selfie Camera")) or x in ("WLAN", "Bluetooth", "Positioning")]
     answers = [(k, x) for k in ("Network", "Sound") for x in RAW[k]] + [("Features", x) for x in RAW["Features"][3:] if x != "USB"] + [("Battery", "WirelessCharging")]
-    out: Facts = {p: at(*p) for p in same} | {p: s.yes_no(at(*p)) for p in answers}
+    out: Facts = {p: at(*p) for p in same} | {p: answer_of(value(*p)) for p in answers}
     out |= {("CompanyName",): name["company"], ("MobileName",): name["model"], ("Announced",): at("Launch", "Announced"), ("Status",): at("Launch", "Status"), ("Colors",): at("Colors"), ("Price",): at("Price")}
     out |= {("Body", "Dimensions", f"Dimension{c}"): s.dimension(at("Body", "Dimensions"), i + 1) for i, c in enumerate("ABC")}
-    out |= {("Body", "Weight"): s.weight_grams(at("Body", "Weight")), ("Body", "Normal-SIM"): sim["normal"], ("Body", "Nano-SIM"): sim["nano"], ("Body", "E-SIM"): sim["esim"]}
+    out |= {("Body", "Weight"): F.coalesce(number_of(value("Body", "Weight")), s.weight_grams(said("Body", "Weight"))), ("Body", "Normal-SIM"): sim["normal"], ("Body", "Nano-SIM"): sim["nano"], ("Body", "E-SIM"): sim["esim"]}
     out |= {("Body", "Resistance-Standard"): sealed["standard"], ("Body", "Resistance-Water"): sealed["water"], ("Body", "Resistance-Dust"): sealed["dust"]}
     out |= {("Display", "Screen"): s.display_technology(at("Display", "Type")), ("Display", "ResolutionA"): grid["width"], ("Display", "ResolutionB"): grid["height"], ("Display", "Ratio"): grid["ratio"], ("Display", "Pixel-Density"): grid["ppi"]}
     out |= {("Display", "Refresh-Rate"): F.coalesce(*map(s.hertz, screen)), ("Display", "Brightness"): F.coalesce(*map(s.nits, screen)), ("Platform", "Chipset-Size"): s.chipset_nm(at("Platform", "Chipset"))}
     out |= {("Features", k): usb[c] for k, c in (("USB-A", "usb_a"), ("USB-B", "usb_b"), ("Micro-USB", "micro"), ("USB-C", "usb_c"))}
-    out |= {("Memory", "Types"): F.when(F.size(variants) > 0, F.to_json(variants)), ("Battery", "Capacity"): s.capacity_mah(at("Battery", "Capacity"))}
+    out |= {("Memory", "Types"): F.when(F.size(variants) > 0, F.to_json(variants)), ("Battery", "Capacity"): F.coalesce(number_of(value("Battery", "Capacity")).cast("long"), s.capacity_mah(said("Battery", "Capacity")))}
     return {p: c.cast("string") for p, c in out.items()}
 
 

@@ -116,12 +116,22 @@ def page_price(html: Column) -> Column:
         json_ld(html)["price"], first(r'(?i)"(?:sale)?price"\s*:\s*"?([\d.,]+)'), first(r'(?is)<[^>]*class="[^"]*\bprice\b[^"]*"[^>]*>\D{0,20}([\d][\d.,]*)'), first(r"(?i)(?:Rs\.?|PKR)\s*([\d][\d,]*(?:\.\d+)?)"))
 
 
+#: Kinds of screen as sellers name them; where several begin at one place the longest counts.
+PANELS = ("Super AMOLED", "Dynamic AMOLED", "AMOLED", "OLED", "IPS LCD", "PLS TFT", "LTPS", "LCD", "TFT")
+
+
 def text_fallbacks(spec: dict[str, Column], text: Column) -> dict[str, Column]:
-    """Values from free text where the specification has none: ram and storage in GB, screen in inches, os."""
+    """Values from free text where the specification has none: ram and storage in GB, screen in inches, screen_kind, resolution as ``WxH``, os."""
     def first(pattern: str) -> Column:
         return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
 
-    found = {"ram": first(r"(?i)\b(\d{1,2})\s*GB\s*RAM"), "storage": first(r"(?i)\b(\d{2,4})\s*GB\s*(?:ROM|storage|memory)"), "screen": first(r'(?i)\b(\d(?:\.\d+)?)\s*(?:inch|")'), "os": first(r"(?i)\b(android(?:\s*\d+)?|ios(?:\s*\d+)?)")}
+    kinds = "|".join(x.replace(" ", r"\s+") for x in PANELS)
+    named = F.regexp_replace(F.lower(first(rf"(?i)\b({kinds})")), r"\s+", " ")
+    sides = F.regexp_extract(text, r"(?i)(?<!\d)(\d{3,5})\s*[x×]\s*(\d{3,5})(?!\d)", 0)
+    found = {
+        "ram": first(r"(?i)\b(\d{1,2})\s*GB\s*RAM"), "storage": first(r"(?i)\b(\d{2,4})\s*GB\s*(?:ROM|storage|memory)"), "screen": first(r'(?i)\b(\d(?:\.\d+)?)\s*(?:inch|")'), "os": first(r"(?i)\b(android(?:\s*\d+)?|ios(?:\s*\d+)?)"),
+        "screen_kind": F.coalesce(*(F.when(named == x.lower(), x) for x in PANELS)), "resolution": F.nullif(F.regexp_replace(F.lower(sides), r"\s*[x×]\s*", "x"), F.lit("")),
+    }
     return {k: F.coalesce(spec.get(k, F.lit(None).cast("string")), v) for k, v in found.items()}
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars as s
+from ..operators import pages
+from ..operators.finalise import evidence, finalise, raw_schema
 from .registry import query, table
 
 
@@ -143,15 +145,54 @@ def brand_split(spark, d):
 def evidence_record(spark, d):
     """A raw record turned into typed values by the text rules alone."""
     n = F.col("n")
-    sim, body, usb = F.lit("Nano-SIM"), F.lit("IP68 dust/water resistant"), F.when(n % 2 == 0, "USB Type-C 2.0").otherwise("microUSB 2.0")
-    r = s.resolution(F.lit("720 x 1600 pixels, 20:9 ratio"))
+    raw = F.struct(
+        F.struct(_text((n % 20 + 2000).cast("string"), ", July").alias("Announced")).alias("Launch"), F.struct(_text((n + 100).cast("string"), " x 60 x 9 mm").alias("Dimensions"), F.lit("Nano-SIM").alias("SIM"), F.lit("IP68 dust/water resistant").alias("Protection")).alias("Body"),
+        F.struct(F.lit("PLS IPS").alias("Type"), F.lit("720 x 1600 pixels, 20:9 ratio").alias("Resolution")).alias("Display"), F.struct(_text((n + 4000).cast("string"), " mAh").alias("Capacity")).alias("Battery"),
+        F.struct(F.when(n % 2 == 0, "USB Type-C 2.0").otherwise("microUSB 2.0").alias("USB")).alias("Features"))
+    e = evidence(F.from_json(F.to_json(raw), raw_schema()))
     return _part(spark, d).select(
-        "k", F.col("p_brand").alias("company"), s.dimension(_text((n + 100).cast("string"), " x 60 x 9 mm"), 1).alias("length_mm"), s.capacity_mah(_text((n + 4000).cast("string"), " mAh")).alias("mah"), s.display_technology(F.lit("PLS IPS")).alias("screen"),
-        F.concat(r["width"].cast("string"), F.lit(":"), r["height"].cast("string")).alias("wh"), sim.rlike("(?i)nano").alias("nano"), sim.rlike(r"(?i)\be-?sim").alias("esim"), F.regexp_extract(body, r"(IP\d\d)", 1).alias("ip"),
-        usb.rlike("(?i)type.?c").alias("usb_c"), s.release_date(_text((n % 20 + 2000).cast("string"), ", July"), F.lit(None).cast("string"))["year"].alias("year"),
+        "k", F.col("p_brand").alias("company"), e["Body", "Dimensions", "DimensionA"].cast("double").alias("length_mm"), e["Battery", "Capacity"].cast("int").alias("mah"), e["Display", "Screen"].alias("screen"),
+        F.concat_ws(":", e["Display", "ResolutionA"], e["Display", "ResolutionB"]).alias("wh"), (e["Body", "Nano-SIM"] == "1").alias("nano"), (e["Body", "E-SIM"] == "1").alias("esim"), e["Body", "Resistance-Standard"].alias("ip"),
+        (e["Features", "USB-C"] == "1").alias("usb_c"), s.release_date(e["Announced",], e["Status",])["year"].alias("year"),
     )
 
 
+#: Leaves of a raw record in their JSON types, and what is to be read: weight, capacity, 5G, 2G, NFC, memory.
+LEAVES = (
+    ('{"Body":{"Weight":190},"Battery":{"Capacity":5000},"Network":{"5G":1,"2G":0},"Features":{"NFC":1},"Memory":{"Types":[[128,8],["256","8"]]}}', 190.0, 5000, 1, 0, 1, "[[128,8],[256,8]]"),
+    ('{"Body":{"Weight":"190"},"Battery":{"Capacity":"5000"},"Network":{"5G":"1","2G":"0"},"Features":{"NFC":"maybe"},"Memory":{"Types":["64GB"]}}', None, None, None, None, None, None),
+    ('{"Body":{"Weight":"6.5 oz"},"Battery":{"Capacity":"5,000 mAh"},"Network":{"5G":"Yes, SA","2G":"no"},"Features":{"NFC":true},"Memory":{"Types":["128GB Built-in","8GB RAM (+8GB of Extended RAM)"]}}', 184.272, 5000, 1, 0, 1, "[[128,8]]"),
+    ('{"Body":{"Weight":190.25},"Battery":{"Capacity":4999.9},"Network":{"5G":false,"2G":2.5},"Features":{"NFC":null},"Memory":{"Types":["64 GB","128 GB","4 GB RAM","6GB RAM"]}}', 190.25, 4999, 0, 1, None, "[[64,4],[128,6]]"),
+    ('{"Body":{"Weight":[190]},"Battery":{"Capacity":{"mah":5000}},"Network":7,"Features":[],"Memory":{"Types":"8GB 256GB"}}', None, None, None, None, None, "[[8,256]]"),
+    ('{"Body":{},"MobileName":7}', None, None, None, None, None, None),
+)
+
+
+@query(f"""SELECT p_partkey AS k, {_picked([x[1] for x in LEAVES])}::DOUBLE AS grams, {_picked([x[2] for x in LEAVES])}::INTEGER AS mah, {_picked([x[3] for x in LEAVES])}::INTEGER AS g5, {_picked([x[4] for x in LEAVES])}::INTEGER AS g2,
+  {_picked([x[5] for x in LEAVES])}::INTEGER AS nfc, {_picked([x[6] for x in LEAVES])} AS memory FROM part""")
+def raw_leaves(spark, d):
+    """Numbers, flags, texts and lists in raw records: numbers count as they are, texts only with a unit or a word."""
+    e = evidence(F.from_json(_pick([x[0] for x in LEAVES]), raw_schema()))
+    return table(spark, d, "part").select(
+        F.col("p_partkey").alias("k"), e["Body", "Weight"].cast("double").alias("grams"), e["Battery", "Capacity"].cast("int").alias("mah"), e["Network", "5G"].cast("int").alias("g5"), e["Network", "2G"].cast("int").alias("g2"),
+        e["Features", "NFC"].cast("int").alias("nfc"), e["Memory", "Types"].alias("memory"))
+
+
+#: Titles and descriptions, and what is to be read: ram, storage, screen, kind, resolution, os.
+ADVERTS = (
+    ("Phone X 8GB RAM 256GB ROM 6.7 inch Super  AMOLED 1080 x 2400 Android 14", "8", "256", "6.7", "Super AMOLED", "1080x2400", "Android 14"),
+    ('4 GB RAM / 64 GB storage, 6.5" IPS LCD (720×1600)', "4", "64", "6.5", "IPS LCD", "720x1600", None),
+    ("dynamic amoled panel, iOS 17", None, None, None, "Dynamic AMOLED", None, "iOS 17"), ("tft and oled, 12 x 34 tiles", None, None, None, "TFT", None, None), ("nothing to read", None, None, None, None, None, None),
+)
+
+
+@query(f"SELECT p_partkey AS k, {', '.join(f'{_picked([x[i + 1] for x in ADVERTS])}::VARCHAR AS {c}' for i, c in enumerate(('ram', 'storage', 'screen', 'screen_kind', 'resolution', 'os')))} FROM part")
+def text_facts(spark, d):
+    """Facts in free text."""
+    found = pages.text_fallbacks({}, _pick([x[0] for x in ADVERTS]))
+    return table(spark, d, "part").select(F.col("p_partkey").alias("k"), *(c.alias(k) for k, c in found.items()))
+
+
 #: Texts as sellers and catalogues write them, and what is to be read.
 MEASURES = (
     ("161.4 x 78.1 x 9.4 mm, 6.03 oz, 59.94 Hz", 161.4, 170.948, 59.94), ("5.811 × 2.4 × 0.3 inches | 1,024g", 147.599, 1024.0, None), ("weighs 7 OZ; 120hz panel", None, 198.447, 120.0),
@@ -215,20 +256,12 @@ def values_irregular(spark, d):
     return table(spark, d, "part").select(F.col("p_partkey").alias("k"), flag.alias("flag"), s.fill_missing(_pick([x[0] for x in BLANKS]), F.col("p_type")).alias("filled"))
 
 
-#: What the brand rules must give, spelling by spelling.
-SPELLINGS = (
-    "apple=Apple,samsung=Samsung,xiaomi=Xiaomi,redmi=Redmi,poco=Poco,oppo=Oppo,vivo=Vivo,oneplus=OnePlus,one plus=OnePlus,realme=Realme,infinix=Infinix,tecno=Tecno,itel=Itel,honor=Honor,huawei=Huawei,nokia=Nokia,motorola=Motorola,moto=Motorola,"
-    "google=Google,sony=Sony,lg=LG,alcatel=Alcatel,zte=ZTE,asus=Asus,lenovo=Lenovo,meizu=Meizu,gionee=Gionee,qmobile=QMobile,q mobile=QMobile,voice=Voice,dcode=Dcode,faywa=Faywa,gfive=Gfive,spice=Spice,schok=Schok,micromax=Micromax,"
-    "blackberry=BlackBerry,htc=HTC,panasonic=Panasonic,philips=Philips,nothing=Nothing,vertu=Vertu,sharp=Sharp,acer=Acer,cat=CAT,cubot=Cubot,doogee=Doogee,ulefone=Ulefone,blackview=Blackview,royal=Royal,haier=Haier,vgotel=VGO TEL"
-)
-
-
-@query(f"""WITH b AS (SELECT string_split(x, '=')[1] AS spelling, string_split(x, '=')[2] AS brand FROM (SELECT unnest(string_split('{SPELLINGS}', ',')) AS x))
-SELECT p_partkey AS k, spelling, brand AS company, p_name AS model FROM part CROSS JOIN b WHERE p_partkey % 52 = (SELECT count(*) FROM b c WHERE c.spelling < b.spelling)
+@query(f"""WITH b(spelling, brand) AS (VALUES {', '.join(f"('{k}', '{v}')" for k, v in s.BRANDS.items())})
+SELECT p_partkey AS k, spelling, brand AS company, p_name AS model FROM part CROSS JOIN b WHERE p_partkey % {len(s.BRANDS)} = (SELECT count(*) FROM b c WHERE c.spelling < b.spelling)
 UNION ALL SELECT p_partkey, 'other', 'ZEdd Über', p_name FROM part""")
 def brand_table(spark, d):
     """Each part under one of the brands, in changed letters and blanks, and under an unknown one."""
-    spelling = _pick(sorted(x.split("=")[0] for x in SPELLINGS.split(",")))
+    spelling = _pick(sorted(s.BRANDS))
     p = table(spark, d, "part").select(F.col("p_partkey").alias("k"), "p_name", spelling.alias("spelling"))
     raw = F.concat(F.lit("  "), F.when(F.col("k") % 2 == 0, F.upper("spelling")).otherwise(F.initcap("spelling")), F.lit("  "), F.col("p_name"))
     known = p.select("k", "spelling", s.split_brand(raw).alias("b")).select("k", "spelling", "b.company", "b.model")
@@ -265,7 +298,6 @@ def _records(spark, d):
 def finalised_records(spark, d):
     """Finished records: own values, then what the raw texts say, then defaults."""
     from ..operators.catalog import stored_completeness
-    from ..operators.finalise import finalise, raw_schema
     from ..schema import paths
     from ..sources.records import payload_schema
 
