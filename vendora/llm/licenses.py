@@ -1,9 +1,11 @@
 """License scans by conditional compression.
 
-Candidate blocks are runs of sentences and lines of a paragraph that hold a cue word, wherever its lines break. A
-block whose words allow a template is compressed alone and with it as a zstandard raw dictionary; templates that
+Candidate blocks are runs of sentences and lines of a paragraph that hold a cue word, wherever its lines break, and, so that a
+notice inside a sentence is cut out of it, the windows of each template's word count that hold the words that name its license
+and share most words with it. A block whose words allow a template is compressed alone and with it as a zstandard raw dictionary; templates that
 make it smaller are confirmed by their exact wording: words of the template that the block lacks and words it adds
-are listed, and a template is accepted if few differ and none of those that name the license. One row is returned
+are listed, and a template is accepted if few differ, none of those that name the license, and no word was added that would name
+another (``QUALIFIERS``). One row is returned
 per block that is accepted; of blocks that overlap the most similar counts, and the longest of equals.
 
 The scan is one pass without a shuffle; what a task learns about a block it keeps for later copies of it.
@@ -24,7 +26,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CUES = r"(?i)licen[cs]|copyright|rights\s+reserved|permission\s+is\s+hereby|public\s+domain|redistribut|warrant"
+CUES = r"(?i)licen[cs]|copyright|rights\s+reserved|permission\s+is\s+hereby|public\s+domain|redistribut|warrant|\b[la]?gpl|\bspdx|creative\s+commons|\bcc[ -]by\b"
+#: Words that make another license of one: a block that adds one of them to a template's wording is not that template's.
+QUALIFIERS = {"sa", "nc", "nd", "lesser", "library", "affero", "not", "no"}
 #: Notice wordings by paragraph, and the words of each that name the license.
 TEMPLATES = (
     ("MIT", "Released under the MIT License.", "mit"),
@@ -66,9 +70,29 @@ TEMPLATES = (
     ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:", "organization execute transmit derivative"),
     ("Proprietary", "All rights reserved.", "all rights reserved"),
     ("Proprietary", "Copyright. All rights reserved.", "copyright rights reserved"),
+    ("MIT", "available under the MIT license", "mit"),
+    ("Apache-2.0", "available under the Apache License 2.0", "apache 2.0"),
+    ("GPL-2.0", "under the GNU GPL v2", "gpl v2"),
+    ("GPL-2.0", "under the GPL version 2", "gpl 2"),
+    ("GPL-3.0", "under the GNU GPL v3", "gpl v3"),
+    ("GPL-3.0", "under the GPL version 3", "gpl 3"),
+    ("LGPL-2.1", "under the GNU LGPL v2.1", "lgpl v2.1"),
+    ("LGPL-3.0", "under the GNU LGPL v3", "lgpl v3"),
+    ("AGPL-3.0", "under the GNU AGPL v3", "agpl v3"),
+    ("CC-BY-4.0", "under CC BY 4.0", "cc by 4.0"),
+    ("CC-BY-SA-4.0", "under CC BY-SA 4.0", "cc by sa 4.0"),
+    ("CC-BY-NC-4.0", "under CC BY-NC 4.0", "cc by nc 4.0"),
+    ("CC-BY-NC-SA-4.0", "under CC BY-NC-SA 4.0", "cc by nc sa 4.0"),
 )
+#: Identifiers that a one-line tag may name.
+TAGS = (
+    "MIT", "Apache-2.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "ISC", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0",
+    "Unlicense", "EPL-2.0", "Zlib", "BSL-1.0",
+)
+TEMPLATES += tuple((tag.removesuffix("-only").removesuffix("-or-later"), f"SPDX-License-Identifier: {tag}", "spdx " + " ".join(tag.lower().split("-"))) for tag in TAGS)
 KEPT_BLOCKS = 20_000
 _word = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+_any_word = re.compile(r"[A-Za-z0-9]+(?:\.[0-9]+)*")
 
 
 def words(text: str) -> list[str]:
@@ -87,6 +111,7 @@ class Scanner:
 
         options = {"level": 19, "write_checksum": False, "write_content_size": False}
         self.alone = zstandard.ZstdCompressor(**options)
+        self.frame = len(self.alone.compress(b""))  # bytes that no dictionary saves
         self.with_template = []
         for _, wording, _ in templates:
             raw = zstandard.ZstdCompressionDict(_plain(wording), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -113,8 +138,8 @@ class Scanner:
         if not fit:
             return None
         raw = _plain(block)
-        base = len(self.alone.compress(raw))
-        reduction = {i: 1 - len(self.with_template[i].compress(raw)) / base for i in fit}
+        base = len(self.alone.compress(raw)) - self.frame
+        reduction = {i: 1 - (len(self.with_template[i].compress(raw)) - self.frame) / base for i in fit}
         for i in sorted(fit, key=lambda i: (-reduction[i], i)):
             name, want, _ = self.templates[i]
             if reduction[i] < self.min_reduction:
@@ -126,13 +151,51 @@ class Scanner:
                     missing += want[a:b]
                     added += have[c:d]
             share = 2 * (len(want) - len(missing)) / max(len(want) + len(have), 1)
-            if share >= self.min_words and (best is None or share > best[2]):
+            if share >= self.min_words - 1e-9 and not QUALIFIERS & set(added) and (best is None or share > best[2]):
                 best = (name, reduction[i], share, " ".join(missing), " ".join(added))
         return best
 
+    def windows(self, text: str) -> Iterator[tuple[int, int]]:
+        """Of every run of neighbouring windows of a template's word count that hold its naming words and could have the share: those with most words in common."""
+        for p in cued(text):
+            found = [(m[0], p.start() + m.start(), p.start() + m.end()) for m in _word.finditer(p[0].lower())] if p[0].isascii() else [(m[0].lower(), m.start(), m.end()) for m in _any_word.finditer(text, p.start(), p.end())]
+            places: dict[str, list[int]] = {}
+            for i, (w, _, _) in enumerate(found):
+                places.setdefault(w, []).append(i)
+            for (_, want, must), count in zip(self.templates, self.counts, strict=True):
+                if all(w in places for w in must) and len(found) >= len(want):
+                    yield from self._alike(found, places, len(want), must, count)
+
+    def _alike(self, found: list[tuple], places: dict[str, list[int]], n: int, must: set[str], count: Counter) -> Iterator[tuple[int, int]]:
+        rarest = min(must, key=lambda w: len(places[w]))
+        starts = sorted({s for i in places[rarest] for s in range(max(0, i - n + 1), min(i, len(found) - n) + 1)})
+        held: Counter = Counter()
+        common, last, best, run = 0, None, 0, []
+        for s in [*starts, None]:
+            if s is None or last is None or s != last + 1:
+                yield from run
+                best, run = 0, []
+                if s is None:
+                    return
+                held = Counter(w for w, _, _ in found[s : s + n])
+                common = (held & count).total()
+            else:
+                out, new = found[last][0], found[s + n - 1][0]
+                common -= held[out] <= count[out]
+                held[out] -= 1
+                common += held[new] < count[new]
+                held[new] += 1
+            last = s
+            if common < self.min_words * n - 1e-9 or any(not held[w] for w in must):
+                yield from run
+                best, run = 0, []
+            elif common >= best:
+                run = [*(run if common == best else ()), (found[s][1], found[s + n - 1][2])]
+                best = common
+
     def scan(self, text: str) -> list[tuple]:
         """(start, end, license, reduction, similarity, missing, added) by place."""
-        found = [(s, e, *x) for s, e in blocks(text, self.most) if (x := self.judge(text[s:e]))]
+        found = [(s, e, *x) for s, e in dict.fromkeys((*blocks(text, self.most), *self.windows(text))) if (x := self.judge(text[s:e]))]
         out: list[tuple] = []
         for x in sorted(found, key=lambda x: (-x[4], x[0] - x[1], x[0])):
             if all(x[1] <= s or e <= x[0] for s, e, *_ in out):
@@ -146,14 +209,18 @@ _paragraph = re.compile(r"[^\n]+(?:\n[^\n]+)*")
 _end = re.compile(r"(?<!\bv)(?<!\bV)[.!?](?=\s)|(?=\n)|\Z")
 
 
+def cued(text: str) -> Iterator[re.Match]:
+    """The paragraphs with a cue."""
+    if _cue.search(text):
+        for p in _paragraph.finditer(text):
+            if _cue.search(text, p.start(), p.end()):
+                yield p
+
+
 def blocks(text: str, most: int) -> Iterator[tuple[int, int]]:
     """Candidate blocks: runs of sentences and lines within a paragraph, of up to ``most`` words and with a cue."""
-    if not _cue.search(text):
-        return
-    for p in _paragraph.finditer(text):
+    for p in cued(text):
         cues = [(m.start(), m.end()) for m in _cue.finditer(text, p.start(), p.end())]
-        if not cues:
-            continue
         parts, at = [], p.start()
         for m in _end.finditer(p[0]):
             end = p.start() + m.end()
