@@ -271,10 +271,10 @@ def test_language_model(spark, sample):
 
 def test_seating_matches_expectation():
     name = text.mix(np.arange(4000, dtype=np.uint64))
-    t = lm.seat(np.full(4000, 3), np.full(4000, 2.0), 0.5, name, 1)
-    # P(new) is 2/(1 - .5 + 2), then by whether it opened a table
-    p1 = 2 / 2.5
-    want = 1 + p1 + p1 * 2 / (2 - 1 + 2) + (1 - p1) * 2 / (2 - 0.5 + 2)
+    t = lm.seat(np.full(4000, 3), np.zeros(4000), 4.0, 0.5, np.full(4000, 0.4), 1.0, name, 1, feeds=0)
+    # a table more weighs (4 + t / 2) * 0.4; three customers sit at one table in (1 - d)(2 - d) ways, at two in 3 (1 - d), at three in one
+    one, two, three = 0.5 * 1.5, 3 * 0.5 * 4.5 * 0.4, 4.5 * 0.4 * 5 * 0.4
+    want = (one + 2 * two + 3 * three) / (one + two + three)
     assert abs(t.mean() - want) < 0.05
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .components import _saved
+from .components import _saved, spread_join
 from .quality import SPACE, _let
 
 SHINGLE = 5
@@ -222,7 +222,8 @@ def contaminated(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     pairs = seen.alias("x").join(found.alias("y"), same("k", "h", "iid", "start"), "left").select("x.k", "x.h", "x.iid", "x.at", "x.start", F.col("y.near").isNotNull().alias("near"))
 
     full = pairs.alias("x").join(near.alias("y"), same("k", "h", "iid", "at")).select("x.*", F.slice("y.part", F.col("x.start") - F.col("x.at") + 1, F.col("y.m")).alias("v"))
-    full = full.join(items.select("iid", "item_id", "iw"), "iid")
+    # an item may stand in very many texts
+    full = spread_join(full, items.select("iid", "item_id", "iw"), ["iid"], seen.groupBy("iid").agg(F.count("*").alias("n")))
     full = full.filter(F.col("near") | (F.size("iw") > LONGEST) | _repeats(F.col("iw")) | _repeats(F.col("v")))
     both = full.withColumn("a", _counted(_shingles(F.col("v")))).withColumn("b", _counted(_shingles(F.col("iw"))))
     both = both.select("k", "h", "item_id", "start", F.size(F.array_intersect("a", "b")).alias("i"), F.size("a").alias("na"), F.size("b").alias("nb"))

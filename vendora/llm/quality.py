@@ -48,7 +48,7 @@ RULES = (
     Rule("lines_repeat", "n_dup_lines", "over", 40, "n_lines"),
     Rule("lines_bullet", "n_bullet_lines", "over", 90, "n_lines"),
     Rule("lines_ellipsis", "n_ellipsis_lines", "over", 30, "n_lines"),
-    Rule("stop_words", "n_stop_words", "under", 2),
+    Rule("stop_words", "n_stop_words", "under", 3, "n_words"),
 )
 
 

@@ -46,8 +46,14 @@ def write_archive(pages: DataFrame, path: str, key: str = "page_id", url: str =
     hot = F.broadcast(hot) if hot.count() <= HOT_KEYS else hot
     # digests that very many records have come by broadcast, the others by shuffle
     cold = heads.join(hot, "digest", "left_anti").join(first.filter("parts = 1"), "digest")
-    heads = heads.join(hot, "digest").unionByName(cold).withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")).cast("int"))
-    heads = heads.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    heads = heads.join(hot, "digest").unionByName(cold)
+    # rows that are equal in all are told apart by their number; where they are very many, blocks of numbers are dealt over tasks first
+    many = heads.filter(F.col("copies") > HOT).withColumn("block", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / HOT).cast("int"))))
+    many = many.repartition("digest", "page_id", "url", "block")
+    upto = F.least((F.col("block") + 1) * HOT, F.col("copies")).cast("int")
+    many = many.withColumn("copy", F.explode(F.sequence(F.col("block") * HOT + 1, upto))).drop("block")
+    heads = heads.filter(F.col("copies") <= HOT).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).unionByName(many)
+    heads = heads.withColumn("part", F.pmod(F.xxhash64("page_id", "url", "copy"), F.col("parts")).cast("int"))
     response = (F.col("bytes") < min_revisit) | ((F.col("copy") == 1) & F.struct("page_id", "url").eqNullSafe(F.col("first")))
     heads = heads.withColumn("kind", F.when(response, "response").otherwise("revisit"))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("bytes"), F.lit(CRLF + CRLF))
