@@ -6,8 +6,8 @@ document goes down the branch of its token there. Two sets of similarity 0.8 sha
 one tree with probability 0.576, so that 14 trees miss such a pair with probability 6e-6. A path depends on
 the document alone, so all nodes of that depth come from one pass over the texts without a shuffle.
 
-Nodes are then compared: first each member with the node's most central document, then those that this
-leaves outside its group with the most central of them, and at last all pairs of members that are still in
+Nodes are then compared: first each document with the most central one of all its nodes, then members that are still in another
+group with their node's most central document, then those that this leaves outside its group with the most central of them, and at last all pairs of members that are still in
 different groups. Where those are more than ``PAIRS`` in a node, it branches on before: its members go down ``AGAIN`` new trees from
 there, ``DEPTH`` levels at a time, until nodes are small or ``DEEPEST`` is reached (a pair at 0.8 is lost by that in 3 of 100 of its nodes,
 of which it has eight on average); large nodes that stay are compared in parts. Sketches of two bits per minwise token drop pairs at 4.5 deviations below the
@@ -174,6 +174,8 @@ def _rest(named: DataFrame, live: DataFrame, classes: DataFrame, shingle: int, p
     while True:
         sizes = _saved(named.groupBy("node").agg(F.count_if("out").alias("o"), F.count("*").alias("n")).filter("o > 0"), "sizes")
         large = sizes.filter(F.col("o") * F.col("n") > pairs_at_most).select("node")
+        if done is None and sizes.isEmpty():
+            return sizes.select(F.col("node").alias("a"), F.col("node").alias("b"))
         if level >= DEEPEST or large.isEmpty():
             break
         small = named.join(sizes.filter(F.col("o") * F.col("n") <= pairs_at_most), "node", "left_semi")
@@ -208,34 +210,43 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
         classes = classes.withColumn("many", F.lit(None).cast("boolean")).withColumn("id", F.col("doc"))
     sketch = classes.select("id", "n", *BITS)
     member = classes.select(F.explode("nodes").alias("node"), "id")
-    size = member.groupBy("node").agg(F.count("*").alias("c")).filter("c > 1")
-    member = member.join(size, "node")
+    size = _saved(member.groupBy("node").agg(F.count("*").alias("c")).filter("c > 1"), "nodes")
+    by_node = size.select("node", F.col("c").alias("n"))
+    member = spread_join(member, size, ["node"], by_node)
     # who meets most others stands in the middle of a group: copies are nearer to their original than to each other
     degree = member.groupBy("id").agg(F.sum("c").alias("degree"))
     member = _saved(member.select("node", "id").join(degree, "id").withColumn("rank", F.struct("degree", (-F.col("id")).alias("last"))), "members")
-    member = _saved(member.join(member.groupBy("node").agg(F.max("rank").alias("m")).select("node", (-F.col("m.last")).alias("first")), "node"), "members")
-
-    group = None
-    for step in ("first", "outside", "rest"):
-        if step == "first":
-            pairs = member.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    centre = member.groupBy("node").agg(F.max("rank").alias("m")).select("node", "m", (-F.col("m.last")).alias("first"))
+    member = _saved(spread_join(member, centre, ["node"], by_node), "members")
+
+    group = member.select("id", F.col("id").alias("component")).limit(0)
+    for step in ("centre", "first", "outside", "rest"):
+        named = member.join(group, "id", "left").withColumn("g", F.coalesce("component", "id")).drop("component")
+        named = named.join(group.select(F.col("id").alias("first"), F.col("component").alias("fg")), "first", "left").withColumn("fg", F.coalesce("fg", "first"))
+        named = named.withColumn("out", F.col("g") != F.col("fg"))
+        if step == "centre":
+            # of the central documents of its nodes, the one that meets most
+            pairs = member.filter("id <> first").groupBy("id").agg(F.max("m").alias("m")).select((-F.col("m.last")).alias("a"), F.col("id").alias("b"))
+        elif step == "first":
+            pairs = named.filter("out").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+        elif step == "outside":
+            second = named.filter("out").groupBy("node").agg(F.max(F.struct("rank", "g")).alias("s"))
+            pairs = named.join(second, "node").filter("g <> s.g AND id <> first").select((-F.col("s.rank.last")).alias("a"), F.col("id").alias("b")).distinct()
         else:
-            named = member.join(group, "id", "left").withColumn("g", F.coalesce("component", "id")).drop("component")
-            named = named.join(group.select(F.col("id").alias("first"), F.col("component").alias("fg")), "first", "left").withColumn("fg", F.coalesce("fg", "first"))
-            named = named.withColumn("out", F.col("g") != F.col("fg"))
-            if step == "outside":
-                second = named.filter("out").groupBy("node").agg(F.max(F.struct("rank", "g")).alias("s"))
-                pairs = named.join(second, "node").filter("g <> s.g AND id <> first").select((-F.col("s.rank.last")).alias("a"), F.col("id").alias("b")).distinct()
-            else:
-                pairs = _rest(named.select("node", "id", "g", "out"), live, classes, shingle, percent, pairs_at_most, depth)
+            pairs = _rest(named.select("node", "id", "g", "out"), live, classes, shingle, percent, pairs_at_most, depth)
         pairs = _saved(pairs, "pairs")
-        # a node's central document is in many pairs
-        counts = pairs.groupBy("a").agg(F.count("*").alias("n"))
-        ours = sketch.select(F.col("id").alias("a"), F.struct("n", *BITS).alias("p"))
-        theirs = sketch.select(F.col("id").alias("b"), F.struct("n", *BITS).alias("q"))
-        near = spread_join(pairs, ours, ["a"], counts).join(theirs, "b").filter(_near("p", "q", percent))
-        found = _saved(_confirm(_saved(near.select("a", "b"), "near"), live, classes, shingle, percent), "links")
-        group = components(found if group is None else found.unionByName(group.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+        if pairs.isEmpty():
+            continue
+        near = pairs  # the rest are by sketch already
+        if step != "rest":
+            # a node's central document is in many pairs
+            counts = pairs.groupBy("a").agg(F.count("*").alias("n"))
+            ours = sketch.select(F.col("id").alias("a"), F.struct("n", *BITS).alias("p"))
+            theirs = sketch.select(F.col("id").alias("b"), F.struct("n", *BITS).alias("q"))
+            near = _saved(spread_join(pairs, ours, ["a"], counts).join(theirs, "b").filter(_near("p", "q", percent)).select("a", "b"), "near")
+        found = _saved(_confirm(near, live, classes, shingle, percent), "links") if not near.isEmpty() else near
+        if not found.isEmpty():
+            group = components(found.unionByName(group.select(F.col("id").alias("a"), F.col("component").alias("b"))))
 
     label = classes.select("id", "doc", "many", *same).join(group, "id", "left").withColumn("c", F.coalesce("component", "id"))
     if several:
