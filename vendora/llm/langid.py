@@ -86,13 +86,13 @@ def grams(texts: list[str]) -> list[np.ndarray]:
     kept[1:] |= letter[:-1]
     kept[:-1] |= letter[1:] & ~letter[:-1]  # one blank before a run of letters
     low = np.where(letter, low, 32)
-    blank_twice = np.zeros(len(kept), bool)
-    blank_twice[1:] = kept[1:] & kept[:-1] & ~letter[1:] & ~letter[:-1]
     ends = np.cumsum([len(t) + 1 for t in texts])
     out = []
     for a, b in zip(np.concatenate(([0], ends[:-1])), ends, strict=True):
         part = slice(a, b + 1)
-        s = low[part][kept[part] & ~blank_twice[part]].astype(np.int64)
+        some = kept[part]
+        s, is_letter = low[part][some].astype(np.int64), letter[part][some]
+        s = np.concatenate((s[:1], s[1:][is_letter[1:] | is_letter[:-1]]))  # of what stands between letters one blank
         out.append(s[:-2] << 42 | s[1:-1] << 21 | s[2:] if letter[part].any() else np.zeros(0, np.int64))
     return out
 
