@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
 ``documents``. ``run`` writes each result in the shared folder and reads it again for the next stage.
 
-In all stages: an empty table gives an empty one; the order of rows changes nothing; texts are taken whole, however long; of ties
+In all stages: an empty table gives an empty one; the order of rows changes nothing but where packing cuts; texts are taken whole, however long; of ties
 (documents of one group, strings that stand in several documents) the smallest id decides, or all are treated alike; columns
 besides the key and the text are carried along, whatever their names, but for those that begin with two underscores.
 """
