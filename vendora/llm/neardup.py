@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import _saved, components, spread_join
-from .text import U, Words, as_bytes, mix, runs
+from .text import U, Words, as_bytes, give_back, mix, runs
 
 WIDTH, DEPTH, TREES = 1024, 4, 14
 #: Pairs that are compared in a node before it branches on, trees that it then has, and the depth at which all are compared.
@@ -102,6 +102,7 @@ def _set_rows(shingle: int, trees: int, depth: int):
                         nodes[i] = np.unique(p)
                         d1[i], d2[i] = _digests(sets[i])
                 yield pd.DataFrame({"doc_id": keys[at : at + len(run)], "text_hash": marks[at : at + len(run)], "n": size, "d1": d1, "d2": d2} | {b: bits[:, i] for i, b in enumerate(BITS)} | {"nodes": nodes})
+        give_back()
 
     return rows
 
@@ -114,6 +115,7 @@ def _full_sets(shingle: int):
                 sets = Words(run).shingles(shingle)
                 d = [_digests(s) for s in sets]
                 yield pd.DataFrame({"doc": keys[at : at + len(run)], "n": [len(s) for s in sets], "d1": [x for x, _ in d], "d2": [y for _, y in d], "set": [s.view(np.int64) for s in sets]})
+        give_back()
 
     return rows
 
@@ -136,6 +138,7 @@ def _children(shingle: int, again: int, depth: int):
                         ids.append(np.full(len(nodes[-1]), mine[0]["id"]))
                 if ids:
                     yield pd.DataFrame({"id": np.concatenate(ids), "node": np.concatenate(nodes)})
+        give_back()
 
     return rows
 

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import _saved
+from .text import give_back
 from .tokencount import Unknown, default_file, load, slices
 
 CAPACITY = 4096
@@ -211,6 +212,7 @@ def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capa
         put(packer.close())
         if not keep:
             _encoders[path].forget()
+            give_back()
         yield pd.DataFrame(rows, columns=names)
 
     ident = F.col(key).cast("long")

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import _saved, free, keyed, spread_join
-from .text import U, mix
+from .text import U, give_back, mix
 
 LENGTH = 200
 SEGMENT = 1 << 20
@@ -141,6 +141,7 @@ def _tuples(length: int):
                 r = core(sample - left, sample - left - places + 1 + length)
                 u = mix(extent(lo, hi + length) + mix((sample - lo).astype(U)))
                 yield pd.DataFrame({"k": batch["k"].to_numpy()[text], "h": batch["h"].to_numpy()[text], "lo": (lo + shift).astype(np.int64), "n": (hi - lo + 1).astype(np.int32), "r": r.view(np.int64), "u": u.view(np.int64)})
+        give_back()
 
     return rows
 
@@ -163,6 +164,7 @@ def _strings(length: int):
                         "r": np.repeat(np.array([x["r"] for x in some]), n), "u": np.repeat(np.array([x["u"] for x in some]), n), "m": np.repeat(np.array([x["m"] for x in some]), n),
                         "d": (start - np.repeat(lo, n)).astype(np.int32), "s": name.view(np.int64),
                     })
+        give_back()
 
     return rows
 
