@@ -65,11 +65,15 @@ def resolve(batch: DataFrame, products: DataFrame, alias_table: DataFrame, slug:
 
 
 def match_either(left: DataFrame, right: DataFrame, keys: list[tuple[Column, Column]], ident: str, order: list[Column]) -> DataFrame:
-    """A join on any of several equalities, the earlier preferred: a union of equi-joins and a pick, no nested loop."""
+    """A join on any of several equalities, the earlier preferred, then the first row of ``right`` by its columns ``order``.
+
+    A union of equi-joins and a pick, no nested loop. Of each key's rows in ``right`` only the first can be picked, so that one
+    alone is joined: a row of ``left`` meets at most one row for each equality, however many share the key.
+    """
     parts = None
     for rank, (a, b) in enumerate(keys):
-        x, y = left.withColumn("__k", a), right.withColumn("__k", b)
-        found = x.filter("__k IS NOT NULL").join(y, "__k").drop("__k").withColumn("match_rank", F.lit(rank))
+        first = right.withColumn("__k", b).filter("__k IS NOT NULL").groupBy("__k").agg(F.min_by(F.struct(*right.columns), F.struct(*order)).alias("__r"))
+        found = left.withColumn("__k", a).join(first.select("__k", "__r.*"), "__k").drop("__k").withColumn("match_rank", F.lit(rank))
         parts = found if parts is None else parts.unionByName(found)
     return pick_one(parts, [ident], [F.col("match_rank"), *order])
 
