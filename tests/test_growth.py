@@ -1,8 +1,13 @@
 """Queries whose work must grow no faster than their input: many rows of one key, and expressions computed once."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from vendora.operators import identity
+from vendora.operators.finalise import RAW
+from vendora.plans import QUERIES
+
+DATA = "/root/testdata/sf0.001"
 
 
 def _rows_made(df) -> int:
@@ -34,3 +39,16 @@ def test_match_either_many_rows_of_one_key(spark):
     assert _rows_made(out) <= 600
     # the price counts before the name; the smallest id with the price is 301, without one 201
     assert {(r["lid"], r["rid"], r["rprice"], r["match_rank"]) for r in out.collect()} == {(i, 201, None, 1) if i == 7 else (i, 301, 1.5, 0) for i in range(300)}
+
+
+@pytest.mark.parametrize("name", ["evidence_record", "raw_leaves", "finalised_records"])
+def test_leaves_are_read_once(spark, name):
+    """A raw record is parsed once, and no leaf's kind or text is taken from it more than once or twice: every use held its own copy of them."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        plan = QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    leaves = sum(len(x or "1") for x in RAW.values())
+    assert 1 <= plan.count("from_json(") <= 4  # the two records and their lists; 48 and 57 in the first two queries before
+    assert 1 <= plan.count("try_variant_get(") <= 3 * leaves  # 975 in the last before

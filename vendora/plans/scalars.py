@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as s
 from ..operators import pages
-from ..operators.finalise import evidence, finalise, raw_schema
+from ..operators.finalise import evidence, finalise, raw_schema, step
 from .registry import query, table
 
 
@@ -149,11 +149,12 @@ def evidence_record(spark, d):
         F.struct(_text((n % 20 + 2000).cast("string"), ", July").alias("Announced")).alias("Launch"), F.struct(_text((n + 100).cast("string"), " x 60 x 9 mm").alias("Dimensions"), F.lit("Nano-SIM").alias("SIM"), F.lit("IP68 dust/water resistant").alias("Protection")).alias("Body"),
         F.struct(F.lit("PLS IPS").alias("Type"), F.lit("720 x 1600 pixels, 20:9 ratio").alias("Resolution")).alias("Display"), F.struct(_text((n + 4000).cast("string"), " mAh").alias("Capacity")).alias("Battery"),
         F.struct(F.when(n % 2 == 0, "USB Type-C 2.0").otherwise("microUSB 2.0").alias("USB")).alias("Features"))
-    e = evidence(F.from_json(F.to_json(raw), raw_schema()))
-    return _part(spark, d).select(
+    p, e = evidence(_part(spark, d), F.from_json(F.to_json(raw), raw_schema()))
+    p, released = step(p, "released", {"date": s.release_date(e["Announced",], e["Status",])})
+    return p.select(
         "k", F.col("p_brand").alias("company"), e["Body", "Dimensions", "DimensionA"].cast("double").alias("length_mm"), e["Battery", "Capacity"].cast("int").alias("mah"), e["Display", "Screen"].alias("screen"),
         F.concat_ws(":", e["Display", "ResolutionA"], e["Display", "ResolutionB"]).alias("wh"), (e["Body", "Nano-SIM"] == "1").alias("nano"), (e["Body", "E-SIM"] == "1").alias("esim"), e["Body", "Resistance-Standard"].alias("ip"),
-        (e["Features", "USB-C"] == "1").alias("usb_c"), s.release_date(e["Announced",], e["Status",])["year"].alias("year"),
+        (e["Features", "USB-C"] == "1").alias("usb_c"), released["date"]["year"].alias("year"),
     )
 
 
@@ -172,8 +173,8 @@ LEAVES = (
   {_picked([x[5] for x in LEAVES])}::INTEGER AS nfc, {_picked([x[6] for x in LEAVES])} AS memory FROM part""")
 def raw_leaves(spark, d):
     """Numbers, flags, texts and lists in raw records: numbers count as they are, texts only with a unit or a word."""
-    e = evidence(F.from_json(_pick([x[0] for x in LEAVES]), raw_schema()))
-    return table(spark, d, "part").select(
+    p, e = evidence(table(spark, d, "part"), F.from_json(_pick([x[0] for x in LEAVES]), raw_schema()))
+    return p.select(
         F.col("p_partkey").alias("k"), e["Body", "Weight"].cast("double").alias("grams"), e["Battery", "Capacity"].cast("int").alias("mah"), e["Network", "5G"].cast("int").alias("g5"), e["Network", "2G"].cast("int").alias("g2"),
         e["Features", "NFC"].cast("int").alias("nfc"), e["Memory", "Types"].alias("memory"))
 
@@ -302,7 +303,7 @@ def finalised_records(spark, d):
     from ..sources.records import payload_schema
 
     r = _records(spark, d).select("k", F.from_json("record", payload_schema()).alias("own"), F.from_json("raw", raw_schema()).alias("raw"))
-    r = r.select("k", "own", finalise(F.col("own"), F.col("raw"), F.lit("https://x.example/1"), paths()).alias("r"))
+    r = finalise(r, F.col("own"), F.col("raw"), F.lit("https://x.example/1"), paths(), "r")
     at = lambda *p: F.col("r").getField(p[0]) if len(p) == 1 else at(*p[:-1]).getField(p[-1])
     own = F.coalesce(stored_completeness(F.col("own")), F.lit(0))
     return r.select(
