@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from vendora.llm import warc
 from vendora.operators import identity
 from vendora.operators.finalise import RAW
 from vendora.plans import QUERIES
@@ -52,3 +53,15 @@ def test_leaves_are_read_once(spark, name):
     leaves = sum(len(x or "1") for x in RAW.values())
     assert 1 <= plan.count("from_json(") <= 4  # the two records and their lists; 48 and 57 in the first two queries before
     assert 1 <= plan.count("try_variant_get(") <= 3 * leaves  # 975 in the last before
+
+
+def test_archive_moves_single_payloads_once(spark, tmp_path):
+    """A payload that one record has is stored with its header and read without a join: before, every payload was shuffled again to meet its record."""
+    rows = [(i, f"u{i}", f"<p>{i}</p>" * 40) for i in range(8)] + [(20, "u", "<b>" * 90), (21, "v", "<b>" * 90), (22, "w", None)]
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "a"))
+    assert {r["page_id"] for r in spark.read.parquet(str(tmp_path / "a/records")).collect()} == {20, 21}
+    assert spark.read.parquet(str(tmp_path / "a/payloads")).count() == 10
+    got = {r["page_id"]: r for r in warc.read_records(spark, str(tmp_path / "a")).collect()}
+    assert sorted(got) == [*range(8), 20, 21, 22] and all(r["verified"] for r in got.values())
+    assert all(bytes(r["payload"]).decode() == (html or "") and bytes(r["record"]).startswith(b"WARC/1.0") for k, _, html in rows for r in [got[k]])
+    assert [k for k, r in got.items() if r["kind"] == "revisit"] == [21] and bytes(got[3]["record"]).endswith(("<p>3</p>" * 40).encode() + b"\r\n\r\n")
