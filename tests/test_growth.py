@@ -65,3 +65,9 @@ def test_archive_moves_single_payloads_once(spark, tmp_path):
     assert sorted(got) == [*range(8), 20, 21, 22] and all(r["verified"] for r in got.values())
     assert all(bytes(r["payload"]).decode() == (html or "") and bytes(r["record"]).startswith(b"WARC/1.0") for k, _, html in rows for r in [got[k]])
     assert [k for k, r in got.items() if r["kind"] == "revisit"] == [21] and bytes(got[3]["record"]).endswith(("<p>3</p>" * 40).encode() + b"\r\n\r\n")
+
+
+def test_rows_are_cut_from_pages_once(spark):
+    """The rows of pages are written before their labels are named: before, pages were cut twice, once for the distinct labels."""
+    plan = QUERIES["spec_pivot"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "Window" not in plan

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import clean_text, let, number_value
 from .nested import embedded_product
+from .ordering import saved
 
 #: Named character references that pages use in text.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
@@ -14,15 +15,19 @@ ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&n
 
 def plain(html: Column) -> Column:
     """Text of a piece of a page: no tags or comments, character references resolved, white space folded."""
-    t = F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", "")
-    codes = F.array_distinct(F.concat(
-        F.transform(F.regexp_extract_all(t, F.lit(r"(&#\d{1,7};)"), F.lit(1)), lambda x: F.struct(x.alias("ref"), F.hex(F.regexp_extract(x, r"(\d+)", 1).cast("long")).alias("code"))),
-        F.transform(F.regexp_extract_all(t, F.lit(r"(?i)(&#x[0-9a-f]{1,6};)"), F.lit(1)), lambda x: F.struct(x.alias("ref"), F.regexp_extract(x, r"(?i)x([0-9a-f]+)", 1).alias("code"))),
-    ))
-    letter = lambda code: F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
-    t = F.aggregate(codes, t, lambda done, x: F.replace(done, x["ref"], letter(x["code"])))
-    for name, c in ENTITIES:
-        t = F.replace(t, F.lit(name), F.lit(c))
+
+    def resolved(t: Column) -> Column:
+        codes = F.array_distinct(F.concat(
+            F.transform(F.regexp_extract_all(t, F.lit(r"(&#\d{1,7};)"), F.lit(1)), lambda x: F.struct(x.alias("ref"), F.hex(F.regexp_extract(x, r"(\d+)", 1).cast("long")).alias("code"))),
+            F.transform(F.regexp_extract_all(t, F.lit(r"(?i)(&#x[0-9a-f]{1,6};)"), F.lit(1)), lambda x: F.struct(x.alias("ref"), F.regexp_extract(x, r"(?i)x([0-9a-f]+)", 1).alias("code"))),
+        ))
+        letter = lambda code: F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+        out = F.aggregate(codes, t, lambda done, x: F.replace(done, x["ref"], letter(x["code"])))
+        for name, c in ENTITIES:
+            out = F.replace(out, F.lit(name), F.lit(c))
+        return F.when(t.contains("&"), out).otherwise(t)
+
+    t = let(F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", ""), resolved)
     return clean_text(F.translate(t, "\u00a0", " "))
 
 
@@ -75,7 +80,11 @@ def canonical_label(label: Column) -> Column:
 
 
 def label_aliases(rows: DataFrame, aliases: DataFrame, label: str = "label") -> DataFrame:
-    """``canonical``: the name in ``aliases(alias, name)`` of the longest run of a label's first words that is there, or the label's own canonical form."""
+    """``canonical``: the name in ``aliases(alias, name)`` of the longest run of a label's first words that is there, or the label's own canonical form.
+
+    The rows are written once, as they are read for their distinct labels and again to be named.
+    """
+    rows = saved(rows, "labels")
     each = rows.select(F.col(label).alias("__raw")).distinct().withColumn("__own", canonical_label(F.col("__raw")))
     words = F.split("__own", " ")
     starts = F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.concat_ws(" ", F.slice(words, F.lit(1), i)))
