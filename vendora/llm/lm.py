@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .components import _saved, free
 from .langid import fold
-from .text import _LOWER, U, Words, as_bytes, mix, runs
+from .text import _LOWER, U, Words, give_back, mix, runs
 
 CLASSES = 4
 SHARE = 1000
@@ -47,7 +47,7 @@ FLUSH_TYPES, FLUSH_PAIRS = 300_000, 800_000
 #: Tables of a restaurant whose indicators are drawn one by one when its strength is sampled.
 DRAWN_TABLES = 20_000
 #: Customers of a dish up to which their tables are drawn from the exact weights; numbers held at once for that.
-EXACT, ROOM = 256, 2_000_000
+EXACT, ROOM = 256, 500_000
 WIDTHS = (2, 3, 4, 6, 9, 13, 20, 30, 45, 68, 100, 160)
 #: Ratio of the numbers of customers beyond for which weights are tabled.
 STEP = 1.05
@@ -57,6 +57,22 @@ _END_CLASS[list(b",;:")] = 2
 _END_NAME = mix(np.array([0xE0D], U))[0]
 
 
+def _encoded(texts) -> Iterator[bytes]:
+    """UTF-8 of each text, one at a time; null counts as empty."""
+    return (t.encode() if isinstance(t, str) else b"" for t in texts)
+
+
+def _giving_back(rows):
+    """The function of a task; at the end its worker, which lives on beside the next stage's, returns the memory that it does not use."""
+
+    @functools.wraps(rows)
+    def run(batches: Iterator) -> Iterator:
+        yield from rows(batches)
+        give_back()
+
+    return run
+
+
 def tokens(texts: list[bytes]) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words, and of every token (words, then an end for each text): name, class of context, name of the word before (0: none), text; and the place of its word (-1: an end)."""
     w = Words(texts)
@@ -102,7 +118,7 @@ def _vocabulary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return out
 
     for batch in batches:
-        for _, run in runs(as_bytes(batch["text"])):
+        for _, run in runs(_encoded(batch["text"])):
             w = Words(run)
             every, first, n = np.unique(w.names, return_index=True, return_counts=True)
             every = np.append(every, _END_NAME).view(np.int64)
@@ -138,7 +154,7 @@ def _pairs(known):
             return pd.DataFrame({"name": name.view(np.int64), "k": k, "n": n})
 
         for batch in batches:
-            for _, run in runs(as_bytes(batch["text"])):
+            for _, run in runs(_encoded(batch["text"])):
                 _, name, kind, before, _, _ = tokens(run)
                 held.append(counted(name, contexts(kind, before, known.value), None))
                 if sum(len(h[1]) for h in held) > FLUSH_PAIRS:
@@ -481,13 +497,13 @@ def train(df: DataFrame, text: str = "text") -> Model:
     """Find the words that are contexts, count word types by context and sample the seating."""
     spark = df.sparkSession
     docs = df.select(F.col(text).alias("text"))
-    vocabulary = docs.mapInPandas(_vocabulary, "name long, word string, n long").groupBy("name").agg(F.sum("n").alias("n"), F.min("word").alias("word"))
+    vocabulary = docs.mapInPandas(_giving_back(_vocabulary), "name long, word string, n long").groupBy("name").agg(F.sum("n").alias("n"), F.min("word").alias("word"))
     vocabulary = _saved(vocabulary, "vocabulary")
     total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     some = [r["word"].encode() for r in vocabulary.filter((F.col("word") != "") & (F.col("n") * SHARE >= total)).collect()]  # at most SHARE
     real = [some[i] for i in np.argsort(_names(some))] if some else []
     known = _names(real) if real else np.zeros(0, U)
-    counts = docs.mapInPandas(_pairs(spark.sparkContext.broadcast(known)), "name long, k int, n long")
+    counts = docs.mapInPandas(_giving_back(_pairs(spark.sparkContext.broadcast(known))), "name long, k int, n long")
     counts = _saved(counts.groupBy("name", "k").agg(F.sum("n").alias("n")), "counts")
     each = F.sort_array(F.collect_list(F.struct("k", "n")))
     types = counts.groupBy("name").agg(each.alias("x")).join(vocabulary.select("name", "word"), "name")
@@ -498,7 +514,7 @@ def train(df: DataFrame, text: str = "text") -> Model:
     discounts, size = (_discount(pair["n1"], pair["n2"]), _discount(word["n1"], word["n2"])), CLASSES + len(real)
     rng, strength, states = np.random.default_rng(20260404), np.full(size + 1, STRENGTH), {}
     for j in range(BURN + KEEP):
-        sums = types.mapInArrow(_totals, "kind int, code long, n long").groupBy("kind", "code").agg(F.sum("n").alias("n")).toArrow().to_pandas()  # contexts, and at most 257 ** 3 codes
+        sums = types.mapInArrow(_giving_back(_totals), "kind int, code long, n long").groupBy("kind", "code").agg(F.sum("n").alias("n")).toArrow().to_pandas()  # contexts, and at most 257 ** 3 codes
         customers, tables = np.zeros(size + 1), np.zeros(size + 1)
         for kind, out in ((0, customers), (1, tables)):
             part = sums[sums["kind"] == kind]
@@ -510,7 +526,7 @@ def train(df: DataFrame, text: str = "text") -> Model:
             kept = [c for c in types.columns if c not in ("s", "t")]
             names = [*(c for c in kept if c != "p"), "p", f"u{j}", f"q{j}"] if j >= BURN else kept
             before, sent = types, spark.sparkContext.broadcast(states[j])
-            types = _saved(types.mapInArrow(_sweep(j, sent, kept), _columns([*names, "s", "t"])), "types")
+            types = _saved(types.mapInArrow(_giving_back(_sweep(j, sent, kept)), _columns([*names, "s", "t"])), "types")
             free(spark, before)
     return Model(types, pair["n"], word["v"], {j: states[j] for j in range(BURN, BURN + KEEP)}, known)
 
@@ -572,7 +588,7 @@ def _score_rows(head, known: np.ndarray, n: int, v: int):
         base = np.log10((h.counts + 1) / (n + v + 1))
         for batch in batches:
             keys, none, outs = batch["k"].to_numpy(), batch["no"].to_numpy(), batch["held_out"].to_numpy()
-            for at, run in runs(as_bytes(batch["text"])):
+            for at, run in runs(_encoded(batch["text"])):
                 _, name, kind, before, text, _ = tokens(run)
                 size, k = len(run), contexts(kind, before, known)
                 spot, is_head = _found(h.names, name)
@@ -612,7 +628,7 @@ def score(df: DataFrame, model: Model, text: str = "text", key: str = "doc_id",
     sent = spark.sparkContext.broadcast(model.states[sweeps[-1]])
     us, qs = [f"u{j}" for j in sweeps], [f"q{j}" for j in sweeps]
     kinds = "name long, c long, " + ", ".join(f"{x} double" for x in us + qs) + ", ks array<int>, ns array<long>, ps array<double>"
-    table = _saved(model.types.mapInArrow(_final(sweeps[-1], sweeps, sent), kinds), "words")
+    table = _saved(model.types.mapInArrow(_giving_back(_final(sweeps[-1], sweeps, sent)), kinds), "words")
     spelled = table.agg(*(F.coalesce(F.sum(x), F.lit(0.0)).alias(x) for x in qs)).first()
     new = [st.unigram(0, 0, max(1 - spelled[f"q{j}"], 1e-12)) for j, st in model.states.items()]
     shares = np.array([st.share(np.arange(len(st.customers) - 1)) for st in model.states.values()])
@@ -632,7 +648,7 @@ def score(df: DataFrame, model: Model, text: str = "text", key: str = "doc_id",
     schema = "uid long, k long, no boolean, held_out boolean, n_tokens long, n_head long, base_head double, score_head double, names array<long>, contexts array<int>, ns array<int>"
     ident = F.col(key).cast("long")
     docs = df.select(F.coalesce(ident, F.lit(0)).alias("k"), ident.isNull().alias("no"), F.coalesce(F.col(held_out), F.lit(False)).alias("held_out"), F.col(text).alias("text"))
-    rows = _saved(docs.mapInPandas(_score_rows(spark.sparkContext.broadcast(head), model.known, n, v), schema), "scores")
+    rows = _saved(docs.mapInPandas(_giving_back(_score_rows(spark.sparkContext.broadcast(head), model.known, n, v)), schema), "scores")
     tail = rows.select("uid", F.explode(F.arrays_zip("names", "contexts", "ns")).alias("x")).select("uid", F.col("x.names").alias("name"), F.col("x.contexts").alias("k"), F.col("x.ns").alias("m"))
     left = spark.createDataFrame([(k, [float(x) for x in shares[:, k]]) for k in range(shares.shape[1])], "k int, shares array<double>")
     tail = tail.join(table.select("name", "c", "ks", "ps", F.array(*us).alias("us")), "name", "left").join(F.broadcast(left), "k")  # one row for each context

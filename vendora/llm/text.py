@@ -10,7 +10,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +48,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
-def runs(texts: list[bytes], size: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+def runs(texts: Iterable[bytes], size: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """(index of the first, texts) of runs of about ``size`` bytes."""
     first, held, n = 0, [], 0
     for i, t in enumerate(texts):
