@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from vendora.llm import lm
@@ -116,3 +117,24 @@ def all_at_once(sweeps):
 def test_predictions_of_a_sequential_sampler():
     a, b = one_by_one(600, np.random.default_rng(1)), all_at_once(3000)
     assert np.allclose(b.sum(1), 1) and np.abs(b / a - 1).max() < 0.1 and np.abs(b - a).max() < 0.015
+
+
+def test_rare_previous_words_have_restaurants(spark):
+    """Words that follow one rare word each, at less than one in 1,000 tokens: before, rare words shared a restaurant, and every partner was as likely after each of them."""
+    rng = np.random.default_rng(3)
+    filler = [" ".join(f"f{i}" for i in rng.integers(0, 40, 400)) for _ in range(50)]
+    rows = [(i, t) for i, t in enumerate(filler)] + [(100 + 10 * i + j, f"f1 rare{i} partner{i} f{j}") for i in range(4) for j in range(4)]
+    model = lm.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    asked = [(i, f"rare0 partner{i}") for i in range(4)] + [(10, "nowhere partner0"), (11, "rare0 nowhere"), (12, "nowhere nowhere"), (13, "partner0")]
+    got = {r["doc_id"]: r for r in lm.score(spark.createDataFrame([(*a, True) for a in asked], "doc_id long, text string, held_out boolean"), model).collect()}
+    assert all(got[0]["score"] > got[i]["score"] + 1 for i in (1, 2, 3))
+    assert all(np.isfinite(r["score"]) and r["score"] < 0 for r in got.values()) and [got[i]["n_known"] for i in (0, 10, 11, 12)] == [3, 2, 2, 1]
+    # the end after a partner is as likely in each of these, so that rare0 leaves less than all to its own partner
+    assert got[0]["score"] < got[13]["score"]
+
+
+def test_shared_strength():
+    """Restaurants of 100 customers with many tables ask for a larger strength than with few."""
+    f = lambda x, m: pd.DataFrame({"x": [x], "m": [m]})
+    many, few = (lm.shared_strength(1.0, 0.5, f(100, 50), f(t, 50)) for t in (60, 3))
+    assert many > 2 * few > 0 and np.isclose(lm._digamma(1.0), -0.5772156649015329) and np.isclose(lm._digamma(10.5), 2.3030010334)

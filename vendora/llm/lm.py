@@ -1,21 +1,21 @@
 """Language-model scores from a hierarchical Pitman-Yor model.
 
-Restaurants: one for each frequent previous word (at least one in ``SHARE`` of the training tokens, so at most SHARE of
-them), and one for each class of other contexts (start of text, after a sentence, after a clause, elsewhere). All
-share the unigram restaurant as parent; its parent spells words with byte restaurants of two, one and no preceding
-bytes, down to a uniform base, so that any word has a probability. The end of a text is a word. As in the
+Restaurants: one for each previous word, however rare (a text's start counts as one). Their parents are four class restaurants (start of
+text, after a sentence, after a clause, elsewhere), which share the unigram restaurant; its parent spells words with byte restaurants of two, one
+and no preceding bytes, down to a uniform base, so that any word has a probability. The end of a text is a word. As in the
 base score, all words outside the training texts are one type: its probability is what the model leaves for
 new words, times the spelling's mass outside the known ones, so that both are distributions over the same types.
 
-Seating is sampled by Gibbs sweeps over the table of word types, a Spark table with each word's contexts, which are at most
-SHARE + 4, that each sweep maps over and writes again: all customers of a dish leave a restaurant, with their tables' part in the
+Seating is sampled by Gibbs sweeps over three Spark tables: pairs of a previous word and a word, tables of each previous word, and word types with
+their class seats. A sweep joins pairs with the tables of their previous word and with the class seats of their word, draws them anew and writes them;
+a pair met once has one table for ever and is not moved. All customers of a dish leave a restaurant, with their tables' part in the
 parent, and the number of tables at which they are seated again is drawn from its conditional distribution under the Chinese-restaurant rule, given
-the other dishes and restaurants as the sweep before left them (exactly up to EXACT customers, beyond from a saddle point). The strength of each restaurant is sampled after each sweep
-from its customers and tables; discounts are the estimate n1 / (n1 + 2 n2) of each level. Predictive probabilities are added up
-sweep by sweep and averaged over those kept. Byte restaurants hold at most 257 ** 3 counts and are sampled on the driver, as are strengths.
+the other dishes and restaurants as the sweep before left them (exactly up to EXACT customers, beyond from a saddle point). The strengths of class and unigram restaurants
+are sampled after each sweep from their customers and tables; that of previous words is one for all, from expectations; discounts are the estimate n1 / (n1 + 2 n2) of each level.
+Predictive probabilities are averaged over the sweeps kept. Byte restaurants hold at most 257 ** 3 counts and are sampled on the driver, as are strengths.
 
-Scores: the ``HEAD`` most frequent words and ``HEAD_PAIRS`` most frequent pairs are broadcast, as each task meets them all
-the time; other tokens are counted per text, word and context and joined with the word table.
+Scores: the ``HEAD_PAIRS`` most frequent pairs are broadcast, as each task meets them all the time; other tokens are counted per text, word and
+previous word and joined with the table of all pairs, and what that lacks with the tables of words and of previous words.
 
 Defined cases: a null text counts as empty and is the end token alone; repeated rows each get their score;
 a null id is neither held out nor used to learn; an empty table gives none; other columns are not read.
@@ -39,8 +39,7 @@ from .langid import fold
 from .text import _LOWER, U, Words, give_back, mix, runs
 
 CLASSES = 4
-SHARE = 1000
-HEAD, HEAD_PAIRS = 100_000, 1_500_000
+HEAD_PAIRS = 1_500_000
 BURN, KEEP = 2, 3
 STRENGTH, SPELLING_DISCOUNT = 1.0, 0.5
 FLUSH_TYPES, FLUSH_PAIRS = 300_000, 800_000
@@ -93,14 +92,6 @@ def tokens(texts: list[bytes]) -> tuple[Words, np.ndarray, np.ndarray, np.ndarra
     return w, name, kind, before, text, place
 
 
-def contexts(kind: np.ndarray, before: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Number of each token's context: its class, or CLASSES and on by the place of the word before it in the ascending names ``known``."""
-    if not len(known):
-        return kind
-    spot = np.minimum(np.searchsorted(known, before), len(known) - 1)
-    return np.where((known[spot] == before) & (before != 0), CLASSES + spot, kind)
-
-
 def _vocabulary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(name, word, n): the words met, the end of a text as the empty one."""
     seen: set[int] = set()
@@ -136,33 +127,27 @@ def _vocabulary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield counted()
 
 
-def _pairs(known):
-    """(name, k, n): tokens by word and context."""
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        size = CLASSES + len(known.value)
-
-        def counted(name: np.ndarray, k: np.ndarray, n: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            every, inverse = np.unique(name, return_inverse=True)
-            pair, where, m = np.unique(inverse * size + k, return_inverse=True, return_counts=True)
-            return every[pair // size], (pair % size).astype(np.int32), m if n is None else np.bincount(where, n, len(pair)).astype(np.int64)
+def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(k, name, kind, n): tokens by the word before, word, and the class of the word before."""
+    held: list[list[np.ndarray]] = []
 
-        def merged() -> pd.DataFrame:
-            name, k, n = counted(*(np.concatenate(x) for x in zip(*held, strict=True)))
-            held.clear()
-            return pd.DataFrame({"name": name.view(np.int64), "k": k, "n": n})
+    def counted(k: np.ndarray, name: np.ndarray, kind: np.ndarray, n: np.ndarray | None) -> list[np.ndarray]:
+        _, first, where, m = np.unique(_pair_names(name, k), return_index=True, return_inverse=True, return_counts=True)
+        return [k[first], name[first], kind[first].astype(np.int32), m if n is None else np.bincount(where, n, len(first)).astype(np.int64)]
 
-        for batch in batches:
-            for _, run in runs(_encoded(batch["text"])):
-                _, name, kind, before, _, _ = tokens(run)
-                held.append(counted(name, contexts(kind, before, known.value), None))
-                if sum(len(h[1]) for h in held) > FLUSH_PAIRS:
-                    yield merged()
-        if held:
-            yield merged()
+    def merged() -> pd.DataFrame:
+        k, name, kind, n = counted(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        held.clear()
+        return pd.DataFrame({"k": k.view(np.int64), "name": name.view(np.int64), "kind": kind, "n": n})
 
-    return rows
+    for batch in batches:
+        for _, run in runs(_encoded(batch["text"])):
+            _, name, kind, before, _, _ = tokens(run)
+            held.append(counted(before, name, kind, None))
+            if sum(len(h[1]) for h in held) > FLUSH_PAIRS:
+                yield merged()
+    if held:
+        yield merged()
 
 
 def _uniform(name: np.ndarray, draw: int) -> np.ndarray:
@@ -336,13 +321,14 @@ def spelling(counts: pd.DataFrame, discount: float, draw: int) -> Spelling:
 
 @dataclass
 class State:
-    """One sweep: customers, tables and strength of each context, of the unigram restaurant (the last of each), both levels' discounts, and the spelling."""
+    """One sweep: customers, tables and strength of each class, of the unigram restaurant (the last of each), both levels' discounts, the spelling, and the strength and discount of all previous words' restaurants."""
 
     customers: np.ndarray
     tables: np.ndarray
     strength: np.ndarray
     discounts: tuple[float, float]
     spell: Spelling
+    word: tuple[float, float] = (STRENGTH, 0.5)
 
     def unigram(self, c, t, spelled):
         d = self.discounts[1]
@@ -405,12 +391,11 @@ class Table:
     def unigram(self, state: State, spelled: np.ndarray) -> np.ndarray:
         return state.unigram(self.sums(self.flat("s")), self.opened, spelled)
 
-    def added(self, state: State, spelled: np.ndarray, columns: list, names: list[str], j: int) -> tuple[list, list[str]]:
-        """The columns with sweep j in the sums ``p`` of predictive probabilities, and its unigram and spelling probabilities."""
+    def added(self, state: State, spelled: np.ndarray, columns: list, names: list[str], j: int, customers: np.ndarray) -> tuple[list, list[str]]:
+        """The columns with the word's probabilities in sweep j: in each class, unigram and spelling."""
         u = self.unigram(state, spelled)
-        p = state.in_context(self.k, self.c, self.flat("s"), u[self.row]) + (self.flat("p") if "p" in names else 0)
-        rest = [(c, n) for c, n in zip(columns, names, strict=True) if n != "p"]
-        return [*(c for c, _ in rest), self.lists(p), pa.array(u), pa.array(spelled)], [*(n for _, n in rest), "p", f"u{j}", f"q{j}"]
+        p = state.in_context(self.k, customers, self.flat("s"), u[self.row])
+        return [*columns, self.lists(p), pa.array(u), pa.array(spelled)], [*names, f"p{j}", f"u{j}", f"q{j}"]
 
 
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -455,7 +440,7 @@ def reseat(row: np.ndarray, k: np.ndarray, c: np.ndarray, s: np.ndarray, t: np.n
 
 
 def _sweep(j: int, state, kept: list[str]):
-    """From the seats of sweep j those of the next; of a kept sweep, its predictive probabilities are added up, and its seats are not needed any more."""
+    """From the seats of classes and unigram in sweep j those of the next, for the new customers ``cs``; of a kept sweep, with customers ``co``, the probabilities are kept."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         st: State = state.value
@@ -467,21 +452,58 @@ def _sweep(j: int, state, kept: list[str]):
             new, up = reseat(t.row, t.k, t.c, t.flat("s"), t.opened, t.name, spelled, st, (j + 1) << 32)
             columns, names = [batch.column(c) for c in kept], [*kept]
             if j >= BURN:
-                columns, names = t.added(st, spelled, columns, names, j)
+                columns, names = t.added(st, spelled, columns, names, j, t.flat("co"))
             yield pa.RecordBatch.from_arrays([*columns, t.lists(new), pa.array(up)], [*names, "s", "t"])
 
     return rows
 
 
+def _parents(state):
+    """(name, kind, cc, ss, u): customers and tables of a word in each class, and its unigram probability."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        st: State = state.value
+        for batch in batches:
+            if batch.num_rows:
+                t = Table(batch)
+                u = t.unigram(st, 10 ** st.spell.log10(t.words))
+                flat = [t.name.view(np.int64)[t.row], t.k.astype(np.int32), t.c, t.flat("s"), u[t.row]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in flat], ["name", "kind", "cc", "ss", "u"])
+
+    return rows
+
+
+def _pair_sweep(j: int, state, kept: list[str]):
+    """New tables of each word after each previous word; as in :func:`reseat`, its own tables have left the class restaurant above."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        st: State = state.value
+        (strength, d), up, draw = st.word, st.discounts[0], (j + 1) << 40
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k, name, kind, c, s, here, cc, ss, u = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("k", "name", "kind", "c", "s", "here", "cc", "ss", "u"))
+            own, stay = _pair_names(name.view(U), k.view(U)), cc - s
+            left = np.clip(np.floor(ss * stay / np.maximum(cc, 1) + _uniform(mix(own + U(7)), draw)), stay > 0, stay)
+            above = stay - up * left + (st.strength[kind] + up * (st.tables[kind] - ss + left)) * u
+            new = seat(c, here - s, strength, d, above, st.strength[kind] + st.customers[kind] - s, own, draw)
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in kept), pa.array(new), *([batch.column("s")] if j >= BURN else [])], [*kept, "s", *([f"s{j}"] if j >= BURN else [])])
+
+    return rows
+
+
 @dataclass
 class Model:
-    """``types`` is the word table with the seats of the last sweep and the sums of those kept before; ``states`` are the kept sweeps' by number; ``known`` names the words that are contexts."""
+    """``types`` is the word table with the class seats of the last sweep and the probabilities of those kept before; ``single`` and ``several`` the pairs met once and more often
+    with the tables of kept sweeps; ``contexts`` the customers of each previous word and its tables in kept sweeps; ``states`` are the kept sweeps' by number."""
 
     types: DataFrame
+    single: DataFrame
+    several: DataFrame
+    contexts: DataFrame
     n_tokens: int
     n_types: int
     states: dict[int, State]
-    known: np.ndarray
 
 
 def _discount(n1: int, n2: int) -> float:
@@ -489,62 +511,92 @@ def _discount(n1: int, n2: int) -> float:
 
 
 def _columns(names: list[str]) -> str:
-    kinds = {"w": "string", "k": "array<int>", "c": "array<long>", "s": "array<long>", "t": "long", "p": "array<double>", "u": "double", "q": "double"}
-    return ", ".join(f"{n} {kinds[n[0]]}" for n in names)
+    lists = {"ks": "array<int>", "cs": "array<long>", "bs": "array<long>", "s": "array<long>"}
+    return ", ".join(f"{n} {lists.get(n) or {'w': 'string', 'p': 'array<double>', 'u': 'double', 'q': 'double'}.get(n[0], 'long')}" for n in names)
+
+
+def _digamma(x):
+    """For x > 0, by recurrence and its asymptotic series."""
+    x = np.asarray(x, np.float64)
+    y, less = x + 8, sum(1 / (x + i) for i in range(8))
+    return np.log(y) - 1 / (2 * y) - 1 / (12 * y**2) + 1 / (120 * y**4) - 1 / (252 * y**6) - less
+
+
+def shared_strength(theta: float, discount: float, customers: pd.DataFrame, tables: pd.DataFrame) -> float:
+    """The strength that many restaurants share, under a Gamma(1, 1) prior, from numbers ``m`` of those with ``x`` customers and with ``x`` tables.
+
+    The auxiliary variables of :func:`draw_strength` stand at their expectations, until the strength stays as it is.
+    """
+    c, nc, t, nt = (f[x].to_numpy(np.float64) for f in (customers, tables) for x in ("x", "m"))
+    for _ in range(50):
+        opened = theta / discount * (_digamma(theta / discount + np.maximum(t, 1)) - _digamma(theta / discount + 1))
+        theta = (1 + (nt * opened).sum()) / (1 + (nc * (_digamma(theta + np.maximum(c, 1)) - _digamma(theta + 1))).sum())
+    return float(theta)
 
 
 def train(df: DataFrame, text: str = "text") -> Model:
-    """Find the words that are contexts, count word types by context and sample the seating."""
+    """Count words by the word before and sample the seating."""
     spark = df.sparkSession
     docs = df.select(F.col(text).alias("text"))
     vocabulary = docs.mapInPandas(_giving_back(_vocabulary), "name long, word string, n long").groupBy("name").agg(F.sum("n").alias("n"), F.min("word").alias("word"))
-    vocabulary = _saved(vocabulary, "vocabulary")
-    total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    some = [r["word"].encode() for r in vocabulary.filter((F.col("word") != "") & (F.col("n") * SHARE >= total)).collect()]  # at most SHARE
-    real = [some[i] for i in np.argsort(_names(some))] if some else []
-    known = _names(real) if real else np.zeros(0, U)
-    counts = docs.mapInPandas(_giving_back(_pairs(spark.sparkContext.broadcast(known))), "name long, k int, n long")
-    counts = _saved(counts.groupBy("name", "k").agg(F.sum("n").alias("n")), "counts")
-    each = F.sort_array(F.collect_list(F.struct("k", "n")))
-    types = counts.groupBy("name").agg(each.alias("x")).join(vocabulary.select("name", "word"), "name")
-    types = types.select("word", F.transform("x", lambda x: x["k"]).alias("ks"), F.transform("x", lambda x: x["n"]).alias("cs"))
+    pairs = docs.mapInPandas(_giving_back(_pairs), "k long, name long, kind int, n long").groupBy("k", "name").agg(F.min("kind").alias("kind"), F.sum("n").alias("n"))
+    pairs, once = _saved(pairs, "pairs"), F.count_if(F.col("n") == 1)
+    # a pair met once has one table for ever
+    by_class = pairs.groupBy("name", "kind").agg(F.count("*").alias("c"), once.alias("b"))
+    each = F.sort_array(F.collect_list(F.struct("kind", "c", "b")))
+    types = by_class.groupBy("name").agg(each.alias("x")).join(vocabulary, "name")
+    types = types.select("name", "word", "n", *(F.col(f"x.{f}").alias(to) for f, to in (("kind", "ks"), ("c", "cs"), ("b", "bs"))))
     types = _saved(types.select("*", F.transform("cs", lambda c: F.least(c, F.lit(1).cast("long"))).alias("s"), F.lit(1).cast("long").alias("t")), "types")
-    pair = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).first()
-    word = types.agg(F.count("*").alias("v"), F.count_if(F.size("ks") == 1).alias("n1"), F.count_if(F.size("ks") == 2).alias("n2")).first()
-    discounts, size = (_discount(pair["n1"], pair["n2"]), _discount(word["n1"], word["n2"])), CLASSES + len(real)
-    rng, strength, states = np.random.default_rng(20260404), np.full(size + 1, STRENGTH), {}
+    pair = pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), once.alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).first()
+    count = lambda c, i: F.count_if(F.size(F.filter("cs", lambda x: x == i)) > 0) if c else F.count_if(F.size("ks") == i)
+    word = types.agg(F.count("*").alias("v"), count(0, 1).alias("n1"), count(0, 2).alias("n2"), count(1, 1).alias("c1"), count(1, 2).alias("c2")).first()
+    discounts, d = (_discount(word["c1"], word["c2"]), _discount(word["n1"], word["n2"])), _discount(pair["n1"], pair["n2"])
+    contexts = _saved(pairs.groupBy("k").agg(F.sum("n").alias("customers"), once.alias("single")), "contexts")
+    several = pairs.filter("n > 1").select("k", "name", "kind", F.col("n").alias("c"), F.lit(1).cast("long").alias("s"))
+    histogram = lambda f, c: f.groupBy(F.col(c).alias("x")).agg(F.count("*").alias("m")).toPandas()  # noqa: E731, at most about the root of twice the tokens
+    sizes = histogram(contexts, "customers")
+    rng, strength, own, states = np.random.default_rng(20260404), np.full(CLASSES + 1, STRENGTH), STRENGTH, {}
     for j in range(BURN + KEEP):
-        sums = types.mapInArrow(_giving_back(_totals), "kind int, code long, n long").groupBy("kind", "code").agg(F.sum("n").alias("n")).toArrow().to_pandas()  # contexts, and at most 257 ** 3 codes
-        customers, tables = np.zeros(size + 1), np.zeros(size + 1)
+        here = F.col("single") + F.coalesce("sum", F.lit(0))
+        old = contexts
+        contexts = _saved(old.join(several.groupBy("k").agg(F.sum("s").alias("sum")), "k", "left").select(*old.columns, here.alias(f"t{j}")), "contexts")
+        free(spark, old)
+        own = shared_strength(own, d, sizes, histogram(contexts, f"t{j}"))
+        sums = types.mapInArrow(_giving_back(_totals), "kind int, code long, n long").groupBy("kind", "code").agg(F.sum("n").alias("n")).toArrow().to_pandas()  # classes, and at most 257 ** 3 codes
+        customers, tables = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
         for kind, out in ((0, customers), (1, tables)):
             part = sums[sums["kind"] == kind]
             out[part["code"].to_numpy(np.int64)] = part["n"]
         customers[-1], tables[-1] = tables[:-1].sum(), sums[sums["kind"] == 2]["n"].sum()
-        strength = np.array([draw_strength(strength[k], discounts[k == size], customers[k], tables[k], rng) for k in range(size + 1)])
-        states[j] = State(customers, tables, strength, discounts, spelling(sums[sums["kind"] == 3], SPELLING_DISCOUNT, (j + 1) << 44))
+        strength = np.array([draw_strength(strength[k], discounts[k == CLASSES], customers[k], tables[k], rng) for k in range(CLASSES + 1)])
+        states[j] = State(customers, tables, strength, discounts, spelling(sums[sums["kind"] == 3], SPELLING_DISCOUNT, (j + 1) << 44), (own, d))
         if j < BURN + KEEP - 1:
+            sent, before, seated = spark.sparkContext.broadcast(states[j]), types, several
+            parents = types.mapInArrow(_giving_back(_parents(sent)), "name long, kind int, cc long, ss long, u double")
+            met = several.join(contexts.select("k", F.col(f"t{j}").alias("here")), "k").join(parents, ["name", "kind"])
+            kept = [c for c in several.columns if c != "s"]
+            several = _saved(met.mapInArrow(_giving_back(_pair_sweep(j, sent, kept)), ", ".join(f"{c} {'int' if c == 'kind' else 'long'}" for c in [*kept, "s", *([f"s{j}"] if j >= BURN else [])])), "several")
+            new = several.groupBy("name", "kind").agg(F.sum("s").alias("n")).groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("kind", "n"))).alias("new"))
             kept = [c for c in types.columns if c not in ("s", "t")]
-            names = [*(c for c in kept if c != "p"), "p", f"u{j}", f"q{j}"] if j >= BURN else kept
-            before, sent = types, spark.sparkContext.broadcast(states[j])
-            types = _saved(types.mapInArrow(_giving_back(_sweep(j, sent, kept)), _columns([*names, "s", "t"])), "types")
-            free(spark, before)
-    return Model(types, pair["n"], word["v"], {j: states[j] for j in range(BURN, BURN + KEEP)}, known)
+            arrived = F.transform(F.arrays_zip("ks", "bs"), lambda x: x["bs"] + F.coalesce(F.try_element_at("new", x["ks"]), F.lit(0).cast("long")))
+            joined = types.withColumnRenamed("cs", "co").join(new, "name", "left").withColumn("cs", arrived).drop("new")
+            names = [*kept, f"p{j}", f"u{j}", f"q{j}"] if j >= BURN else kept
+            types = _saved(joined.mapInArrow(_giving_back(_sweep(j, sent, kept)), _columns([*names, "s", "t"])), "types")
+            free(spark, before, *([seated] if hasattr(seated, "scratch") else []))
+    several = several.withColumnRenamed("s", f"s{BURN + KEEP - 1}")
+    return Model(types, pairs.filter("n = 1").select("k", "name", "kind"), several, contexts, pair["n"], word["v"], {j: states[j] for j in range(BURN, BURN + KEEP)})
+
 
+def _final(j: int, state):
+    """The word table with the probabilities of sweep j, the last."""
 
-def _final(j: int, sweeps: list[int], state):
-    """(name, c, u<j>, q<j>, ks, ns, ps): a word's customers, unigram and spelling probability in each kept sweep, of which j is the last, and its averaged log10 probability in each context where it was met."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            t, st = Table(batch), state.value
-            kept = [c for c in batch.schema.names if c[0] in "pqu"]
-            columns, names = t.added(st, 10 ** st.spell.log10(t.words), [batch.column(c) for c in kept], kept, j)
-            got = dict(zip(names, columns, strict=True))
-            p = got["p"].flatten().to_numpy(zero_copy_only=False)
-            us, qs = [f"u{i}" for i in sweeps], [f"q{i}" for i in sweeps]
-            out = [pa.array(t.name.view(np.int64)), pa.array(t.sums(t.c).astype(np.int64)), *(got[c] for c in us + qs)]
-            yield pa.RecordBatch.from_arrays([*out, batch.column("ks"), batch.column("cs"), t.lists(np.log10(p / len(sweeps)))], ["name", "c", *us, *qs, "ks", "ns", "ps"])
+            if batch.num_rows:
+                t, st = Table(batch), state.value
+                kept = [c for c in batch.schema.names if c in ("name", "n", "ks") or c[0] in "pqu"]
+                columns, names = t.added(st, 10 ** st.spell.log10(t.words), [batch.column(c) for c in kept], kept, j, t.c)
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return rows
 
@@ -567,13 +619,11 @@ def _cut_off(counts: DataFrame, most: int) -> float:
 
 @dataclass
 class Head:
-    """Frequent words, ascending: customers and log10 probability in each class; frequent pairs, ascending: log10 probability."""
+    """Frequent pairs, ascending by name: the word's customers, and the pair's log10 probability."""
 
-    names: np.ndarray
+    pairs: np.ndarray
     counts: np.ndarray
     logs: np.ndarray
-    pairs: np.ndarray
-    pair_logs: np.ndarray
 
 
 def _found(table: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -581,40 +631,29 @@ def _found(table: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return spot, table[spot] == x if len(table) else np.zeros(len(x), bool)
 
 
-def _score_rows(head, known: np.ndarray, n: int, v: int):
+def _score_rows(head, n: int, v: int):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         h: Head = head.value
         part, seq = TaskContext.get().partitionId(), 0
         base = np.log10((h.counts + 1) / (n + v + 1))
         for batch in batches:
-            keys, none, outs = batch["k"].to_numpy(), batch["no"].to_numpy(), batch["held_out"].to_numpy()
+            keys, none, outs = batch["key"].to_numpy(), batch["no"].to_numpy(), batch["held_out"].to_numpy()
             for at, run in runs(_encoded(batch["text"])):
                 _, name, kind, before, text, _ = tokens(run)
-                size, k = len(run), contexts(kind, before, known)
-                spot, is_head = _found(h.names, name)
-                by_class = is_head & (k < CLASSES)
-                pair_spot, pair_known = np.zeros(len(name), np.int64), np.zeros(len(name), bool)
-                paired = np.flatnonzero(is_head & ~by_class)
-                pair_spot[paired], pair_known[paired] = _found(h.pairs, _pair_names(name[paired], k[paired]))
-                total = np.bincount(text, minlength=size)
-                done = by_class | pair_known
-                value = np.zeros(len(name))
-                value[by_class] = h.logs[spot[by_class], k[by_class]]
-                value[pair_known] = h.pair_logs[pair_spot[pair_known]]
-                heads = np.bincount(text[done], minlength=size)
-                base_sum = np.bincount(text[done], base[spot[done]], size)
-                score_sum = np.bincount(text[done], value[done], size)
-                # the others, once for each text, word and context
+                size, own = len(run), _pair_names(name, before)
+                spot, done = _found(h.pairs, own)
+                spot = spot[done]
+                # the others, once for each text, word and word before
                 rest = np.flatnonzero(~done)
-                key = mix(_pair_names(name[rest], k[rest]) + mix(text[rest].astype(U)))
-                _, first, n_of = np.unique(key, return_index=True, return_counts=True)
+                _, first, n_of = np.unique(mix(own[rest] + mix(text[rest].astype(U))), return_index=True, return_counts=True)
                 by_text = np.argsort(text[rest[first]], kind="stable")
                 first, n_of = rest[first][by_text], n_of[by_text]
                 cuts = np.searchsorted(text[first], np.arange(1, size))
                 each = lambda x: np.split(x, cuts)
                 yield pd.DataFrame({
-                    "uid": (part << 40) + seq + np.arange(size), "k": keys[at : at + size], "no": none[at : at + size], "held_out": outs[at : at + size], "n_tokens": total, "n_head": heads,
-                    "base_head": base_sum, "score_head": score_sum, "names": each(name[first].view(np.int64)), "contexts": each(k[first].astype(np.int32)), "ns": each(n_of.astype(np.int32)),
+                    "uid": (part << 40) + seq + np.arange(size), "key": keys[at : at + size], "no": none[at : at + size], "held_out": outs[at : at + size], "n_tokens": np.bincount(text, minlength=size), "n_head": np.bincount(text[done], minlength=size),
+                    "base_head": np.bincount(text[done], base[spot], size), "score_head": np.bincount(text[done], h.logs[spot], size), "names": each(name[first].view(np.int64)), "befores": each(before[first].view(np.int64)),
+                    "kinds": each(kind[first].astype(np.int32)), "ns": each(n_of.astype(np.int32)),
                 })
                 seq += size
 
@@ -626,46 +665,62 @@ def score(df: DataFrame, model: Model, text: str = "text", key: str = "doc_id",
     spark = df.sparkSession
     n, v, sweeps = model.n_tokens, model.n_types, list(model.states)
     sent = spark.sparkContext.broadcast(model.states[sweeps[-1]])
-    us, qs = [f"u{j}" for j in sweeps], [f"q{j}" for j in sweeps]
-    kinds = "name long, c long, " + ", ".join(f"{x} double" for x in us + qs) + ", ks array<int>, ns array<long>, ps array<double>"
-    table = _saved(model.types.mapInArrow(_giving_back(_final(sweeps[-1], sweeps, sent)), kinds), "words")
-    spelled = table.agg(*(F.coalesce(F.sum(x), F.lit(0.0)).alias(x) for x in qs)).first()
-    new = [st.unigram(0, 0, max(1 - spelled[f"q{j}"], 1e-12)) for j, st in model.states.items()]
-    shares = np.array([st.share(np.arange(len(st.customers) - 1)) for st in model.states.values()])
-    # at most HEAD words and HEAD_PAIRS pairs
-    top = table.filter(F.col("c") >= _cut_off(table.select(F.col("c").alias("n")), HEAD)).select("name", "c", *us, "ks", "ps")
-    logs = []
-    for k in range(CLASSES):
-        unmet = sum((F.lit(float(shares[i, k])) * F.col(u) for i, u in enumerate(us)), F.lit(0.0)) / len(us)
-        at = F.array_position("ks", F.lit(k))
-        logs.append(F.when(at > 0, F.get("ps", (at - 1).cast("int"))).otherwise(F.log10(unmet)).alias(f"p{k}"))
-    top = top.select("name", "c", *logs).toArrow().to_pandas()
-    pairs = table.select("name", F.explode(F.arrays_zip("ks", "ns", "ps")).alias("x")).select("name", F.col("x.ks").alias("k"), F.col("x.ns").alias("n"), F.col("x.ps").alias("p")).filter(F.col("k") >= CLASSES)
-    pairs = pairs.filter(F.col("n") >= _cut_off(pairs.select("n"), HEAD_PAIRS)).select("name", "k", "p").toArrow().to_pandas()
-    names, pair = top["name"].to_numpy(np.int64).view(U), _pair_names(pairs["name"].to_numpy(np.int64).view(U), pairs["k"].to_numpy())
-    order, by_pair = np.argsort(names), np.argsort(pair)
-    head = Head(names[order], top["c"].to_numpy(np.int64)[order], top[[f"p{k}" for k in range(CLASSES)]].to_numpy()[order], pair[by_pair], pairs["p"].to_numpy()[by_pair])
-    schema = "uid long, k long, no boolean, held_out boolean, n_tokens long, n_head long, base_head double, score_head double, names array<long>, contexts array<int>, ns array<int>"
-    ident = F.col(key).cast("long")
-    docs = df.select(F.coalesce(ident, F.lit(0)).alias("k"), ident.isNull().alias("no"), F.coalesce(F.col(held_out), F.lit(False)).alias("held_out"), F.col(text).alias("text"))
-    rows = _saved(docs.mapInPandas(_giving_back(_score_rows(spark.sparkContext.broadcast(head), model.known, n, v)), schema), "scores")
-    tail = rows.select("uid", F.explode(F.arrays_zip("names", "contexts", "ns")).alias("x")).select("uid", F.col("x.names").alias("name"), F.col("x.contexts").alias("k"), F.col("x.ns").alias("m"))
-    left = spark.createDataFrame([(k, [float(x) for x in shares[:, k]]) for k in range(shares.shape[1])], "k int, shares array<double>")
-    tail = tail.join(table.select("name", "c", "ks", "ps", F.array(*us).alias("us")), "name", "left").join(F.broadcast(left), "k")  # one row for each context
-    at = F.coalesce(F.array_position("ks", F.col("k")), F.lit(0))
-    unigram = F.coalesce("us", F.array(*(F.lit(float(x)) for x in new)))
-    unmet = F.aggregate(F.zip_with("shares", unigram, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b) / len(sweeps)
-    log_p = F.when(at > 0, F.get("ps", (at - 1).cast("int"))).otherwise(F.log10(unmet))
-    tail = tail.groupBy("uid").agg(
-        F.sum(F.when(F.col("c").isNotNull(), F.col("m")).otherwise(0)).alias("n_tail"),
-        F.sum(F.col("m") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(n + v + 1)))).alias("base_tail"),
-        F.sum(F.col("m") * log_p).alias("score_tail"),
-    )
-    done = rows.drop("names", "contexts", "ns").join(tail, "uid", "left")
+    columns = [c for c in model.types.columns if c in ("name", "n", "ks") or c[0] in "pqu"] + [f"{x}{sweeps[-1]}" for x in "puq"]
+    table = _saved(model.types.mapInArrow(_giving_back(_final(sweeps[-1], sent)), _columns(columns)), "words")
+    free(spark, model.types)
+    spelled = table.agg(*(F.coalesce(F.sum(f"q{j}"), F.lit(0.0)).alias(f"q{j}") for j in sweeps)).first()
+    new = {j: float(st.unigram(0, 0, max(1 - spelled[f"q{j}"], 1e-12))) for j, st in model.states.items()}
+    shares = {j: [float(x) for x in st.share(np.arange(CLASSES))] for j, st in model.states.items()}
     zero = F.lit(0)
+
+    def log_p(c, seats, above):
+        """log10 of the mean over the sweeps, of a pair met c times with ``seats(j)`` tables, ``above(j)`` being its probability in its class."""
+        total = F.lit(0.0)
+        for j, st in model.states.items():
+            strength, d = map(F.lit, st.word)
+            total += (c - d * seats(j) + (strength + d * F.coalesce(f"t{j}", zero)) * above(j)) / (strength + F.coalesce("customers", zero))
+        return F.log10(total / len(sweeps))
+
+    tables = [f"s{j}" for j in sweeps]
+    one = F.lit(1).cast("long")
+    met = model.several.select("k", "name", "kind", "c", *tables).unionByName(model.single.select("k", "name", "kind", one.alias("c"), *(one.alias(t) for t in tables)))
+    met = met.join(model.contexts.drop("single"), "k")
+    zipped = F.explode(F.arrays_zip("ks", *(f"p{j}" for j in sweeps))).alias("x")
+    parents = table.select("name", "n", zipped).select("name", F.col("x.ks").alias("kind"), "n", *(F.col(f"x.p{j}").alias(f"p{j}") for j in sweeps))
+    met = met.join(parents, ["name", "kind"]).select("k", "name", "c", "n", log_p(F.col("c"), lambda j: F.col(f"s{j}"), lambda j: F.col(f"p{j}")).alias("p"))
+    met = _saved(met, "met")
+    # at most HEAD_PAIRS pairs
+    top = met.filter(F.col("c") >= _cut_off(met.select(F.col("c").alias("n")), HEAD_PAIRS)).select("k", "name", "n", "p").toArrow().to_pandas()
+    pair = _pair_names(*(top[x].to_numpy(np.int64).view(U) for x in ("name", "k")))
+    order = np.argsort(pair)
+    head = Head(pair[order], top["n"].to_numpy(np.int64)[order], top["p"].to_numpy()[order])
+    schema = "uid long, key long, no boolean, held_out boolean, n_tokens long, n_head long, base_head double, score_head double, names array<long>, befores array<long>, kinds array<int>, ns array<int>"
+    ident = F.col(key).cast("long")
+    docs = df.select(F.coalesce(ident, F.lit(0)).alias("key"), ident.isNull().alias("no"), F.coalesce(F.col(held_out), F.lit(False)).alias("held_out"), F.col(text).alias("text"))
+    rows = _saved(docs.mapInPandas(_giving_back(_score_rows(spark.sparkContext.broadcast(head), n, v)), schema), "scores")
+    base = F.log10((F.coalesce("n", zero) + 1) / F.lit(float(n + v + 1)))
+    tail = rows.select("uid", F.explode(F.arrays_zip("befores", "names", "kinds", "ns")).alias("x")).select("uid", *(F.col(f"x.{a}").alias(b) for a, b in (("befores", "k"), ("names", "name"), ("kinds", "kind"), ("ns", "m"))))
+    known = F.col("p").isNotNull()
+    tail = tail.join(met.select("k", "name", "n", "p"), ["k", "name"], "left").groupBy("uid").agg(
+        F.sum(F.when(known, F.col("m")).otherwise(0)).alias("known"), F.sum(F.when(known, F.col("m") * base)).alias("base"), F.sum(F.when(known, F.col("m") * F.col("p"))).alias("score"),
+        F.collect_list(F.when(~known, F.struct("k", "name", "kind", "m"))).alias("unmet"),
+    )
+    tail = _saved(tail, "tail")
+    # pairs that the model has not met: what their restaurants leave to the class, and that to the word
+    rest = tail.select("uid", F.explode("unmet").alias("x")).select("uid", "x.*").join(model.contexts.drop("single"), "k", "left").join(table, "name", "left")
+    at = F.coalesce(F.array_position("ks", F.col("kind")), zero)
+
+    def above(j):
+        share = F.get(F.array(*map(F.lit, shares[j])), F.col("kind"))
+        return F.when(at > 0, F.get(f"p{j}", (at - 1).cast("int"))).otherwise(share * F.coalesce(f"u{j}", F.lit(new[j])))
+
+    rest = rest.select("uid", "m", "n", base.alias("base"), log_p(F.lit(0.0), lambda j: F.lit(0), above).alias("p"))
+    rest = rest.groupBy("uid").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("m")).otherwise(0)).alias("known"), F.sum(F.col("m") * F.col("base")).alias("base"), F.sum(F.col("m") * F.col("p")).alias("score"))
+    tail = tail.drop("unmet").unionByName(rest).groupBy("uid").agg(*(F.sum(x).alias(x) for x in ("known", "base", "score")))
+    done = rows.drop("names", "befores", "kinds", "ns").join(tail, "uid", "left")
     return done.select(
-        F.when(~F.col("no"), F.col("k")).alias("doc_id"), "held_out", "n_tokens", (F.col("n_head") + F.coalesce("n_tail", zero)).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base_head") + F.coalesce("base_tail", zero)).alias("base_score"), (F.col("score_head") + F.coalesce("score_tail", zero)).alias("score"),
+        F.when(~F.col("no"), F.col("key")).alias("doc_id"), "held_out", "n_tokens", (F.col("n_head") + F.coalesce("known", zero)).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+        (F.col("base_head") + F.coalesce("base", zero)).alias("base_score"), (F.col("score_head") + F.coalesce("score", zero)).alias("score"),
     )
 
 
