@@ -55,6 +55,12 @@ def test_leaves_are_read_once(spark, name):
     assert 1 <= plan.count("try_variant_get(") <= 3 * leaves  # 975 in the last before
 
 
+@pytest.mark.parametrize("name", ["evidence_record", "raw_leaves", "finalised_records"])
+def test_leaves_are_read_by_all_cores(spark, name):
+    """A file of one row group is read by one task: before, that task did all the work on its rows."""
+    assert QUERIES[name](spark, DATA).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
 def test_archive_moves_single_payloads_once(spark, tmp_path):
     """A payload that one record has is stored with its header and read without a join: before, every payload was shuffled again to meet its record."""
     rows = [(i, f"u{i}", f"<p>{i}</p>" * 40) for i in range(8)] + [(20, "u", "<b>" * 90), (21, "v", "<b>" * 90), (22, "w", None)]

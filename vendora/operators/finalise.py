@@ -54,11 +54,17 @@ def step(df: DataFrame, name: str, values: dict) -> tuple[DataFrame, dict]:
     return df.select("*", *(c.alias(names[k]) for k, c in values.items())), {k: F.col(n) for k, n in names.items()}
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The rows dealt over four tasks a core by their key, before work that is heavy for each row: a file of few bytes or row groups is read by few tasks, however many rows it has."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def evidence(df: DataFrame, raw: Column) -> tuple[DataFrame, Facts]:
     """What a raw record (of :func:`raw_schema`) says, by path in the finished record; null where it says nothing.
 
     Numbers are taken as they are where the finished record has one, only texts are searched for units and words; lists and
     objects stand as their JSON. The facts are columns of the returned table, which has those of ``df`` and of the steps too.
+    The work is done in the tasks of ``df``, which :func:`spread` deals over all cores.
     """
     df, record = step(df, "raw", {"raw": raw})
     value = {(k, *x): leaf(record["raw"], (k, *x)) for k, parts in RAW.items() for x in ([()] if parts is None else [(y,) for y in parts])}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as s
 from ..operators import pages
-from ..operators.finalise import evidence, finalise, raw_schema, step
+from ..operators.finalise import evidence, finalise, raw_schema, spread, step
 from .registry import query, table
 
 
@@ -149,7 +149,7 @@ def evidence_record(spark, d):
         F.struct(_text((n % 20 + 2000).cast("string"), ", July").alias("Announced")).alias("Launch"), F.struct(_text((n + 100).cast("string"), " x 60 x 9 mm").alias("Dimensions"), F.lit("Nano-SIM").alias("SIM"), F.lit("IP68 dust/water resistant").alias("Protection")).alias("Body"),
         F.struct(F.lit("PLS IPS").alias("Type"), F.lit("720 x 1600 pixels, 20:9 ratio").alias("Resolution")).alias("Display"), F.struct(_text((n + 4000).cast("string"), " mAh").alias("Capacity")).alias("Battery"),
         F.struct(F.when(n % 2 == 0, "USB Type-C 2.0").otherwise("microUSB 2.0").alias("USB")).alias("Features"))
-    p, e = evidence(_part(spark, d), F.from_json(F.to_json(raw), raw_schema()))
+    p, e = evidence(spread(_part(spark, d), "k"), F.from_json(F.to_json(raw), raw_schema()))
     p, released = step(p, "released", {"date": s.release_date(e["Announced",], e["Status",])})
     return p.select(
         "k", F.col("p_brand").alias("company"), e["Body", "Dimensions", "DimensionA"].cast("double").alias("length_mm"), e["Battery", "Capacity"].cast("int").alias("mah"), e["Display", "Screen"].alias("screen"),
@@ -173,7 +173,7 @@ LEAVES = (
   {_picked([x[5] for x in LEAVES])}::INTEGER AS nfc, {_picked([x[6] for x in LEAVES])} AS memory FROM part""")
 def raw_leaves(spark, d):
     """Numbers, flags, texts and lists in raw records: numbers count as they are, texts only with a unit or a word."""
-    p, e = evidence(table(spark, d, "part"), F.from_json(_pick([x[0] for x in LEAVES]), raw_schema()))
+    p, e = evidence(spread(table(spark, d, "part"), "p_partkey"), F.from_json(_pick([x[0] for x in LEAVES]), raw_schema()))
     return p.select(
         F.col("p_partkey").alias("k"), e["Body", "Weight"].cast("double").alias("grams"), e["Battery", "Capacity"].cast("int").alias("mah"), e["Network", "5G"].cast("int").alias("g5"), e["Network", "2G"].cast("int").alias("g2"),
         e["Features", "NFC"].cast("int").alias("nfc"), e["Memory", "Types"].alias("memory"))
@@ -290,7 +290,7 @@ def _records(spark, d):
     record = F.struct(
         F.when(n % 3 == 0, "one plus").when(n % 3 == 1, "unknown").alias("CompanyName"), F.when(n % 3 == 0, F.concat(F.lit("OnePlus "), F.col("p_name"))).alias("MobileName"),
         F.struct(F.when(n % 4 == 0, "Plasma").when(n % 4 == 1, "OLED").alias("Screen"), F.when(n % 5 == 0, "144").alias("Refresh-Rate")).alias("Display"), F.struct(F.when(n % 7 == 0, "[]").otherwise("n/a").alias("Types")).alias("Memory"))
-    return table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.to_json(record).alias("record"), F.to_json(raw).alias("raw"))
+    return spread(table(spark, d, "part"), "p_partkey").select(F.col("p_partkey").alias("k"), F.to_json(record).alias("record"), F.to_json(raw).alias("raw"))
 
 
 @query("""SELECT p_partkey AS k, CASE WHEN p_size % 3 = 0 THEN 'OnePlus' ELSE 'Samsung' END AS company, p_name AS model, CASE WHEN p_size % 2 = 0 THEN '2023-MAR-9' ELSE '2021-JUN-' END AS released, CASE WHEN p_size % 2 = 0 THEN '2023, March 09' ELSE 'Available. Released 2021, June' END AS status,
