@@ -138,3 +138,21 @@ def test_shared_strength():
     f = lambda x, m: pd.DataFrame({"x": [x], "m": [m]})
     many, few = (lm.shared_strength(1.0, 0.5, f(100, 50), f(t, 50)) for t in (60, 3))
     assert many > 2 * few > 0 and np.isclose(lm._digamma(1.0), -0.5772156649015329) and np.isclose(lm._digamma(10.5), 2.3030010334)
+
+
+def test_pairs_in_shards_of_packed_arrays(spark, monkeypatch):
+    """Many shards score as one does, and pairs take few bytes: before, each was a row that sorts and joins moved in every sweep."""
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 60) % 5000), i % 5 == 2) for i in range(60)] + [(60, None, False), (None, "w1 w2", False)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    got = []
+    for size in (1 << 30, 4000):
+        monkeypatch.setattr(lm, "SHARD_BYTES", size)
+        corpus = lm.gather(d, ~lm.F.col("held_out") & lm.F.col("doc_id").isNotNull(), key="doc_id", held_out="held_out")
+        got.append({r["doc_id"]: r for r in lm.judge(corpus, lm.fit(corpus)).collect()})
+    one, many = got
+    assert len(one) == len(many) == len(rows) and corpus.shards > 3
+    for k in one:
+        assert one[k][:5] == many[k][:5] and np.isclose(one[k]["base_score"], many[k]["base_score"], rtol=1e-9) and np.isclose(one[k]["score"], many[k]["score"], rtol=1e-4)
+    x = np.sort(rng.integers(0, 1 << 20, 10_000))
+    assert (lm._unpack(lm._pack(x, True), ascending=True) == x).all() and len(lm._pack(x, True)) < 2 * len(x) and len(lm._unpack(lm._pack(x[:0]))) == 0
